@@ -1,0 +1,30 @@
+"""Joins with a checked broadcast.
+
+A side is broadcast only after a bounded count proves it small
+(``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows).
+Anything larger is left to Spark's shuffle join, which AQE may still turn
+into a broadcast at run time from the measured shuffle size.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows a dimension may have and still be shipped to every executor.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True if ``df`` has no more than ``max_rows`` rows (bounded job)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",
+               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Join ``big`` with ``small``, broadcasting ``small`` only if proven small."""
+    if how in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti") and has_at_most(small, max_rows):
+        return big.join(F.broadcast(small), on=on, how=how)
+    return big.join(small, on=on, how=how)
