@@ -95,7 +95,7 @@ def exact_mean(c: str | Column, scale: int = 2) -> Column:
 
 def exact_stddev(c: str | Column, scale: int = 2) -> Column:
     """Sample standard deviation from exact decimal sums of x and x*x."""
-    d = col_of(c).cast(T.DecimalType(12, scale))
+    d = col_of(c).cast(T.DecimalType(18, scale))
     s = F.sum(d).cast("double")
     q = F.sum(d * d).cast("double")
     n = F.count(d).cast("double")
