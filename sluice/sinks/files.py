@@ -10,6 +10,7 @@ come from an ``Observation`` attached to the write itself, not from a second
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation
@@ -32,7 +33,7 @@ def run_output_path(base: str, rid: str) -> str:
 
 def observed(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
     """Attach a row counter that is filled in by whatever action runs next."""
-    obs = Observation(name)
+    obs = Observation(f"{name}_{uuid.uuid4().hex}")  # names must be unique per session
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 

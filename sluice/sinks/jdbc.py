@@ -33,13 +33,15 @@ def write_jdbc(
     ``mode="overwrite"`` truncates instead of dropping when ``truncate`` is set,
     so the table keeps its declared types and indexes.
     """
-    out, obs = observed(df)
+    # Repartitioning here (a shuffle) keeps the upstream work parallel and
+    # caps the writers at ``num_partitions`` connections; letting the JDBC
+    # writer coalesce instead would also shrink the upstream stage.
+    src = df.repartition(num_partitions) if num_partitions else df
+    out, obs = observed(src)
     writer = (out.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
               .option("batchsize", str(batch_size)).option("isolationLevel", isolation))
     if mode == "overwrite" and truncate:
         writer = writer.option("truncate", "true")
-    if num_partitions:
-        writer = writer.option("numPartitions", str(num_partitions))
     if column_types:
         writer = writer.option("createTableColumnTypes", column_types)
     for k, v in (properties or {}).items():

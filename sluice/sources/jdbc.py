@@ -66,8 +66,10 @@ def read_jdbc(
 
 def jdbc_bounds(spark: SparkSession, url: str, table: str, column: str,
                 properties: Mapping[str, str] | None = None) -> tuple:
-    """``(min, max)`` of ``column``, computed by the database."""
-    query = f"(SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}) bounds"
+    """``(min, max)`` of ``column``, computed by the database.  The column is
+    double-quoted (ANSI), as Spark quotes the columns it creates."""
+    ref = column if column.startswith('"') else f'"{column}"'
+    query = f"(SELECT MIN({ref}) AS lo, MAX({ref}) AS hi FROM {table}) bounds"
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", query)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
