@@ -455,6 +455,18 @@ def q_profile_churn(spark, d):
 
 # ---------------------------------------------------------------- 2.8 jobs
 
+@register("pipe_extract", f"""
+select *, timestamp '{AS_OF}' as extraction_timestamp, 'events_csv' as source_system from ({SQL_RECORDS}) s
+""")
+def q_pipe_extract(spark, d):
+    base = scratch_dir(spark, "extract")
+    recs = records(spark, d)
+    write_csv(recs, f"{base}/input/events.csv", timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
+    landed = flows.extract(spark, f"{base}/input/events.csv", f"{base}/raw", "events_csv", rid="20240201_000000",
+                           schema=recs.schema, as_of=AS_OF, export_root=f"{base}/exports")
+    return spark.read.parquet(landed.path)
+
+
 @register("pipe_clean", SQL_CLEAN)
 def q_pipe_clean(spark, d):
     return cleaned(spark, d)
@@ -663,6 +675,12 @@ def q_churn_summary(spark, d):
     return M.churn_summary(M.add_tenure_band(churn(spark, d)), ["ContractType", "Region", "TenureBand"])
 
 
+@register("doc_raw_snapshot", "select * from events")
+def q_raw_snapshot(spark, d):
+    snap = flows.snapshot_source(spark, table(spark, d, "events"), scratch_dir(spark, "snapshot"), "20240201_000000")
+    return spark.read.parquet(snap.path)
+
+
 # ---------------------------------------------------------------- rows-only (no SQL twin)
 
 @register("doc_row_lineage")

@@ -27,7 +27,9 @@ from sluice.operators.summarize import daily_summary
 from sluice.schemas import EXTRACTION_TS, LOAD_TS, PROCESSED_SCHEMA, SOURCE_SYSTEM
 from sluice.sinks.files import run_id as new_run_id
 from sluice.sinks.files import write_csv, write_parquet, write_partitioned
+from sluice.sinks.jdbc import write_jdbc
 from sluice.sources.files import CSV_TIMESTAMP_FORMAT_MICROS, discover_datasets, read_csv, read_parquet
+from sluice.sources.jdbc import read_jdbc
 
 # Folder-name markers of landed and processed datasets.
 RAW_MARKER = "extracted_data"
@@ -75,6 +77,30 @@ def extract(
     return StepResult(rows, out, details)
 
 
+def snapshot_source(spark: SparkSession, source: DataFrame | str, raw_root: str, rid: str,
+                    schema: T.StructType | None = None) -> StepResult:
+    """Back up the source unchanged (no stamps, no cleaning) as
+    ``<raw_root>/snapshot_<run_id>`` Parquet."""
+    src = source if isinstance(source, DataFrame) else read_csv(
+        spark, source, schema=schema, timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
+    out = f"{raw_root.rstrip('/')}/snapshot_{rid}"
+    return StepResult(write_parquet(src, out), out)
+
+
+def extract_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
+                 partition_column: str | None = None, num_partitions: int = 8) -> DataFrame:
+    """Source table read over JDBC, split into parallel range reads when a
+    partition column is given (lazy; nothing is read until an action)."""
+    return read_jdbc(spark, url, table, properties, partition_column=partition_column,
+                     num_partitions=num_partitions)
+
+
+def register_view(df: DataFrame, name: str) -> DataFrame:
+    """Make a frame visible to SQL as ``name`` (session-scoped temp view)."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
 def transform_dataset(df: DataFrame, as_of: dt.datetime | str | None = None,
                       required_columns: Sequence[str] = (), with_hash: bool = True) -> DataFrame:
     """clean -> enrich for one dataset (lazy)."""
@@ -169,6 +195,42 @@ def verify_load(spark: SparkSession, target_path: str, expected_rows: int | None
     return n
 
 
+def load_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
+              as_of: dt.datetime | str | None = None, schema: T.StructType = PROCESSED_SCHEMA,
+              num_partitions: int = 4) -> StepResult:
+    """Append conformed rows to a relational table, ``num_partitions`` writers
+    in batches (the relational edge of the load).  Callers guard re-runs with
+    the audit trail (``metrics.completed_runs``) since JDBC append cannot
+    replace a partition."""
+    rows = write_jdbc(conform_to_schema(df.withColumn(LOAD_TS, timestamp_value(as_of)), schema),
+                      url, table, properties, mode="append", num_partitions=num_partitions)
+    return StepResult(rows, table)
+
+
+def verify_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
+                expected_rows: int | None = None) -> int:
+    """``SELECT COUNT(*)`` answered by the database; zero or short is an error."""
+    query = f"(SELECT COUNT(*) AS n FROM {table}) c"
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", query)
+    for k, v in (properties or {}).items():
+        reader = reader.option(k, v)
+    n = int(reader.load().first()[0])
+    if n == 0 or (expected_rows is not None and n < expected_rows):
+        raise ValueError(f"load verification failed: {n} rows in {table}, expected {expected_rows}")
+    return n
+
+
+def summarize_jdbc(spark: SparkSession, url: str, source_table: str, summary_table: str,
+                   properties: dict | None = None, as_of: dt.datetime | str | None = None,
+                   partition_column: str | None = "id", num_partitions: int = 8) -> StepResult:
+    """Daily summary of a relational table, replacing the summary table's rows
+    (truncate keeps its DDL).  The source is read in parallel ranges."""
+    src = read_jdbc(spark, url, source_table, properties, partition_column=partition_column,
+                    num_partitions=num_partitions)
+    rows = write_jdbc(daily_summary(src, as_of=as_of), url, summary_table, properties, mode="overwrite")
+    return StepResult(rows, summary_table)
+
+
 def summarize(spark: SparkSession, table_path: str, out_path: str,
               as_of: dt.datetime | str | None = None) -> StepResult:
     """Daily summary of the loaded table, overwriting the summary output."""
