@@ -1,9 +1,10 @@
 """Joins with a checked broadcast.
 
-A side is broadcast only after a bounded count proves it small
-(``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows).
-Anything larger is left to Spark's shuffle join, which AQE may still turn
-into a broadcast at run time from the measured shuffle size.
+A side is broadcast only after a bounded count proves it small: the row
+budget is ``max_bytes`` divided by the schema's estimated row width, and
+``limit(budget + 1).count()`` reads at most that many rows.  Anything larger
+is left to Spark's shuffle join, which AQE may still turn into a broadcast at
+run time from the measured shuffle size.
 """
 
 from __future__ import annotations
@@ -12,9 +13,45 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows a dimension may have and still be shipped to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Largest side shipped to every executor (estimated in-memory size).
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+ROW_OVERHEAD_BYTES = 16
+
+
+# Assumed widths (bytes) of variable-size values; fixed-size types use their size.
+STRING_BYTES = 20
+BINARY_BYTES = 100
+COLLECTION_ITEMS = 1
+
+
+def type_bytes(t: T.DataType) -> int:
+    """Estimated in-memory width of one value of ``t``."""
+    if isinstance(t, (T.ByteType, T.BooleanType)):
+        return 1
+    if isinstance(t, T.ShortType):
+        return 2
+    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+        return 4
+    if isinstance(t, T.DecimalType):
+        return 8 if t.precision <= 18 else 16
+    if isinstance(t, (T.StringType, T.VarcharType, T.CharType)):
+        return STRING_BYTES
+    if isinstance(t, T.BinaryType):
+        return BINARY_BYTES
+    if isinstance(t, T.ArrayType):
+        return COLLECTION_ITEMS * type_bytes(t.elementType)
+    if isinstance(t, T.MapType):
+        return COLLECTION_ITEMS * (type_bytes(t.keyType) + type_bytes(t.valueType))
+    if isinstance(t, T.StructType):
+        return sum(type_bytes(f.dataType) for f in t.fields)
+    return 8
+
+
+def estimated_row_bytes(df: DataFrame) -> int:
+    """Schema-based width of one row plus a fixed per-row overhead."""
+    return ROW_OVERHEAD_BYTES + type_bytes(df.schema)
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
@@ -22,9 +59,14 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def fits_broadcast(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    return has_at_most(df, max(1, max_bytes // estimated_row_bytes(df)))
+
+
 def join_small(big: DataFrame, small: DataFrame, on: str | Sequence[str], how: str = "inner",
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Join ``big`` with ``small``, broadcasting ``small`` only if proven small."""
-    if how in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti") and has_at_most(small, max_rows):
+               max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Join ``big`` with ``small``, broadcasting ``small`` only if proven small
+    (and only for join types where the right side may be the build side)."""
+    if how in ("inner", "left", "left_outer", "left_semi", "left_anti", "semi", "anti") and fits_broadcast(small, max_bytes):
         return big.join(F.broadcast(small), on=on, how=how)
     return big.join(small, on=on, how=how)
