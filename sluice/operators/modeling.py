@@ -126,11 +126,16 @@ def churn_summary(df: DataFrame, dimensions: Sequence[str], label: str = "Churn"
 
 def churn_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """Long profile ``(metric, key, n)``: the label distribution and the NULL
-    count of each column, from two aggregates over the same scan."""
-    labels = df.groupBy(quoted(label).cast("string").alias("key")).agg(F.count(F.lit(1)).cast("bigint").alias("n")) \
-        .select(F.lit("label").alias("metric"), "key", "n")
-    nulls = df.agg(*[F.count_if(quoted(c).isNull()).cast("bigint").alias(c) for c in columns]) \
-        .unpivot([], list(columns), "key", "n").select(F.lit("null_count").alias("metric"), "key", "n")
+    count of each column.  One grouped aggregate (partial + final) feeds both
+    parts; the per-label NULL counts are summed over the few label groups."""
+    grouped = df.groupBy(quoted(label).cast("string").alias("key")).agg(
+        F.count(F.lit(1)).cast("bigint").alias("__n"),
+        *[F.count_if(quoted(c).isNull()).cast("bigint").alias(f"__z{i}") for i, c in enumerate(columns)],
+    )
+    labels = grouped.select(F.lit("label").alias("metric"), "key", F.col("__n").alias("n"))
+    nulls = grouped.agg(*[F.coalesce(F.sum(f"__z{i}"), F.lit(0)).cast("bigint").alias(c)
+                          for i, c in enumerate(columns)])
+    nulls = nulls.unpivot([], list(columns), "key", "n").select(F.lit("null_count").alias("metric"), "key", "n")
     return labels.unionByName(nulls)
 
 

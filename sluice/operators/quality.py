@@ -193,12 +193,14 @@ def ensure_nonempty(df: DataFrame, label: str = "dataset") -> DataFrame:
 
 
 def frames_diff(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows that occur more often on one side, with ``side`` = 'left_only' or
-    'right_only' (multiset difference both ways).  Empty means equal.
-
-    Both sides are tagged and grouped once (one exchange, with partial
-    aggregation), instead of two ``exceptAll`` passes; a row that differs
-    ``k`` times is emitted ``k`` times.
+    """Rows whose multiplicity differs between the two frames, each once, with
+    ``side`` ('left_only' / 'right_only') and ``copies`` (how many more times
+    it occurs on that side).  Empty means the frames are equal as multisets.
+
+    Both sides are tagged and grouped once (one exchange, partial aggregation
+    first), instead of two ``exceptAll`` passes.  Copies are counted, not
+    replicated: a row repeated billions of times stays one output row, never
+    one task expanding it.
     """
     if sorted(left.columns) != sorted(right.columns):
         raise ValueError(f"column sets differ: {left.columns} vs {right.columns}")
@@ -207,11 +209,11 @@ def frames_diff(left: DataFrame, right: DataFrame) -> DataFrame:
               .unionByName(right.select(*cols, F.lit(0).alias("__l"), F.lit(1).alias("__r"))))
     counts = tagged.groupBy(*cols).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
     extra = F.col("__l") - F.col("__r")
-    return (counts.where(extra != 0)
-            .select(*cols,
-                    F.when(extra > 0, F.lit("left_only")).otherwise(F.lit("right_only")).alias("side"),
-                    F.explode(F.sequence(F.lit(1), F.abs(extra))).alias("__k"))
-            .drop("__k"))
+    return counts.where(extra != 0).select(
+        *cols,
+        F.when(extra > 0, F.lit("left_only")).otherwise(F.lit("right_only")).alias("side"),
+        F.abs(extra).cast("bigint").alias("copies"),
+    )
 
 
 def frames_equal(left: DataFrame, right: DataFrame, check_schema: bool = True) -> bool:

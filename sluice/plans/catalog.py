@@ -429,7 +429,8 @@ def q_dq_report(spark, d):
 
 
 @register("dq_frames_equal", f"""
-select id, name, value, "timestamp", cast(null as varchar) as side from ({SQL_CLEAN}) s where false
+select id, name, value, "timestamp", cast(null as varchar) as side, cast(null as bigint) as copies
+from ({SQL_CLEAN}) s where false
 """)
 def q_frames_equal(spark, d):
     once = cleaned(spark, d)

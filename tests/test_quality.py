@@ -96,9 +96,19 @@ def test_ensure_nonempty(spark):
 
 def test_frames_diff(spark, sample_df):
     assert Q.frames_equal(sample_df, sample_df.select(*reversed(sample_df.columns)).select(*sample_df.columns))
-    other = sample_df.limit(4)
+    other = sample_df.where("id != 5")
     diff = rows(Q.frames_diff(sample_df, other))
-    assert len(diff) == 1 and diff[0]["side"] == "left_only"
+    assert len(diff) == 1 and diff[0]["side"] == "left_only" and diff[0]["copies"] == 1
+    tripled = sample_df.unionByName(sample_df).unionByName(sample_df.where("id = 1"))
+    diff = rows(Q.frames_diff(sample_df, tripled), ["id"])
+    assert [(r["id"], r["side"], r["copies"]) for r in diff] == [
+        (1, "right_only", 2), (2, "right_only", 1), (3, "right_only", 1), (4, "right_only", 1), (5, "right_only", 1)]
+
+
+def test_approx_duplicate_profile(spark):
+    df = spark.range(0, 2000).selectExpr("id % 1000 as a")
+    r = Q.duplicate_profile(df, approx_rsd=0.01).first()
+    assert r["total_rows"] == 2000 and abs(r["distinct_rows"] - 1000) <= 40
 
 
 def test_exact_median_matches_numpy_with_forced_narrowing(spark):
