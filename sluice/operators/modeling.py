@@ -126,17 +126,20 @@ def churn_summary(df: DataFrame, dimensions: Sequence[str], label: str = "Churn"
 
 def churn_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """Long profile ``(metric, key, n)``: the label distribution and the NULL
-    count of each column.  One grouped aggregate (partial + final) feeds both
-    parts; the per-label NULL counts are summed over the few label groups."""
-    grouped = df.groupBy(quoted(label).cast("string").alias("key")).agg(
+    count of each column, from one ``rollup`` over the label.  Per-label rows
+    become 'label' rows; the grand-total row is unpivoted into 'null_count'
+    rows - one scan, one aggregate (partial + final)."""
+    keyed = df.select(quoted(label).cast("string").alias("__key"),
+                      *[quoted(c).isNull().alias(f"__null{i}") for i, c in enumerate(columns)])
+    agg = keyed.rollup("__key").agg(
         F.count(F.lit(1)).cast("bigint").alias("__n"),
-        *[F.count_if(quoted(c).isNull()).cast("bigint").alias(f"__z{i}") for i, c in enumerate(columns)],
-    )
-    labels = grouped.select(F.lit("label").alias("metric"), "key", F.col("__n").alias("n"))
-    nulls = grouped.agg(*[F.coalesce(F.sum(f"__z{i}"), F.lit(0)).cast("bigint").alias(c)
-                          for i, c in enumerate(columns)])
-    nulls = nulls.unpivot([], list(columns), "key", "n").select(F.lit("null_count").alias("metric"), "key", "n")
-    return labels.unionByName(nulls)
+        F.grouping("__key").alias("__total"),
+        *[F.count_if(F.col(f"__null{i}")).cast("bigint").alias(f"__z{i}") for i in range(len(columns))],
+    ).withColumnRenamed("__key", "key")
+    as_label = F.array(F.struct(F.lit("label").alias("metric"), F.col("key"), F.col("__n").alias("n")))
+    as_nulls = F.array(*[F.struct(F.lit("null_count").alias("metric"), F.lit(c).alias("key"), F.col(f"__z{i}").alias("n"))
+                         for i, c in enumerate(columns)])
+    return agg.select(F.explode(F.when(F.col("__total") == 0, as_label).otherwise(as_nulls)).alias("m")).select("m.*")
 
 
 def file_fingerprints(spark: SparkSession, path_glob: str, content: bool = True) -> DataFrame:

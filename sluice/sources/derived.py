@@ -30,12 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events_as_records(events: DataFrame) -> DataFrame:
     """``id=event_id, name=event_type, value=value, timestamp=ts``."""
-    return events.select(
-        F.col("event_id").alias("id"),
-        F.col("event_type").alias("name"),
-        F.col("value").alias("value"),
-        F.col("ts").alias("timestamp"),
-    )
+    return to_records(events, id="event_id", name="event_type", value="value", timestamp="ts")
+
+
+def to_records(df: DataFrame, id: str, name: str, value: str, timestamp: str) -> DataFrame:
+    """Project any source onto the record shape by naming its four columns."""
+    return df.select(F.col(id).alias("id"), F.col(name).alias("name"),
+                     F.col(value).alias("value"), F.col(timestamp).alias("timestamp"))
 
 
 def dirty_records(events: DataFrame) -> DataFrame:
@@ -85,11 +86,11 @@ def churn_frame(customer: DataFrame, orders: DataFrame, nation: DataFrame, regio
         *[F.max(F.when(pri == p, F.lit(1)).otherwise(F.lit(0))).alias(s)
           for p, s in zip(SERVICE_PRIORITIES, SERVICE_COLUMNS)],
     )
-    geo = join_small(
-        nation.select(F.col("n_nationkey"), F.col("n_name").alias("Nation"), F.col("n_regionkey")),
+    # nation x region is left to Spark's own (statistics-based) join choice;
+    # the combined side is size-checked once before it is broadcast.
+    geo = nation.select(F.col("n_nationkey"), F.col("n_name").alias("Nation"), F.col("n_regionkey")).join(
         region.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("Region")),
-        on="n_regionkey",
-        how="left",
+        on="n_regionkey", how="left",
     ).drop("n_regionkey")
     cust = join_small(
         customer.select(F.col("c_custkey").alias("CustomerID"), F.col("c_mktsegment").alias("ContractType"),
