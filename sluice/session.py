@@ -67,11 +67,12 @@ def stop_session(spark: SparkSession | None) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a local one only if unset.
+    """Return the shared checkpoint folder, creating a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
     reach (HDFS, object store).  Only when nothing is configured - tests, a
-    laptop - is a fresh local folder created.
+    laptop - is a fresh local folder created and registered with the
+    SparkContext (the conf itself cannot be changed at run time).
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
@@ -83,7 +84,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     local = tempfile.mkdtemp(prefix="sluice-ckpt-")
-    spark.conf.set("spark.checkpoint.dir", local)
     if sc is not None:
         sc.setCheckpointDir(local)
     return local

@@ -49,7 +49,7 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", compression
 
 
 def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = ("year", "month"),
-                      mode: str = "overwrite", compression: str = "snappy") -> int:
+                      mode: str = "overwrite", compression: str = "snappy", rebalance: bool = True) -> int:
     """Partitioned Parquet table, one folder per key combination.
 
     Rows are clustered by the partition keys with a ``REBALANCE`` hint: each
@@ -57,9 +57,10 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = ("year", "
     that holds a large share of the rows into several tasks and merges tiny
     ones, so one hot month never lands on one writer.  With
     ``mode="overwrite"`` only the partitions present in ``df`` are replaced
-    (dynamic partition overwrite).
+    (dynamic partition overwrite).  ``rebalance=False`` skips the shuffle for
+    inputs already clustered by the keys (e.g. one landed day).
     """
-    out, obs = observed(df.hint("rebalance", *keys))
+    out, obs = observed(df.hint("rebalance", *keys) if rebalance else df)
     (out.write.mode(mode).option("compression", compression)
         .option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path))
     return int(obs.get.get("rows", 0))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from sluice.operators import clean as C
 from sluice.operators import enrich as E
