@@ -28,7 +28,8 @@ from sluice.schemas import EXTRACTION_TS, LOAD_TS, PROCESSED_SCHEMA, SOURCE_SYST
 from sluice.sinks.files import run_id as new_run_id
 from sluice.sinks.files import write_csv, write_parquet, write_partitioned
 from sluice.sinks.jdbc import write_jdbc
-from sluice.sources.files import CSV_TIMESTAMP_FORMAT_MICROS, discover_datasets, read_csv, read_parquet
+from sluice.plans.metrics import append_by_run, audit_frame, completed_runs
+from sluice.sources.files import CSV_TIMESTAMP_FORMAT_MICROS, discover_datasets, path_exists, read_csv, read_parquet
 from sluice.sources.jdbc import read_jdbc
 
 # Folder-name markers of landed and processed datasets.
@@ -197,14 +198,25 @@ def verify_load(spark: SparkSession, target_path: str, expected_rows: int | None
 
 def load_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
               as_of: dt.datetime | str | None = None, schema: T.StructType = PROCESSED_SCHEMA,
-              num_partitions: int = 4) -> StepResult:
+              num_partitions: int = 4, rid: str | None = None, audit_path: str | None = None) -> StepResult:
     """Append conformed rows to a relational table, ``num_partitions`` writers
-    in batches (the relational edge of the load).  Callers guard re-runs with
-    the audit trail (``metrics.completed_runs``) since JDBC append cannot
-    replace a partition."""
+    in batches (the relational edge of the load).
+
+    JDBC append cannot replace a partition, so re-runs are guarded by the
+    audit trail: with ``rid`` and ``audit_path`` a run that already loaded
+    successfully is skipped, and a successful load records its audit row.
+    """
+    spark = df.sparkSession
+    if rid and audit_path and path_exists(spark, audit_path):
+        done = completed_runs(spark, audit_path).where(F.col("run_id") == rid)
+        if not done.isEmpty():
+            return StepResult(0, table, {"skipped": True, "run_id": rid})
+    started = dt.datetime.now()
     rows = write_jdbc(conform_to_schema(df.withColumn(LOAD_TS, timestamp_value(as_of)), schema),
                       url, table, properties, mode="append", num_partitions=num_partitions)
-    return StepResult(rows, table)
+    if rid and audit_path:
+        append_by_run(audit_frame(spark, rid, "processed", table, rows, started, dt.datetime.now()), audit_path)
+    return StepResult(rows, table, {"skipped": False, "run_id": rid})
 
 
 def verify_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,

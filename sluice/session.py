@@ -30,6 +30,26 @@ DEFAULT_CONF = {
 }
 
 
+# The reference's write and read tuning presets (AQE settings).
+WRITE_PRESET = {
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionNum": "1",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4",
+}
+READ_PRESET = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def apply_preset(spark: SparkSession, preset: dict[str, str]) -> SparkSession:
+    """Set a group of runtime SQL options on a session the caller owns."""
+    for key, value in preset.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(
     app_name: str = "sluice",
     master: str | None = None,

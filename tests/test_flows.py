@@ -91,6 +91,17 @@ def test_jdbc_load_verify_summary(spark):
     assert src.count() == summary.rows
 
 
+def test_jdbc_load_is_guarded_by_run_id(spark, tmp_dir):
+    url = f"jdbc:derby:memory:guard_{uuid.uuid4().hex[:8]};create=true"
+    recs = flows.transform_dataset(events_as_records(spark.read.parquet(f"{SF_SMALL}/events.parquet")), AS_OF)
+    first = flows.load_jdbc(recs, url, "PD", DERBY, as_of=AS_OF, rid="r1", audit_path=f"{tmp_dir}/audit")
+    again = flows.load_jdbc(recs, url, "PD", DERBY, as_of=AS_OF, rid="r1", audit_path=f"{tmp_dir}/audit")
+    assert first.rows > 0 and again.rows == 0 and again.details["skipped"]
+    assert flows.verify_jdbc(spark, url, "PD", DERBY) == first.rows
+    second_run = flows.load_jdbc(recs, url, "PD", DERBY, as_of=AS_OF, rid="r2", audit_path=f"{tmp_dir}/audit")
+    assert flows.verify_jdbc(spark, url, "PD", DERBY) == first.rows + second_run.rows
+
+
 def test_metrics_and_audit(spark, tmp_dir):
     run = RunMetrics("r1")
     with run.stage("clean", rows_in=10) as st:
