@@ -112,15 +112,28 @@ def duplicate_profile(df: DataFrame, columns: Sequence[str] | None = None, appro
     )
 
 
-def quality_report(df: DataFrame, prefix: str = "missing_") -> DataFrame:
+def quality_report(df: DataFrame, prefix: str = "missing_", approx_rsd: float | None = None) -> DataFrame:
     """Total rows, distinct rows, duplicates and NULL-or-NaN count per column,
     as one row, from a single aggregation job.
 
     The group-by over every column keeps each column's value in the group key,
     so the missing count of a column is the sum of group sizes whose key is
-    missing there - no second pass over the data.
+    missing there - no second pass over the data.  With ``approx_rsd`` the
+    distinct count is a HyperLogLog estimate over a 64-bit row hash and no
+    rows are shuffled (for very wide tables); missing counts stay exact.
     """
     cols = df.columns
+    if approx_rsd is not None:
+        distinct = F.approx_count_distinct(F.xxhash64(*[quoted(c) for c in cols]), approx_rsd)
+        return df.agg(
+            F.count(F.lit(1)).cast("bigint").alias("total_rows"),
+            distinct.cast("bigint").alias("distinct_rows"),
+            *[_count_if(is_missing(df, c)).alias(prefix + c) for c in cols],
+        ).select(
+            "total_rows", "distinct_rows",
+            (F.col("total_rows") - F.col("distinct_rows")).alias("duplicates"),
+            *[F.col(prefix + c) for c in cols],
+        )
     groups = df.groupBy(*[quoted(c) for c in cols]).agg(F.count(F.lit(1)).alias("__n"))
     n = F.col("__n")
     missing = [

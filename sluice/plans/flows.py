@@ -178,11 +178,16 @@ def load(
     as_of: dt.datetime | str | None = None,
     schema: T.StructType = PROCESSED_SCHEMA,
     partition_by: Sequence[str] = ("year", "month"),
+    merge_schema: bool = False,
 ) -> StepResult:
     """Conform processed rows to the target table and write them into its
     ``year/month`` partitions.  Re-running replaces the partitions it touches
-    (idempotent) instead of appending copies."""
-    df = source if isinstance(source, DataFrame) else read_parquet(spark, list(source), merge_schema=True)
+    (idempotent) instead of appending copies.
+
+    Processed datasets share one schema, so footers are not merged by default
+    (merging reads every file footer - a full job on a large lake); pass
+    ``merge_schema=True`` when inputs from different versions are mixed."""
+    df = source if isinstance(source, DataFrame) else read_parquet(spark, list(source), merge_schema=merge_schema)
     stamped = df.withColumn(LOAD_TS, timestamp_value(as_of))
     rows = write_partitioned(conform_to_schema(stamped, schema), target_path, keys=partition_by)
     return StepResult(rows, target_path)
