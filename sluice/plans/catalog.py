@@ -238,7 +238,8 @@ def q_load_many(spark, d):
     write_parquet(E.enrich_records(C.clean_records(records(spark, d)), as_of=AS_OF, with_hash=False),
                   f"{base}/processed/transformed_events")
     result = flows.load(spark, [f"{base}/processed/transformed_*"], f"{base}/warehouse", as_of=AS_OF)
-    return spark.createDataFrame([(result.rows,)], "total_rows bigint")
+    flows.verify_load(spark, f"{base}/warehouse", result.rows)
+    return Q.row_count(spark.read.parquet(f"{base}/warehouse")).select(F.col("total_rows").cast("bigint"))
 
 
 # ---------------------------------------------------------------- 2.3 projections / filters
@@ -491,7 +492,8 @@ def q_pipe_transform(spark, d):
     recs = records(spark, d)
     write_parquet(dirty(spark, d), f"{base}/raw/extracted_data_dirty")
     write_csv(recs, f"{base}/raw/events_records.csv", timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
-    flows.transform(spark, f"{base}/raw", f"{base}/processed", as_of=AS_OF, csv_schema=recs.schema, with_hash=False)
+    flows.transform(spark, f"{base}/raw", f"{base}/processed", as_of=AS_OF, csv_schema=recs.schema, with_hash=False,
+                    export_root=f"{base}/exports")
     return spark.read.parquet(f"{base}/processed/{flows.PROCESSED_PREFIX}*")
 
 

@@ -116,10 +116,13 @@ def transform(
     csv_schema: T.StructType | None = None,
     with_hash: bool = True,
     marker: str = RAW_MARKER,
+    export_root: str | None = None,
 ) -> StepResult:
     """For every landed dataset (Parquet folders named with ``marker``, and
     ``*.csv`` files read with ``csv_schema``): quality report (one job),
-    clean + enrich, write ``<processed_root>/transformed_<name>``.
+    clean + enrich, write ``<processed_root>/transformed_<name>``.  CSV
+    sources also get a CSV copy of their output under ``export_root`` when
+    given - outside ``processed_root``, so the load never reads it twice.
 
     Datasets are listed by name on the driver; each one is a distributed job.
     """
@@ -134,6 +137,9 @@ def transform(
         stem = name[:-4] if name.endswith(".csv") else name
         out = f"{processed_root.rstrip('/')}/{PROCESSED_PREFIX}{stem}"
         total += write_parquet(transform_dataset(df, as_of, with_hash=with_hash), out)
+        if export_root and kind == "csv":
+            write_csv(spark.read.parquet(out), f"{export_root.rstrip('/')}/{PROCESSED_PREFIX}{stem}.csv",
+                      timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
     return StepResult(total, processed_root, {"reports": reports})
 
 
