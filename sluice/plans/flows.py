@@ -11,6 +11,7 @@ the whole chain.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -29,9 +30,13 @@ from sluice.sinks.files import run_id as new_run_id
 from sluice.sinks.files import write_csv, write_parquet, write_partitioned
 from sluice.sinks.jdbc import write_jdbc
 from sluice.plans.metrics import append_by_run, audit_frame, completed_runs
-from sluice.sources.files import CSV_TIMESTAMP_FORMAT_MICROS, discover_datasets, path_exists, read_csv, read_parquet
+from sluice.sources.files import (
+    CSV_TIMESTAMP_FORMAT_MICROS, discover_datasets, glob_exists, path_exists, read_csv, read_parquet,
+)
 from sluice.sources.jdbc import read_jdbc
 
+log = logging.getLogger("sluice")
+
 # Folder-name markers of landed and processed datasets.
 RAW_MARKER = "extracted_data"
 PROCESSED_PREFIX = "transformed_"
@@ -66,6 +71,8 @@ def extract(
     the transform step never mistakes it for a second dataset.
     """
     rid = rid or new_run_id()
+    if isinstance(source, str) and not glob_exists(spark, source):
+        raise FileNotFoundError(f"input not found: {source}")
     src = source if isinstance(source, DataFrame) else read_csv(
         spark, source, schema=schema, timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
     out = f"{raw_root.rstrip('/')}/{RAW_MARKER}_{rid}"
@@ -193,7 +200,13 @@ def load(
     Processed datasets share one schema, so footers are not merged by default
     (merging reads every file footer - a full job on a large lake); pass
     ``merge_schema=True`` when inputs from different versions are mixed."""
-    df = source if isinstance(source, DataFrame) else read_parquet(spark, list(source), merge_schema=merge_schema)
+    if not isinstance(source, DataFrame):
+        paths = [p for p in source if glob_exists(spark, p)]
+        if not paths:
+            log.warning("nothing to load: no processed data at %s", list(source))
+            return StepResult(0, target_path, {"skipped": True})
+        source = read_parquet(spark, paths, merge_schema=merge_schema)
+    df = source
     stamped = df.withColumn(LOAD_TS, timestamp_value(as_of))
     rows = write_partitioned(conform_to_schema(stamped, schema), target_path, keys=partition_by)
     return StepResult(rows, target_path)

@@ -106,6 +106,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def glob_exists(spark: SparkSession, pattern: str) -> bool:
+    """True if a path or glob pattern matches at least one entry."""
+    fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def list_children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """``(name, is_dir)`` of the entries directly below ``path``."""
     fs, p = _fs(spark, path)

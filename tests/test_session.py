@@ -1,0 +1,49 @@
+"""Session defaults, presets, scratch folders and missing-input policy."""
+
+from __future__ import annotations
+
+import pytest
+
+from sluice.plans import flows
+from sluice.session import (
+    DEFAULT_CONF, READ_PRESET, WRITE_PRESET, apply_preset, build_session, ensure_checkpoint_dir, scratch_dir,
+    stop_session,
+)
+from sluice.sources.files import glob_exists
+
+
+def test_defaults_are_applied(spark):
+    assert build_session("again") is spark  # getOrCreate returns the running session
+    for key in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled", "spark.sql.session.timeZone"):
+        assert spark.conf.get(key) == DEFAULT_CONF[key]
+
+
+def test_presets(spark):
+    before = {k: spark.conf.get(k, None) for k in WRITE_PRESET}
+    apply_preset(spark, WRITE_PRESET)
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == "4"
+    apply_preset(spark, READ_PRESET)
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    for k, v in before.items():
+        if v is None:
+            spark.conf.unset(k)
+        else:
+            spark.conf.set(k, v)
+
+
+def test_stop_none_is_safe():
+    stop_session(None)
+
+
+def test_scratch_dirs_are_fresh_and_shared(spark):
+    root = ensure_checkpoint_dir(spark)
+    a, b = scratch_dir(spark, "x"), scratch_dir(spark, "x")
+    assert a != b and a.startswith(root) and b.startswith(root)
+
+
+def test_missing_input_fails_extract_and_missing_processed_skips_load(spark, tmp_dir):
+    with pytest.raises(FileNotFoundError):
+        flows.extract(spark, f"{tmp_dir}/nope.csv", f"{tmp_dir}/raw", "crm")
+    res = flows.load(spark, [f"{tmp_dir}/processed/transformed_*"], f"{tmp_dir}/warehouse")
+    assert res.rows == 0 and res.details["skipped"]
+    assert not glob_exists(spark, f"{tmp_dir}/warehouse")
