@@ -185,7 +185,7 @@ select event_id as id, event_type as name, value, ts as "timestamp", strftime(ts
 def q_scan_parquet_multi(spark, d):
     recs = records(spark, d).withColumn("run_id", F.date_format("timestamp", "yyyyMMdd"))
     base = scratch_dir(spark, "runs")
-    write_parquet(recs, base, partition_by=["run_id"])
+    write_partitioned(recs, base, keys=("run_id",))
     return read_parquet(spark, f"{base}/run_id=*", schema=recs.schema, base_path=base)
 
 
