@@ -134,7 +134,7 @@ def transform(
     Datasets are listed by name on the driver; each one is a distributed job.
     """
     found = discover_datasets(spark, raw_root, dir_marker=marker, file_pattern="*.csv" if csv_schema else None)
-    total, reports = 0, {}
+    total, reports, stems = 0, {}, set()
     inputs = [(p, "parquet") for p in found["parquet"]] + [(p, "csv") for p in found["csv"]]
     for path, kind in inputs:
         name = path.rstrip("/").rsplit("/", 1)[-1]
@@ -142,6 +142,9 @@ def transform(
             spark, path, schema=csv_schema, timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
         reports[name] = quality_summary(df, name)
         stem = name[:-4] if name.endswith(".csv") else name
+        if stem in stems:  # a Parquet folder and a CSV file of the same name
+            stem += "_csv"
+        stems.add(stem)
         out = f"{processed_root.rstrip('/')}/{PROCESSED_PREFIX}{stem}"
         total += write_parquet(transform_dataset(df, as_of, with_hash=with_hash), out)
         if export_root and kind == "csv":

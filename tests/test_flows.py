@@ -44,6 +44,15 @@ def test_end_to_end_on_dirty_rows(spark, tmp_dir):
     assert table.where("source_system = 'crm' and extraction_timestamp is not null").count() == 3
 
 
+def test_transform_keeps_same_named_parquet_and_csv_apart(spark, tmp_dir):
+    src = _dirty_five(spark)
+    write_parquet(src, f"{tmp_dir}/raw/extracted_data_a")
+    write_csv(src, f"{tmp_dir}/raw/extracted_data_a.csv", timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
+    res = flows.transform(spark, f"{tmp_dir}/raw", f"{tmp_dir}/processed", as_of=AS_OF, csv_schema=RECORD_SCHEMA)
+    assert res.rows == 6 and sorted(os.listdir(f"{tmp_dir}/processed")) == [
+        "transformed_extracted_data_a", "transformed_extracted_data_a_csv"]
+
+
 def test_load_is_idempotent(spark, tmp_dir):
     recs = flows.transform_dataset(events_as_records(spark.read.parquet(f"{SF_SMALL}/events.parquet")), AS_OF)
     first = flows.load(spark, recs, f"{tmp_dir}/t", as_of=AS_OF)
