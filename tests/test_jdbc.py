@@ -75,3 +75,17 @@ def test_env_config(monkeypatch):
     cfg = jdbc_config_from_env()
     assert cfg["url"] == "jdbc:postgresql://db:5432/elt_db"
     assert cfg["properties"]["driver"] == "org.postgresql.Driver"
+
+
+def test_partitioned_read_on_timestamp_and_empty_table(spark, url):
+    df = spark.range(0, 48).select(
+        F.col("id").cast("int").alias("id"),
+        (F.lit(dt.datetime(2024, 1, 1)) + F.make_interval(hours=F.col("id").cast("int"))).alias("ts"))
+    write_jdbc(df, url, "TS", DERBY, mode="append")
+    lo, hi = jdbc_bounds(spark, url, "TS", "ts", DERBY)
+    assert lo < hi
+    back = read_jdbc(spark, url, "TS", DERBY, partition_column="ts", num_partitions=4)
+    assert back.rdd.getNumPartitions() == 4 and back.count() == 48
+    write_jdbc(df.limit(0), url, "EMPTY_T", DERBY, mode="append")
+    assert jdbc_bounds(spark, url, "EMPTY_T", "id", DERBY) == (None, None)
+    assert read_jdbc(spark, url, "EMPTY_T", DERBY, partition_column="id").count() == 0
