@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.columns import band, quoted
+from sluice.operators.joins import join_small
 from sluice.sources.derived import SERVICE_COLUMNS
 
 # Fixed values (our choice; the documentation names the feature only):
@@ -110,6 +111,26 @@ def churn_fact(churn: DataFrame) -> DataFrame:
     )
 
 
+def churn_fact_joined(churn: DataFrame, customer_dim: DataFrame, contract_dim: DataFrame,
+                      service_dim: DataFrame) -> DataFrame:
+    """The fact table with keys looked up in existing dimension tables (left
+    equi-joins; a natural key missing from its dimension gets a NULL key).
+
+    Contract and service dimensions are broadcast after their size is checked;
+    the customer dimension grows with the data and is a shuffle join.
+    """
+    counted = add_service_count(churn)
+    joined = join_small(counted, contract_dim.select("ContractType", "contract_key"), on="ContractType", how="left")
+    joined = join_small(joined, service_dim.select(*SERVICE_COLUMNS, "service_key"), on=list(SERVICE_COLUMNS),
+                        how="left")
+    joined = joined.join(customer_dim.select("CustomerID", "customer_key"), on="CustomerID", how="left")
+    return joined.select(
+        "customer_key", "contract_key", "service_key",
+        "Tenure", "MonthlyCharges", "TotalCharges", "ServiceCount",
+        F.when(F.col("Churn") == "Yes", F.lit(1)).otherwise(F.lit(0)).alias("churned"),
+    )
+
+
 def churn_summary(df: DataFrame, dimensions: Sequence[str], label: str = "Churn", positive: str = "Yes") -> DataFrame:
     """``(dimension, category, customers, churned, churn_rate)`` for every
     category of every dimension, highest rate first.  ``unpivot`` is a narrow

@@ -664,6 +664,16 @@ def q_fact(spark, d):
     return M.churn_fact(churn(spark, d))
 
 
+@register("doc_fact_joined", ORACLE_SQL["doc_fact"])
+def q_fact_joined(spark, d):
+    # materialise the churn table once; dimensions and fact all read it
+    path = scratch_dir(spark, "churn")
+    write_parquet(churn(spark, d), path)
+    c = spark.read.parquet(path)
+    return M.churn_fact_joined(c, M.customer_dimension(c), M.dimension(c, ["ContractType"], "contract_key"),
+                               M.dimension(c, list(M.SERVICE_COLUMNS), "service_key"))
+
+
 @register("doc_churn_summary", f"""
 with c as (select *, {SQL_TENURE_BAND} as TenureBand from ({SQL_CHURN}) x),
      u as (select 'ContractType' as dimension, ContractType as category, Churn from c
