@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.columns import band, quoted
 from sluice.operators.joins import join_small
+from sluice.operators.quality import describe, missing_columns
 from sluice.sources.derived import SERVICE_COLUMNS
 
 # Fixed values (our choice; the documentation names the feature only):
@@ -163,6 +164,24 @@ def churn_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFram
     return agg.select(F.explode(F.when(F.col("__total") == 0, as_label).otherwise(as_nulls)).alias("m")).select("m.*")
 
 
+def validate_churn(df: DataFrame, expected: Sequence[str], label: str, numeric: Sequence[str]) -> dict:
+    """The churn extract's validation as one small dict: expected columns that
+    are missing (a warning, never a failure), NULL counts, the label
+    distribution and statistics of the numeric columns present.  Two jobs
+    (the rollup profile and ``describe``); collected results are bounded by
+    the column count and the label's categories."""
+    have = set(df.columns)
+    result: dict = {"missing_columns": missing_columns(df, expected), "null_counts": {}, "labels": {}, "stats": {}}
+    if label in have:
+        for r in churn_profile(df, label, df.columns).collect():
+            bucket = "labels" if r["metric"] == "label" else "null_counts"
+            result[bucket][r["key"]] = r["n"]
+    present = [c for c in numeric if c in have]
+    if present:
+        result["stats"] = {r["column_name"]: r.asDict() for r in describe(df, present).collect()}
+    return result
+
+
 def file_fingerprints(spark: SparkSession, path_glob: str, content: bool = True) -> DataFrame:
     """``(path, length, modification_time, sha256)`` per file.  With
     ``content=False`` only metadata is read (cheap change detection)."""

@@ -8,7 +8,7 @@ import datetime as dt
 from sluice.operators import clean as C
 from sluice.operators import enrich as E
 from sluice.operators import quality as Q
-from sluice.operators.modeling import churn_profile
+from sluice.operators.modeling import churn_profile, validate_churn
 from sluice.plans.flows import transform_sql
 from sluice.schemas import CHURN_LABEL, CHURN_NUMERIC, CHURN_SCHEMA, SAMPLE_SOURCE_SCHEMA
 from sluice.sinks.files import write_csv
@@ -67,3 +67,7 @@ def test_churn_csv_profile(spark, tmp_dir):
     desc = {r["column_name"]: r for r in Q.describe(back, CHURN_NUMERIC).collect()}
     assert desc["Age"]["count"] == 3 and desc["Tenure"]["max"] == 60.0
     assert dict(back.dtypes)["MonthlyCharges"] == "double"
+    report = validate_churn(back.drop("TechSupport"), CHURN_SCHEMA.fieldNames(), CHURN_LABEL, CHURN_NUMERIC)
+    assert report["missing_columns"] == ["TechSupport"]
+    assert report["labels"] == {"Yes": 2, "No": 2} and report["null_counts"]["Gender"] == 1
+    assert report["stats"]["Tenure"]["min"] == 3.0
