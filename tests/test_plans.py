@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from sluice.operators import quality as Q
+from sluice.operators.clean import clean_records
 from sluice.plans import catalog
+from sluice.sinks.files import write_bucketed
+from sluice.sources.derived import dirty_records
 from tests.conftest import SF_SMALL
 
 
@@ -62,3 +65,14 @@ def test_no_python_udfs_anywhere(spark):
             continue
         text = optimized(build(spark, SF_SMALL))
         assert "PythonUDF" not in text, name
+
+
+def test_bucketed_table_dedups_without_exchange(spark, tmp_dir):
+    dirty = dirty_records(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    assert write_bucketed(dirty, "dirty_bucketed_t", by=["id"], buckets=4, path=f"{tmp_dir}/b") == dirty.count()
+    try:
+        cleaned = clean_records(spark.table("dirty_bucketed_t"))
+        assert exchanges(cleaned) == 0
+        assert cleaned.count() == clean_records(dirty).count()
+    finally:
+        spark.sql("DROP TABLE IF EXISTS dirty_bucketed_t")
