@@ -13,6 +13,7 @@ from sluice.operators.joins import fits_broadcast, has_at_most, join_small
 from sluice.operators.quality import (
     describe, duplicate_profile, ensure_nonempty, expected_columns_report, frames_diff, frames_equal,
     group_counts, missing_columns, missing_profile, null_counts, quality_report, quality_summary, row_count,
+    sample_rows,
     validate_for_load,
 )
 from sluice.operators.summarize import daily_summary

@@ -26,6 +26,12 @@ def row_count(df: DataFrame, name: str = "total_rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def sample_rows(df: DataFrame, n: int = 5, order_by: Sequence[str] | None = None) -> DataFrame:
+    """The first ``n`` rows; with ``order_by`` the smallest ``n`` by those
+    columns (deterministic; planned as a bounded top-k per task)."""
+    return (df.orderBy(*[quoted(c) for c in order_by]) if order_by else df).limit(n)
+
+
 def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """One row, one BIGINT per column: how many NULLs it holds."""
     cols = list(columns) if columns is not None else df.columns

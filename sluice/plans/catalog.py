@@ -278,7 +278,7 @@ def q_filter_null_or_nan(spark, d):
 
 @register("sample_rows", f"select * from ({SQL_RECORDS}) s order by id limit 5")
 def q_sample_rows(spark, d):
-    return records(spark, d).orderBy("id").limit(5)
+    return Q.sample_rows(records(spark, d), 5, order_by=["id"])
 
 
 # ---------------------------------------------------------------- 2.4 scalar functions

@@ -62,10 +62,12 @@ def table_exists_jdbc(spark: SparkSession, url: str, table: str, properties: Map
 
 
 def create_table_jdbc(spark: SparkSession, url: str, table: str, schema: T.StructType,
-                      properties: Mapping[str, str] | None = None) -> bool:
+                      properties: Mapping[str, str] | None = None, column_types: str | None = None) -> bool:
     """``CREATE TABLE IF NOT EXISTS`` through Spark: an empty frame of
     ``schema`` written in ``append`` mode creates the table with Spark's JDBC
-    type mapping and leaves an existing table untouched.  Returns True."""
+    type mapping (``column_types`` overrides it, e.g. ``"name VARCHAR(255)"``)
+    and leaves an existing table untouched.  Returns True."""
     if not table_exists_jdbc(spark, url, table, properties):
-        write_jdbc(spark.createDataFrame([], schema), url, table, properties, mode="append")
+        write_jdbc(spark.createDataFrame([], schema), url, table, properties, mode="append",
+                   column_types=column_types)
     return True

@@ -53,6 +53,10 @@ def test_create_table_and_empty_source(spark, url):
     assert table_exists_jdbc(spark, url, "T2", DERBY)
     assert create_table_jdbc(spark, url, "T2", st, DERBY) is True
     assert read_jdbc(spark, url, "T2", DERBY).count() == 0
+    assert create_table_jdbc(spark, url, "T3", T._parse_datatype_string("id int, name string"), DERBY,
+                             column_types="name VARCHAR(255)") is True
+    write_jdbc(spark.createDataFrame([(1, "x")], "id int, name string"), url, "T3", DERBY)
+    assert read_jdbc(spark, url, "T3", DERBY).first()["name"] == "x"
 
 
 def test_load_and_summary_round_trip(spark, url):
