@@ -694,11 +694,11 @@ def q_raw_snapshot(spark, d):
     return spark.read.parquet(snap.path)
 
 
-# ---------------------------------------------------------------- rows-only (no SQL twin)
+# ---------------------------------------------------------------- lineage and fingerprints
 
-@register("doc_row_lineage")
+@register("doc_row_lineage", "select event_id, 'events.parquet' as source_file from events")
 def q_row_lineage(spark, d):
-    return with_source_file(table(spark, d, "events")).select("event_id", "source_file")
+    return with_source_file(table(spark, d, "events"), name_only=True).select("event_id", "source_file")
 
 
 @register("doc_file_fingerprint")

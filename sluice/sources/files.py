@@ -82,9 +82,11 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str
         return spark.createDataFrame([], schema)
 
 
-def with_source_file(df: DataFrame, out: str = "source_file") -> DataFrame:
-    """Per-row lineage: the file each row was read from (file sources only)."""
-    return df.withColumn(out, F.col("_metadata.file_path"))
+def with_source_file(df: DataFrame, out: str = "source_file", name_only: bool = False) -> DataFrame:
+    """Per-row lineage: the file each row was read from (file sources only);
+    ``name_only`` keeps the last path segment."""
+    path = F.col("_metadata.file_path")
+    return df.withColumn(out, F.element_at(F.split(path, "/"), -1) if name_only else path)
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:

@@ -16,7 +16,7 @@ def test_every_query_is_registered_with_a_callable():
     assert len(QUERIES) >= 50
     assert set(ORACLE) <= set(QUERIES)
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"fn_hash_murmur", "doc_row_lineage", "doc_file_fingerprint"}
+    assert rows_only == {"fn_hash_murmur", "doc_file_fingerprint"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
