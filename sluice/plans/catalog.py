@@ -24,6 +24,7 @@ from sluice.operators.summarize import daily_summary
 from sluice.plans import flows
 from sluice.schemas import DAILY_SUMMARY_SCHEMA, PROCESSED_SCHEMA
 from sluice.session import scratch_dir
+from sluice.streaming.incremental import incremental_transform
 from sluice.sinks.files import write_csv, write_parquet, write_partitioned
 from sluice.sources.derived import churn_frame, dirty_records, events_as_records, table
 from sluice.sources.files import (
@@ -497,6 +498,20 @@ def q_pipe_transform(spark, d):
     return spark.read.parquet(f"{base}/processed/{flows.PROCESSED_PREFIX}*")
 
 
+@register("stream_incremental_transform", f"""
+select * from ({SQL_ENRICH}) a union all select * from ({sql_enrich(sql_clean(SQL_RECORDS))}) b
+""")
+def q_stream_incremental(spark, d):
+    base = scratch_dir(spark, "incremental")
+    raw, out, ckpt = f"{base}/raw", f"{base}/processed", f"{base}/checkpoint"
+    first = dirty(spark, d)
+    write_parquet(first, f"{raw}/{flows.RAW_MARKER}_r1")
+    incremental_transform(spark, raw, first.schema, out, checkpoint=ckpt, as_of=AS_OF, with_hash=False)
+    write_parquet(records(spark, d), f"{raw}/{flows.RAW_MARKER}_r2")  # only this run is new
+    incremental_transform(spark, raw, first.schema, out, checkpoint=ckpt, as_of=AS_OF, with_hash=False)
+    return spark.read.parquet(out).drop("batch")
+
+
 @register("pipe_transform_sql", f"""
 select id, lower(trim(name)) as name, value, "timestamp", timestamp '{AS_OF}' as processed_timestamp,
        cast(year("timestamp") as int) as year, cast(month("timestamp") as int) as month,
