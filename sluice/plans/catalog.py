@@ -80,7 +80,7 @@ select case when event_id % 101 = 0 then null else event_id end as id,
        case when event_id % 101 = 0 or event_id % 13 = 0 then null
             when event_id % 11 = 0 then -value else value end as value,
        case when event_id % 101 = 0 then null else ts end as "timestamp"
-from (select * from events union all select * from events where event_id % 50 = 0) e
+from (select *, unnest(case when event_id % 50 = 0 then [1, 2] else [1] end) as copy from events) e
 """
 
 
