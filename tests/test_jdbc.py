@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.summarize import daily_summary
 from sluice.sinks.jdbc import create_table_jdbc, table_exists_jdbc, write_jdbc
-from sluice.sources.jdbc import jdbc_bounds, jdbc_config_from_env, read_jdbc
+from sluice.sources.jdbc import jdbc_bounds, jdbc_config_from_env, modulo_predicates, read_jdbc
 from sluice.sources.derived import events_as_records
 from sluice.operators.clean import clean_records
 from sluice.operators.enrich import enrich_records
@@ -93,3 +93,18 @@ def test_partitioned_read_on_timestamp_and_empty_table(spark, url):
     write_jdbc(df.limit(0), url, "EMPTY_T", DERBY, mode="append")
     assert jdbc_bounds(spark, url, "EMPTY_T", "id", DERBY) == (None, None)
     assert read_jdbc(spark, url, "EMPTY_T", DERBY, partition_column="id").count() == 0
+
+
+def test_predicate_split_is_even_on_a_skewed_key(spark, url):
+    # ids crowd into one end of the key space: range splits would put most rows in one task
+    df = spark.range(0, 3000).select(
+        F.when(F.col("id") < 2900, F.col("id")).otherwise(F.col("id") * 1001).cast("bigint").alias("id"))
+    df = df.unionByName(spark.createDataFrame([(None,)], "id bigint"))
+    write_jdbc(df, url, "SKEWED", DERBY)
+    ranged = read_jdbc(spark, url, "SKEWED", DERBY, partition_column="id", num_partitions=4)
+    by_mod = read_jdbc(spark, url, "SKEWED", DERBY, predicates=modulo_predicates("id", 4))
+    assert by_mod.count() == ranged.count() == 3001
+    sizes = by_mod.rdd.glom().map(len).collect()
+    ranged_sizes = ranged.rdd.glom().map(len).collect()
+    assert max(sizes[:4]) <= 1.1 * min(sizes[:4]) and sizes[4] == 1
+    assert max(ranged_sizes) > 2 * max(sizes)
