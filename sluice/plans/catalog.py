@@ -709,6 +709,23 @@ def q_raw_snapshot(spark, d):
     return spark.read.parquet(snap.path)
 
 
+def _e2e_with_bookkeeping(spark, d):
+    base = scratch_dir(spark, "e2e_books")
+    flows.end_to_end(spark, dirty(spark, d), f"{base}/work", "events_dirty", as_of=AS_OF, rid="20240201_000000",
+                     metrics_path=f"{base}/metrics", audit_path=f"{base}/audit")
+    return base
+
+
+@register("doc_pipeline_metrics")
+def q_pipeline_metrics(spark, d):
+    return spark.read.parquet(f"{_e2e_with_bookkeeping(spark, d)}/metrics")
+
+
+@register("doc_load_audit")
+def q_load_audit(spark, d):
+    return spark.read.parquet(f"{_e2e_with_bookkeeping(spark, d)}/audit")
+
+
 # ---------------------------------------------------------------- lineage and fingerprints
 
 @register("doc_row_lineage", "select event_id, 'events.parquet' as source_file from events")

@@ -29,7 +29,7 @@ from sluice.schemas import EXTRACTION_TS, LOAD_TS, PROCESSED_SCHEMA, SOURCE_SYST
 from sluice.sinks.files import run_id as new_run_id
 from sluice.sinks.files import write_csv, write_parquet, write_partitioned
 from sluice.sinks.jdbc import write_jdbc
-from sluice.plans.metrics import append_by_run, audit_frame, completed_runs
+from sluice.plans.metrics import RunMetrics, append_by_run, audit_frame, completed_runs
 from sluice.sources.files import (
     CSV_TIMESTAMP_FORMAT_MICROS, discover_datasets, glob_exists, path_exists, read_csv, read_parquet,
 )
@@ -284,17 +284,42 @@ def end_to_end(
     source_system: str,
     as_of: dt.datetime | str | None = None,
     rid: str | None = None,
+    metrics_path: str | None = None,
+    audit_path: str | None = None,
 ) -> dict:
-    """extract -> validate -> transform -> quality check -> load -> verify -> summary."""
+    """extract -> validate -> transform -> quality check -> load -> verify -> summary.
+
+    With ``metrics_path`` one row per stage (rows in/out, rejected, error
+    rate, seconds) is written for the run; with ``audit_path`` the load is
+    recorded in the audit trail.  Both are partitioned by ``run_id``.
+    """
     rid = rid or new_run_id()
     base = workdir.rstrip("/")
-    landed = extract(spark, source, f"{base}/raw", source_system, rid=rid, as_of=as_of)
-    ensure_nonempty(spark.read.parquet(landed.path), "extracted data")
-    processed = transform(spark, f"{base}/raw", f"{base}/processed", as_of=as_of)
+    run = RunMetrics(rid)
+    with run.stage("extract") as st:
+        landed = extract(spark, source, f"{base}/raw", source_system, rid=rid, as_of=as_of)
+        ensure_nonempty(spark.read.parquet(landed.path), "extracted data")
+        st.rows_out = landed.rows
+    with run.stage("transform", rows_in=landed.rows) as st:
+        processed = transform(spark, f"{base}/raw", f"{base}/processed", as_of=as_of)
+        st.rows_out = processed.rows
+        reports = processed.details["reports"].values()
+        total = sum(r["total_rows"] for r in reports)
+        st.quality_score = (1.0 - sum(r["duplicates"] for r in reports) / total) if total else None
     processed_df = ensure_nonempty(spark.read.parquet(f"{base}/processed/{PROCESSED_PREFIX}*"), "processed data")
-    loaded = load(spark, processed_df, f"{base}/warehouse/processed_data", as_of=as_of)
-    verified = verify_load(spark, loaded.path, loaded.rows)
-    summary = summarize(spark, loaded.path, f"{base}/warehouse/daily_summary", as_of=as_of)
+    started = dt.datetime.now()
+    with run.stage("load", rows_in=processed.rows) as st:
+        loaded = load(spark, processed_df, f"{base}/warehouse/processed_data", as_of=as_of)
+        verified = verify_load(spark, loaded.path, loaded.rows)
+        st.rows_out = loaded.rows
+    with run.stage("summary", rows_in=loaded.rows) as st:
+        summary = summarize(spark, loaded.path, f"{base}/warehouse/daily_summary", as_of=as_of)
+        st.rows_out = summary.rows
+    if metrics_path:
+        append_by_run(run.to_frame(spark), metrics_path)
+    if audit_path:
+        append_by_run(audit_frame(spark, rid, f"{base}/processed", loaded.path, loaded.rows, started,
+                                  dt.datetime.now()), audit_path)
     return {
         "run_id": rid,
         "extracted": landed.rows,
@@ -305,4 +330,5 @@ def end_to_end(
         "summary_path": summary.path,
         "table_path": loaded.path,
         "reports": processed.details["reports"],
+        "stages": [(m.stage, m.rows_in, m.rows_out, m.seconds) for m in run.stages],
     }

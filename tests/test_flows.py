@@ -42,6 +42,17 @@ def test_end_to_end_on_dirty_rows(spark, tmp_dir):
     assert summary.agg(F.sum("record_count")).first()[0] == 3
     table = spark.read.parquet(out["table_path"])
     assert table.where("source_system = 'crm' and extraction_timestamp is not null").count() == 3
+    assert [s[0] for s in out["stages"]] == ["extract", "transform", "load", "summary"]
+
+
+def test_end_to_end_records_metrics_and_audit(spark, tmp_dir):
+    flows.end_to_end(spark, _dirty_five(spark), f"{tmp_dir}/w", "crm", as_of=AS_OF, rid="r9",
+                     metrics_path=f"{tmp_dir}/m", audit_path=f"{tmp_dir}/a")
+    m = {r["stage"]: r for r in spark.read.parquet(f"{tmp_dir}/m").collect()}
+    assert (m["transform"]["rows_in"], m["transform"]["rows_out"], m["transform"]["rejected"]) == (5, 3, 2)
+    assert m["transform"]["quality_score"] == 0.8 and m["transform"]["error_rate"] == 0.4
+    audit = spark.read.parquet(f"{tmp_dir}/a").first()
+    assert (audit["run_id"], audit["rows"], audit["status"]) == ("r9", 3, "ok")
 
 
 def test_transform_keeps_same_named_parquet_and_csv_apart(spark, tmp_dir):
