@@ -157,9 +157,9 @@ def quality_report(df: DataFrame, prefix: str = "missing_", approx_rsd: float |
     )
 
 
-def quality_summary(df: DataFrame, table_name: str = "DataFrame") -> dict:
+def quality_summary(df: DataFrame, table_name: str = "DataFrame", approx_rsd: float | None = None) -> dict:
     """The report as a small dict (one collected row: bounded by column count)."""
-    row = quality_report(df).first().asDict()
+    row = quality_report(df, approx_rsd=approx_rsd).first().asDict()
     return {
         "table_name": table_name,
         "total_rows": row["total_rows"],

@@ -124,12 +124,15 @@ def transform(
     with_hash: bool = True,
     marker: str = RAW_MARKER,
     export_root: str | None = None,
+    report_approx_rsd: float | None = None,
 ) -> StepResult:
     """For every landed dataset (Parquet folders named with ``marker``, and
     ``*.csv`` files read with ``csv_schema``): quality report (one job),
     clean + enrich, write ``<processed_root>/transformed_<name>``.  CSV
     sources also get a CSV copy of their output under ``export_root`` when
     given - outside ``processed_root``, so the load never reads it twice.
+    ``report_approx_rsd`` makes the report's distinct count a HyperLogLog
+    estimate, sparing very large datasets a second full shuffle.
 
     Datasets are listed by name on the driver; each one is a distributed job.
     """
@@ -140,7 +143,7 @@ def transform(
         name = path.rstrip("/").rsplit("/", 1)[-1]
         df = read_parquet(spark, path) if kind == "parquet" else read_csv(
             spark, path, schema=csv_schema, timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
-        reports[name] = quality_summary(df, name)
+        reports[name] = quality_summary(df, name, approx_rsd=report_approx_rsd)
         stem = name[:-4] if name.endswith(".csv") else name
         if stem in stems:  # a Parquet folder and a CSV file of the same name
             stem += "_csv"

@@ -105,6 +105,13 @@ def test_frames_diff(spark, sample_df):
         (1, "right_only", 2), (2, "right_only", 1), (3, "right_only", 1), (4, "right_only", 1), (5, "right_only", 1)]
 
 
+def test_approx_quality_report(spark):
+    df = spark.range(0, 2000).selectExpr("id % 1000 as a", "case when id % 10 = 0 then null else id end as b")
+    rep = Q.quality_summary(df, approx_rsd=0.01)
+    assert rep["total_rows"] == 2000 and rep["null_counts"]["b"] == 200
+    assert abs(rep["distinct_rows"] - 2000) <= 80
+
+
 def test_approx_duplicate_profile(spark):
     df = spark.range(0, 2000).selectExpr("id % 1000 as a")
     r = Q.duplicate_profile(df, approx_rsd=0.01).first()
