@@ -23,7 +23,7 @@ from sluice.functions.columns import is_floating
 from sluice.operators.clean import clean_records
 from sluice.operators.conform import conform_to_schema
 from sluice.operators.enrich import enrich_records, timestamp_value
-from sluice.operators.quality import ensure_nonempty, quality_summary
+from sluice.operators.quality import quality_summary
 from sluice.operators.summarize import daily_summary
 from sluice.schemas import EXTRACTION_TS, LOAD_TS, PROCESSED_SCHEMA, SOURCE_SYSTEM
 from sluice.sinks.files import run_id as new_run_id
@@ -280,6 +280,11 @@ def summarize(spark: SparkSession, table_path: str, out_path: str,
     return StepResult(write_parquet(summary, out_path), out_path)
 
 
+def _require_rows(rows: int, label: str) -> None:
+    if rows <= 0:
+        raise ValueError(f"{label} is empty")
+
+
 def end_to_end(
     spark: SparkSession,
     source: DataFrame,
@@ -301,7 +306,7 @@ def end_to_end(
     run = RunMetrics(rid)
     with run.stage("extract") as st:
         landed = extract(spark, source, f"{base}/raw", source_system, rid=rid, as_of=as_of)
-        ensure_nonempty(spark.read.parquet(landed.path), "extracted data")
+        _require_rows(landed.rows, "extracted data")  # observed on the write: no re-read
         st.rows_out = landed.rows
     with run.stage("transform", rows_in=landed.rows) as st:
         processed = transform(spark, f"{base}/raw", f"{base}/processed", as_of=as_of)
@@ -309,7 +314,8 @@ def end_to_end(
         reports = processed.details["reports"].values()
         total = sum(r["total_rows"] for r in reports)
         st.quality_score = (1.0 - sum(r["duplicates"] for r in reports) / total) if total else None
-    processed_df = ensure_nonempty(spark.read.parquet(f"{base}/processed/{PROCESSED_PREFIX}*"), "processed data")
+        _require_rows(processed.rows, "processed data")
+    processed_df = spark.read.parquet(f"{base}/processed/{PROCESSED_PREFIX}*")
     started = dt.datetime.now()
     with run.stage("load", rows_in=processed.rows) as st:
         loaded = load(spark, processed_df, f"{base}/warehouse/processed_data", as_of=as_of)
