@@ -122,6 +122,17 @@ def test_jdbc_load_is_guarded_by_run_id(spark, tmp_dir):
     assert flows.verify_jdbc(spark, url, "PD", DERBY) == first.rows + second_run.rows
 
 
+def test_failed_jdbc_load_raises_and_is_retried(spark, tmp_dir):
+    recs = flows.transform_dataset(_dirty_five(spark), AS_OF)
+    missing_db = f"jdbc:derby:memory:absent_{uuid.uuid4().hex[:8]}"  # no create=true: connection fails
+    with pytest.raises(Exception):
+        flows.load_jdbc(recs, missing_db, "PD", DERBY, as_of=AS_OF, rid="r1", audit_path=f"{tmp_dir}/audit")
+    assert not os.path.exists(f"{tmp_dir}/audit")  # nothing recorded, so the run is retried
+    ok_db = f"jdbc:derby:memory:retry_{uuid.uuid4().hex[:8]};create=true"
+    res = flows.load_jdbc(recs, ok_db, "PD", DERBY, as_of=AS_OF, rid="r1", audit_path=f"{tmp_dir}/audit")
+    assert res.rows == 3 and not res.details["skipped"]
+
+
 def test_metrics_and_audit(spark, tmp_dir):
     run = RunMetrics("r1")
     with run.stage("clean", rows_in=10) as st:
