@@ -12,7 +12,7 @@ from sluice.operators.modeling import churn_profile, validate_churn
 from sluice.plans.flows import transform_sql
 from sluice.schemas import CHURN_LABEL, CHURN_NUMERIC, CHURN_SCHEMA, SAMPLE_SOURCE_SCHEMA
 from sluice.sinks.files import write_csv
-from sluice.sources.derived import dirty_records, events_as_records, to_records
+from sluice.sources.derived import churn_frame, dirty_records, events_as_records, to_records
 from sluice.sources.files import read_csv
 from tests.conftest import SF_ORACLE, rows
 
@@ -71,3 +71,26 @@ def test_churn_csv_profile(spark, tmp_dir):
     assert report["missing_columns"] == ["TechSupport"]
     assert report["labels"] == {"Yes": 2, "No": 2} and report["null_counts"]["Gender"] == 1
     assert report["stats"]["Tenure"]["min"] == 3.0
+
+
+def test_churn_frame_by_hand(spark):
+    customer = spark.createDataFrame([(1, "A", 0, 10.0, "BUILDING"), (2, "B", 1, 5.0, "MACHINERY"),
+                                      (3, "C", 0, 1.0, "BUILDING")],
+                                     "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    nation = spark.createDataFrame([(0, "FRANCE", 0), (1, "JAPAN", 1)], "n_nationkey int, n_name string, n_regionkey int")
+    region = spark.createDataFrame([(0, "EUROPE"), (1, "ASIA")], "r_regionkey int, r_name string")
+    orders = spark.createDataFrame([
+        (10, 1, "F", 100.10, dt.datetime(2020, 1, 1), "1-URGENT"),
+        (11, 1, "F", 200.20, dt.datetime(2022, 6, 1), "5-LOW"),   # last order in the data
+        (12, 2, "F", 50.00, dt.datetime(2020, 3, 1), "5-LOW"),    # > 365 days before 2022-06-01
+    ], "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+       "o_orderdate timestamp_ntz, o_orderpriority string")
+    got = {r["CustomerID"]: r.asDict() for r in churn_frame(customer, orders, nation, region).collect()}
+    one, two, three = got[1], got[2], got[3]
+    # 2020-01-01 .. 2022-06-01 is 882 days -> 882 div 30 + 1 = 30 months
+    assert (one["Tenure"], one["TotalCharges"], one["Churn"]) == (30, 300.3, "No")
+    assert one["MonthlyCharges"] == 300.3 / 30
+    assert (one["UrgentService"], one["LowService"], one["HighService"]) == ("Yes", "Yes", "No")
+    assert (one["Nation"], one["Region"], one["ContractType"]) == ("FRANCE", "EUROPE", "BUILDING")
+    assert (two["Tenure"], two["Churn"], two["Region"]) == (1, "Yes", "ASIA")
+    assert (three["Tenure"], three["TotalCharges"], three["MonthlyCharges"], three["Churn"]) == (0, None, None, "Yes")
