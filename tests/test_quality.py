@@ -5,12 +5,15 @@ from __future__ import annotations
 import datetime as dt
 import math
 import random
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators import impute as I
 from sluice.operators import quality as Q
+from sluice.operators.summarize import daily_summary
 from sluice.schemas import CHURN_COLUMNS
 from tests.conftest import rows
 
@@ -140,3 +143,18 @@ def test_impute_strategies(spark):
     assert -1 in {r["id"] for r in out}
     mean = rows(I.impute(df, {"v": "mean"}), ["id"])
     assert sorted(r["v"] for r in mean) == [1.0, 3.0, 3.0, 5.0]
+
+
+def test_exact_daily_average_is_partition_independent(spark):
+    rnd = random.Random(3)
+    vals = [round(rnd.uniform(0.01, 500.0), 2) for _ in range(20_000)]
+    base = spark.createDataFrame([(i % 3, v) for i, v in enumerate(vals)], "g int, value double")
+    results = set()
+    for parts in (1, 7, 29):
+        shuffled = base.repartition(parts, F.rand(parts)).sortWithinPartitions(F.rand(parts + 1))
+        out = daily_summary(shuffled, keys=("g",), with_timestamp=False)
+        results.add(tuple(sorted((r["g"], r["avg_value"]) for r in out.collect())))
+    assert len(results) == 1
+    want = {g: float(sum(Decimal(str(v)) for i, v in enumerate(vals) if i % 3 == g)) / sum(1 for i in range(len(vals)) if i % 3 == g)
+            for g in range(3)}
+    assert dict(results.pop()) == want
