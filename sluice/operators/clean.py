@@ -96,6 +96,7 @@ def clean_records(
     nan: str = "drop",
     exclude: Iterable[str] = ("timestamp", *METADATA_COLUMNS),
     fill: Mapping[str, object] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """The cleaning step of the transform job.
 
@@ -106,9 +107,14 @@ def clean_records(
     5. full-row distinct - after the string clean-up, so case and space
        variants collapse;
     6. optional constant fill.
+
+    ``carry`` columns (e.g. a dataset id) ride along untouched: they are left
+    out of the all-NULL test and the string clean-up but kept in the
+    de-duplication, so copies are removed within each carried key only.
     """
-    out = drop_all_null(df)
-    out = clean_strings(out, exclude)
+    carried = set(carry)
+    out = drop_all_null(df, [c for c in business_columns(df) if c not in carried])
+    out = clean_strings(out, (*exclude, *carry))
     if value_column in out.columns:
         out = filter_positive(out, value_column, nan)
     out = filter_not_null(out, [c for c in required_columns if c in out.columns])

@@ -498,6 +498,21 @@ def q_pipe_transform(spark, d):
     return spark.read.parquet(f"{base}/processed/{flows.PROCESSED_PREFIX}*")
 
 
+@register("pipe_transform_batched", f"""
+select *, 'extracted_data_r1' as dataset from ({SQL_ENRICH}) a
+union all
+select *, 'extracted_data_r2' as dataset from ({sql_enrich(sql_clean(SQL_RECORDS))}) b
+""")
+def q_pipe_transform_batched(spark, d):
+    base = scratch_dir(spark, "batched")
+    first = dirty(spark, d)
+    write_parquet(first, f"{base}/raw/{flows.RAW_MARKER}_r1")
+    write_parquet(records(spark, d), f"{base}/raw/{flows.RAW_MARKER}_r2")
+    flows.transform_batched(spark, f"{base}/raw", f"{base}/processed", as_of=AS_OF, with_hash=False,
+                            schema=first.schema)
+    return spark.read.parquet(f"{base}/processed")
+
+
 @register("stream_incremental_transform", f"""
 select * from ({SQL_ENRICH}) a union all select * from ({sql_enrich(sql_clean(SQL_RECORDS))}) b
 """)

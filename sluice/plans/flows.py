@@ -23,7 +23,7 @@ from sluice.functions.columns import is_floating
 from sluice.operators.clean import clean_records
 from sluice.operators.conform import conform_to_schema
 from sluice.operators.enrich import enrich_records, timestamp_value
-from sluice.operators.quality import quality_summary
+from sluice.operators.quality import quality_report_by, quality_summary
 from sluice.operators.summarize import daily_summary
 from sluice.schemas import EXTRACTION_TS, LOAD_TS, PROCESSED_SCHEMA, SOURCE_SYSTEM
 from sluice.sinks.files import run_id as new_run_id
@@ -156,6 +156,38 @@ def transform(
     return StepResult(total, processed_root, {"reports": reports})
 
 
+DATASET_COLUMN = "dataset"
+
+
+def transform_batched(
+    spark: SparkSession,
+    raw_root: str,
+    processed_path: str,
+    as_of: dt.datetime | str | None = None,
+    with_hash: bool = True,
+    marker: str = RAW_MARKER,
+    schema: T.StructType | None = None,
+) -> StepResult:
+    """The transform over every landed Parquet dataset in one pass.
+
+    All ``<raw_root>/<marker>*`` folders are read by one scan; each row is
+    tagged with its dataset (the folder name, from the file's metadata).  The
+    per-dataset quality reports come from one grouped aggregate, cleaning
+    de-duplicates within each dataset, and the output is written to
+    ``<processed_path>/dataset=<name>`` partitions (rebalanced, dynamic
+    overwrite).  The number of jobs does not grow with the number of
+    datasets, unlike a loop over them.  Datasets must share one schema
+    (``schema`` pins it; otherwise Parquet footers decide).
+    """
+    raw = read_parquet(spark, f"{raw_root.rstrip('/')}/{marker}*", schema=schema)
+    tagged = raw.withColumn(DATASET_COLUMN, F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1))
+    reports = {r[DATASET_COLUMN]: r.asDict() for r in quality_report_by(tagged, DATASET_COLUMN).collect()}
+    cleaned = clean_records(tagged, carry=(DATASET_COLUMN,))
+    out = enrich_records(cleaned, as_of=as_of, with_hash=with_hash)
+    rows = write_partitioned(out, processed_path, keys=(DATASET_COLUMN,))
+    return StepResult(rows, processed_path, {"reports": reports})
+
+
 TRANSFORM_SQL = """
 SELECT
     id,

@@ -64,6 +64,22 @@ def test_transform_keeps_same_named_parquet_and_csv_apart(spark, tmp_dir):
         "transformed_extracted_data_a", "transformed_extracted_data_a_csv"]
 
 
+def test_transform_batched_dedups_within_each_dataset(spark, tmp_dir):
+    src = _dirty_five(spark)
+    write_parquet(src, f"{tmp_dir}/raw/extracted_data_r1")
+    write_parquet(src, f"{tmp_dir}/raw/extracted_data_r2")  # the same rows again, as another run
+    res = flows.transform_batched(spark, f"{tmp_dir}/raw", f"{tmp_dir}/out", as_of=AS_OF, schema=RECORD_SCHEMA)
+    assert res.rows == 6  # 3 per dataset: copies across datasets are kept, like the per-dataset loop
+    assert sorted(res.details["reports"]) == ["extracted_data_r1", "extracted_data_r2"]
+    rep = res.details["reports"]["extracted_data_r1"]
+    assert (rep["total_rows"], rep["duplicates"], rep["missing_name"]) == (5, 1, 1)
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert {r["dataset"]: r["count"] for r in out.groupBy("dataset").count().collect()} == {
+        "extracted_data_r1": 3, "extracted_data_r2": 3}
+    loop = flows.transform(spark, f"{tmp_dir}/raw", f"{tmp_dir}/loop", as_of=AS_OF)
+    assert loop.rows == res.rows
+
+
 def test_load_is_idempotent(spark, tmp_dir):
     recs = flows.transform_dataset(events_as_records(spark.read.parquet(f"{SF_SMALL}/events.parquet")), AS_OF)
     first = flows.load(spark, recs, f"{tmp_dir}/t", as_of=AS_OF)
