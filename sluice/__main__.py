@@ -46,6 +46,8 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--processed", required=True)
     t.add_argument("--csv-schema", help="DDL schema for landed CSV files")
     t.add_argument("--export", help="folder for CSV copies of CSV-sourced outputs")
+    t.add_argument("--batched", action="store_true",
+                   help="all landed Parquet datasets in one pass (output partitioned by dataset)")
 
     ld = common(sub.add_parser("load", help="conform and load processed data"))
     ld.add_argument("--processed", required=True)
@@ -81,8 +83,11 @@ def main(argv: list[str] | None = None) -> dict:
                             as_of=as_of, export_root=args.export)
         out = {"rows": res.rows, "path": res.path, **res.details}
     elif args.step == "transform":
-        res = flows.transform(spark, args.raw, args.processed, as_of=as_of, csv_schema=args.csv_schema,
-                              export_root=args.export)
+        if args.batched:
+            res = flows.transform_batched(spark, args.raw, args.processed, as_of=as_of)
+        else:
+            res = flows.transform(spark, args.raw, args.processed, as_of=as_of, csv_schema=args.csv_schema,
+                                  export_root=args.export)
         out = {"rows": res.rows, "datasets": sorted(res.details["reports"])}
     elif args.step == "load":
         paths = [f"{args.processed.rstrip('/')}/{flows.PROCESSED_PREFIX}*"]
