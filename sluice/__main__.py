@@ -21,7 +21,7 @@ import sys
 from sluice.operators.quality import quality_summary
 from sluice.plans import flows
 from sluice.session import build_session
-from sluice.sources.files import read_csv, read_parquet
+from sluice.sources.files import glob_exists, read_csv, read_parquet
 from sluice.sources.jdbc import jdbc_config_from_env
 
 
@@ -90,7 +90,10 @@ def main(argv: list[str] | None = None) -> dict:
                                   export_root=args.export)
         out = {"rows": res.rows, "datasets": sorted(res.details["reports"])}
     elif args.step == "load":
-        paths = [f"{args.processed.rstrip('/')}/{flows.PROCESSED_PREFIX}*"]
+        root = args.processed.rstrip("/")
+        # per-dataset folders (transform) or dataset partitions (transform --batched)
+        paths = [p for p in (f"{root}/{flows.PROCESSED_PREFIX}*", f"{root}/{flows.DATASET_COLUMN}=*")
+                 if glob_exists(spark, p)]
         if args.jdbc_url:
             cfg = jdbc_config_from_env()
             src = read_parquet(spark, paths)

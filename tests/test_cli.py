@@ -24,5 +24,6 @@ def test_cli_steps(spark, tmp_dir):
     assert batched["rows"] == 2 and batched["datasets"] == ["extracted_data_r1"]
     assert main(["load", "--processed", f"{tmp_dir}/proc", "--target", f"{tmp_dir}/wh", *common])["rows"] == 2
     assert main(["summary", "--table", f"{tmp_dir}/wh", "--out", f"{tmp_dir}/sum", *common])["rows"] == 2
+    assert main(["load", "--processed", f"{tmp_dir}/batched", "--target", f"{tmp_dir}/wh2", *common])["rows"] == 2
     out = main(["run", "--input", f"{tmp_dir}/in.csv", "--schema", DDL, "--workdir", f"{tmp_dir}/e2e", *common])
     assert (out["extracted"], out["processed"], out["loaded"], out["summary_rows"]) == (4, 2, 2, 2)
