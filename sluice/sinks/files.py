@@ -68,11 +68,13 @@ def write_partitioned(df: DataFrame, path: str, keys: Sequence[str] = ("year", "
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", header: bool = True,
               single_file: bool = False, timestamp_format: str = CSV_TIMESTAMP_FORMAT) -> int:
-    """CSV export with a header.  ``single_file=True`` funnels all rows through
-    one task (small exports only); the default writes one file per task.
+    """CSV export with a header.  ``single_file=True`` writes one part file:
+    the rows are shuffled into one partition (``repartition(1)``, so the work
+    before it stays parallel - ``coalesce(1)`` would run that in one task too);
+    meant for small exports.  The default writes one file per task.
     Timestamps use ``timestamp_format`` for both zoned and zone-free columns,
     the same pattern the CSV reader is given."""
-    src = df.coalesce(1) if single_file else df
+    src = df.repartition(1) if single_file else df
     out, obs = observed(src)
     (out.write.mode(mode).option("header", str(header).lower())
         .option("timestampFormat", timestamp_format).option("timestampNTZFormat", timestamp_format)
