@@ -70,6 +70,7 @@ def _parser() -> argparse.ArgumentParser:
     run.add_argument("--schema")
     run.add_argument("--workdir", required=True)
     run.add_argument("--source-system", default="csv")
+    run.add_argument("--batched", action="store_true", help="transform all landed datasets in one pass")
     return p
 
 
@@ -115,7 +116,8 @@ def main(argv: list[str] | None = None) -> dict:
         out = quality_summary(df, args.input)
     else:
         src = read_csv(spark, args.input, schema=args.schema)
-        res = flows.end_to_end(spark, src, args.workdir, args.source_system, as_of=as_of, rid=rid)
+        res = flows.end_to_end(spark, src, args.workdir, args.source_system, as_of=as_of, rid=rid,
+                               batched=args.batched)
         out = {k: v for k, v in res.items() if k != "reports"}
     print(json.dumps(out, default=str))
     return out

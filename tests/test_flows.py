@@ -45,6 +45,16 @@ def test_end_to_end_on_dirty_rows(spark, tmp_dir):
     assert [s[0] for s in out["stages"]] == ["extract", "transform", "load", "summary"]
 
 
+def test_end_to_end_batched_matches_loop(spark, tmp_dir):
+    loop = flows.end_to_end(spark, _dirty_five(spark), f"{tmp_dir}/a", "crm", as_of=AS_OF, rid="r1")
+    batched = flows.end_to_end(spark, _dirty_five(spark), f"{tmp_dir}/b", "crm", as_of=AS_OF, rid="r1", batched=True)
+    assert (batched["processed"], batched["loaded"], batched["summary_rows"]) == (
+        loop["processed"], loop["loaded"], loop["summary_rows"])
+    a = spark.read.parquet(loop["summary_path"])
+    b = spark.read.parquet(batched["summary_path"]).select(*a.columns)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_end_to_end_records_metrics_and_audit(spark, tmp_dir):
     flows.end_to_end(spark, _dirty_five(spark), f"{tmp_dir}/w", "crm", as_of=AS_OF, rid="r9",
                      metrics_path=f"{tmp_dir}/m", audit_path=f"{tmp_dir}/a")
