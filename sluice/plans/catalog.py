@@ -727,7 +727,7 @@ def q_raw_snapshot(spark, d):
 def _e2e_with_bookkeeping(spark, d):
     base = scratch_dir(spark, "e2e_books")
     flows.end_to_end(spark, dirty(spark, d), f"{base}/work", "events_dirty", as_of=AS_OF, rid="20240201_000000",
-                     metrics_path=f"{base}/metrics", audit_path=f"{base}/audit")
+                     metrics_path=f"{base}/metrics", audit_path=f"{base}/audit", batched=True)
     return base
 
 
