@@ -12,10 +12,11 @@ from sluice.operators.enrich import (
 from sluice.operators.joins import fits_broadcast, has_at_most, join_small
 from sluice.operators.quality import (
     describe, duplicate_profile, ensure_nonempty, expected_columns_report, frames_diff, frames_equal,
-    group_counts, missing_columns, missing_profile, null_counts, quality_report, quality_summary, row_count,
-    sample_rows,
+    group_counts, missing_columns, missing_profile, null_counts, quality_report, quality_report_by, quality_summary,
+    row_count, sample_rows,
     validate_for_load,
 )
+from sluice.operators.impute import exact_quantile, impute, mode_value
 from sluice.operators.summarize import daily_summary
 
 __all__ = [n for n in dir() if not n.startswith("_")]
