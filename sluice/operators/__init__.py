@@ -16,7 +16,7 @@ from sluice.operators.quality import (
     row_count, sample_rows,
     validate_for_load,
 )
-from sluice.operators.impute import exact_quantile, impute, mode_value
+from sluice.operators.impute import exact_quantile, mode_value  # impute(): sluice.operators.impute.impute
 from sluice.operators.summarize import daily_summary
 
 __all__ = [n for n in dir() if not n.startswith("_")]
