@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -180,7 +181,10 @@ def transform_batched(
     (``schema`` pins it; otherwise Parquet footers decide).
     """
     raw = read_parquet(spark, f"{raw_root.rstrip('/')}/{marker}*", schema=schema)
-    tagged = raw.withColumn(DATASET_COLUMN, F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1))
+    # the dataset is the landed folder (name starting with the marker), even
+    # when that folder holds partition sub-folders of its own
+    pattern = "/(" + re.escape(marker) + "[^/]*)/"
+    tagged = raw.withColumn(DATASET_COLUMN, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
     reports = {r[DATASET_COLUMN]: r.asDict() for r in quality_report_by(tagged, DATASET_COLUMN).collect()}
     cleaned = clean_records(tagged, carry=(DATASET_COLUMN,))
     out = enrich_records(cleaned, as_of=as_of, with_hash=with_hash)

@@ -90,6 +90,13 @@ def test_transform_batched_dedups_within_each_dataset(spark, tmp_dir):
     assert loop.rows == res.rows
 
 
+def test_transform_batched_tags_partitioned_datasets(spark, tmp_dir):
+    src = _dirty_five(spark).withColumn("part", F.col("id") % 2)
+    src.write.partitionBy("part").parquet(f"{tmp_dir}/raw/extracted_data_r1")
+    res = flows.transform_batched(spark, f"{tmp_dir}/raw", f"{tmp_dir}/out", as_of=AS_OF)
+    assert list(res.details["reports"]) == ["extracted_data_r1"]
+
+
 def test_load_is_idempotent(spark, tmp_dir):
     recs = flows.transform_dataset(events_as_records(spark.read.parquet(f"{SF_SMALL}/events.parquet")), AS_OF)
     first = flows.load(spark, recs, f"{tmp_dir}/t", as_of=AS_OF)
