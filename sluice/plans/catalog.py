@@ -627,6 +627,26 @@ def q_clean_types(spark, d):
     return M.clean_types(as_text, {"id": "bigint", "value": "double", "timestamp": "timestamp_ntz"})
 
 
+@register("doc_clean_types_rejects", f"""
+select try_cast(cast(id as varchar) as bigint) as id, name,
+       try_cast(case when name = 'error' then cast(value as varchar) || ' usd' else cast(value as varchar) end
+                as double) as value,
+       try_cast(cast("timestamp" as varchar) as timestamp) as "timestamp",
+       cast(case when name = 'error' then 1 else 0 end as int) as rejected_fields
+from ({SQL_RECORDS}) s
+""")
+def q_clean_types_rejects(spark, d):
+    # text extract in which the values of 'error' events carry a unit suffix
+    recs = records(spark, d)
+    text = F.col("value").cast("string")
+    as_text = recs.select(
+        F.col("id").cast("string").alias("id"), "name",
+        F.when(F.col("name") == "error", F.concat(text, F.lit(" usd"))).otherwise(text).alias("value"),
+        F.col("timestamp").cast("string").alias("timestamp"),
+    )
+    return M.clean_types(as_text, {"id": "bigint", "value": "double", "timestamp": "timestamp_ntz"})
+
+
 @register("doc_tenure_bucket", f"select *, {SQL_TENURE_BAND} as TenureBand from ({SQL_CHURN}) c")
 def q_tenure_bucket(spark, d):
     return M.add_tenure_band(churn(spark, d))
