@@ -9,6 +9,7 @@ predicate pushdown reach the scan.
 from __future__ import annotations
 
 import fnmatch
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -102,14 +103,40 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(conf), p
 
 
+def _gateway_available(spark: SparkSession) -> bool:
+    try:
+        spark.sparkContext._jvm  # noqa: B018 - classic PySpark only
+        return True
+    except Exception:  # Spark Connect: no SparkContext / JVM gateway
+        return False
+
+
+def _listed_paths(spark: SparkSession, pattern: str) -> list[str] | None:
+    """File paths under ``pattern`` listed by a Spark scan (only the ``path``
+    column is selected, so file contents are not read); None if nothing
+    matches.  Used where the JVM gateway is unavailable."""
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(pattern).select("path").distinct())
+        return [r[0] for r in files.collect()]
+    except AnalysisException as err:
+        if "PATH_NOT_FOUND" in str(err):
+            return None
+        raise
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (works for HDFS, S3, local)."""
+    if not _gateway_available(spark):
+        return _listed_paths(spark, path) is not None
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
 
 def glob_exists(spark: SparkSession, pattern: str) -> bool:
     """True if a path or glob pattern matches at least one entry."""
+    if not _gateway_available(spark):
+        return bool(_listed_paths(spark, pattern))
     fs, p = _fs(spark, pattern)
     found = fs.globStatus(p)
     return found is not None and len(found) > 0
@@ -117,12 +144,34 @@ def glob_exists(spark: SparkSession, pattern: str) -> bool:
 
 def list_children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """``(name, is_dir)`` of the entries directly below ``path``."""
+    if not _gateway_available(spark):
+        return _children_from_listing(path, _listed_paths(spark, path) or [])
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
     return [(s.getPath().getName(), bool(s.isDirectory())) for s in fs.listStatus(p)]
 
 
+def _bare(path: str) -> str:
+    """Path without scheme (``file:``, ``hdfs://host``, ...) or leading slashes."""
+    return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", path).lstrip("/")
+
+
+def _children_from_listing(root: str, paths: list[str]) -> list[tuple[str, bool]]:
+    """First-level entries of ``root`` derived from a recursive file listing
+    (folders without visible files do not show up this way)."""
+    base = _bare(root).rstrip("/") + "/"
+    children: dict[str, bool] = {}
+    for full in paths:
+        rel = _bare(full)
+        if not rel.startswith(base):
+            continue
+        parts = [x for x in rel[len(base):].split("/") if x]
+        if parts:
+            children[parts[0]] = children.get(parts[0], False) or len(parts) > 1
+    return sorted(children.items())
+
+
 def discover_datasets(spark: SparkSession, root: str, dir_marker: str | None = None,
                       file_pattern: str | None = "*.csv", on_missing: str = "empty") -> dict[str, list[str]]:
     """List a lake folder: dataset directories whose name contains

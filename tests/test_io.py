@@ -112,3 +112,18 @@ def test_lineage_and_fingerprints(spark, tmp_dir):
     assert unseen_files(fps, fps).count() == 0
     meta_only = file_fingerprints(spark, f"{tmp_dir}/a/*.parquet", content=False)
     assert meta_only.where("sha256 is null").count() == meta_only.count()
+
+
+def test_discovery_without_the_jvm_gateway(spark, tmp_dir, monkeypatch):
+    # Spark Connect has no JVM gateway: listing falls back to a Spark file scan
+    import sluice.sources.files as files
+
+    df = spark.createDataFrame(SAMPLE_ROWS, RECORD_SCHEMA)
+    write_parquet(df, f"{tmp_dir}/raw/extracted_data_1")
+    write_csv(df, f"{tmp_dir}/raw/records.csv")
+    expected = discover_datasets(spark, f"{tmp_dir}/raw", dir_marker="extracted_data")
+    monkeypatch.setattr(files, "_gateway_available", lambda _spark: False)
+    assert files.path_exists(spark, f"{tmp_dir}/raw") and not files.path_exists(spark, f"{tmp_dir}/none")
+    assert files.glob_exists(spark, f"{tmp_dir}/raw/extracted_data_*")
+    got = files.discover_datasets(spark, f"{tmp_dir}/raw", dir_marker="extracted_data")
+    assert got == expected and len(got["parquet"]) == 1 and len(got["csv"]) == 1
