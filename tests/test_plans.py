@@ -61,8 +61,6 @@ def test_dimension_joins_broadcast_only_small_sides(spark):
 
 def test_no_python_udfs_anywhere(spark):
     for name, build in catalog.QUERIES.items():
-        if name in ("doc_file_fingerprint",):
-            continue
         text = optimized(build(spark, SF_SMALL))
         assert "PythonUDF" not in text, name
 
