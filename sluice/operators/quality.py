@@ -182,12 +182,16 @@ def quality_report_by(df: DataFrame, key: str, prefix: str = "missing_") -> Data
 def quality_summary(df: DataFrame, table_name: str = "DataFrame", approx_rsd: float | None = None) -> dict:
     """The report as a small dict (one collected row: bounded by column count)."""
     row = quality_report(df, approx_rsd=approx_rsd).first().asDict()
+    total = row["total_rows"]
+    nulls = {c: row["missing_" + c] for c in df.columns}
     return {
         "table_name": table_name,
-        "total_rows": row["total_rows"],
+        "total_rows": total,
         "distinct_rows": row["distinct_rows"],
         "duplicates": row["duplicates"],
-        "null_counts": {c: row["missing_" + c] for c in df.columns},
+        "duplicate_pct": round(100.0 * row["duplicates"] / total, 2) if total else None,
+        "null_counts": nulls,
+        "null_pct": {c: (round(100.0 * n / total, 2) if total else None) for c, n in nulls.items()},
     }
 
 

@@ -37,6 +37,7 @@ def test_quality_report_duplicates(spark):
     df = spark.createDataFrame([(1, "a", 100, NOW), (1, "a", 100, NOW), (2, "b", 150, NOW)], COLS)
     rep = Q.quality_summary(df)
     assert (rep["total_rows"], rep["distinct_rows"], rep["duplicates"]) == (3, 2, 1)
+    assert rep["duplicate_pct"] == 33.33 and rep["null_pct"]["name"] == 0.0
 
 
 def test_quality_report_counts_nan_and_handles_timestamps(spark):
