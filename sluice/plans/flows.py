@@ -110,6 +110,17 @@ def register_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def log_report(name: str, report: dict) -> None:
+    """Warn about duplicates and missing values found by a quality report."""
+    total = report.get("total_rows") or 0
+    if report.get("duplicates"):
+        log.warning("%s: %d duplicate rows of %d", name, report["duplicates"], total)
+    nulls = report.get("null_counts") or {c[len("missing_"):]: v for c, v in report.items() if c.startswith("missing_")}
+    for column, n in nulls.items():
+        if n:
+            log.warning("%s: column %s has %d missing values of %d", name, column, n, total)
+
+
 def transform_dataset(df: DataFrame, as_of: dt.datetime | str | None = None,
                       required_columns: Sequence[str] = (), with_hash: bool = True) -> DataFrame:
     """clean -> enrich for one dataset (lazy)."""
@@ -145,6 +156,7 @@ def transform(
         df = read_parquet(spark, path) if kind == "parquet" else read_csv(
             spark, path, schema=csv_schema, timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
         reports[name] = quality_summary(df, name, approx_rsd=report_approx_rsd)
+        log_report(name, reports[name])
         stem = name[:-4] if name.endswith(".csv") else name
         if stem in stems:  # a Parquet folder and a CSV file of the same name
             stem += "_csv"
@@ -186,6 +198,8 @@ def transform_batched(
     pattern = "/(" + re.escape(marker) + "[^/]*)/"
     tagged = raw.withColumn(DATASET_COLUMN, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
     reports = {r[DATASET_COLUMN]: r.asDict() for r in quality_report_by(tagged, DATASET_COLUMN).collect()}
+    for name, report in reports.items():
+        log_report(name, report)
     cleaned = clean_records(tagged, carry=(DATASET_COLUMN,))
     out = enrich_records(cleaned, as_of=as_of, with_hash=with_hash)
     rows = write_partitioned(out, processed_path, keys=(DATASET_COLUMN,))

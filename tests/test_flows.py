@@ -65,6 +65,14 @@ def test_end_to_end_records_metrics_and_audit(spark, tmp_dir):
     assert (audit["run_id"], audit["rows"], audit["status"]) == ("r9", 3, "ok")
 
 
+def test_transform_warns_about_duplicates_and_missing_values(spark, tmp_dir, caplog):
+    write_parquet(_dirty_five(spark), f"{tmp_dir}/raw/extracted_data_w")
+    with caplog.at_level("WARNING", logger="sluice"):
+        flows.transform(spark, f"{tmp_dir}/raw", f"{tmp_dir}/p", as_of=AS_OF)
+    text = caplog.text
+    assert "1 duplicate rows of 5" in text and "column name has 1 missing values" in text
+
+
 def test_transform_keeps_same_named_parquet_and_csv_apart(spark, tmp_dir):
     src = _dirty_five(spark)
     write_parquet(src, f"{tmp_dir}/raw/extracted_data_a")
