@@ -430,6 +430,24 @@ def q_dq_report(spark, d):
     return Q.quality_report(dirty(spark, d))
 
 
+@register("dq_report_by_day", f"""
+with d as (select *, cast("timestamp" as date) as day from ({SQL_DIRTY}) s),
+     t as (select day, cast(count(*) as bigint) as total_rows,
+                  cast(count_if(id is null) as bigint) as missing_id,
+                  cast(count_if(name is null) as bigint) as missing_name,
+                  cast(count_if(value is null or isnan(value)) as bigint) as missing_value,
+                  cast(count_if("timestamp" is null) as bigint) as missing_timestamp
+           from d group by day),
+     u as (select day, cast(count(*) as bigint) as distinct_rows from (select distinct * from d) x group by day)
+select t.day, total_rows, distinct_rows, total_rows - distinct_rows as duplicates,
+       missing_id, missing_name, missing_value, missing_timestamp
+from t join u on t.day is not distinct from u.day
+""")
+def q_dq_report_by_day(spark, d):
+    rows = dirty(spark, d)
+    return Q.quality_report_by(rows.withColumn("day", F.to_date("timestamp")), "day")
+
+
 @register("dq_frames_equal", f"""
 select id, name, value, "timestamp", cast(null as varchar) as side, cast(null as bigint) as copies
 from ({SQL_CLEAN}) s where false
