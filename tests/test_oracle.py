@@ -34,3 +34,13 @@ def test_entry_smoke(spark):
     assert df.count() > 0
     assert df.columns == ["year", "month", "day", "value_category", "record_count", "avg_value",
                           "min_value", "max_value", "summary_timestamp"]
+
+
+def test_query_names():
+    import inspect
+    import re
+
+    for name, fn in QUERIES.items():
+        assert re.fullmatch(r"[a-z][a-z0-9_]*", name), name
+        assert name != "pipeline" and not re.match(r"op\d+_", name), name
+        assert list(inspect.signature(fn).parameters)[:2] == ["spark", "d"], name
