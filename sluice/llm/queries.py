@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import quality_rules, simhash
+from sluice.llm import decontaminate, quality_rules, simhash
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,23 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@registered
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.scan(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+ORACLE_SQL["op6_decontaminate"] = r"""
+with d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark),
+bw as (select item_id, least(10, len(w)) as size, unnest(range(1, greatest(1, len(w) - 9) + 1)) as i, w from b where len(w) > 0),
+bx as (select distinct item_id, size, array_to_string(w[i:i + size - 1], ' ') as x from bw),
+sizes as (select distinct size from bx),
+dw as (select doc_id, w, s.size, unnest(range(1, len(w) - s.size + 2)) as i from d join sizes s on len(w) >= s.size),
+hit as (select dw.doc_id, dw.i, dw.size, bx.item_id from dw join bx on bx.size = dw.size and bx.x = array_to_string(dw.w[dw.i:dw.i + dw.size - 1], ' ')),
+hit_words as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + size)) as p from hit) group by doc_id),
+hit_items as (select doc_id, count(distinct item_id) as n_items, string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids from hit group by doc_id)
+select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hit_words using (doc_id) left join hit_items using (doc_id)
+"""
