@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, quality_rules, simhash
+from sluice.llm import decontaminate, pieces, quality_rules, simhash
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@registered
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @registered
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.scan(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
