@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import ahocorasick
 import numpy as np
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 
 from sluice.llm.common import map_rows
@@ -303,10 +304,10 @@ def _from_bytes(raw: bytes) -> str:
 _CODERS: dict[str, Coder] = {}
 
 
-def coder_for(name: str, vocabulary: Vocabulary) -> Coder:
-    """This process's coder of the vocabulary ``name``."""
+def coder_for(name: str, held: Broadcast) -> Coder:
+    """This process's coder of the vocabulary ``name``, which is broadcast."""
     if name not in _CODERS:
-        _CODERS[name] = Coder(vocabulary)
+        _CODERS[name] = Coder(held.value)
     return _CODERS[name]
 
 
@@ -329,7 +330,7 @@ def _coded(docs: DataFrame, model: str, schema: str, result) -> DataFrame:
     name = hashlib.sha256("\n".join(vocabulary.pieces).encode()).hexdigest()
 
     def make(keys: list, texts: list) -> Iterator[tuple]:
-        coder = _CODERS.get(name) or coder_for(name, held.value)
+        coder = coder_for(name, held)
         for key, (raw, text) in zip(keys, coder.code_all([t or "" for t in texts]), strict=True):
             yield key, *result(raw, text)
 

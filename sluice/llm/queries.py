@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, pieces, quality_rules, simhash
+from sluice.llm import decontaminate, pieces, quality_rules, simhash, token_records
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,9 @@ hit_items as (select doc_id, count(distinct item_id) as n_items, string_agg(dist
 select d.doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join hit_words using (doc_id) left join hit_items using (doc_id)
 """
+
+
+@registered
+def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = token_records.write_records(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_records.read_shards(spark, index)
