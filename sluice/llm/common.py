@@ -123,3 +123,15 @@ def components(edges: DataFrame, low: str = "a", high: str = "b", every: int = 4
         before = state
     roots = pairs.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
+
+
+def held_out(key: str = "doc_id", fold: int = 1, folds: int = 3) -> Column:
+    """Whether a row belongs to the fold kept out of fitting: crc32 of its key as text (null: empty), modulo ``folds``."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds == fold
+
+
+def bounded_sample(df: DataFrame, by: str, key: str, most: int) -> DataFrame:
+    """About ``most`` rows at most of each value of ``by``, chosen by a hash of ``key``: the same rows each time."""
+    sizes = df.groupBy(by).agg(F.count(F.lit(1)).alias("__n"))
+    share = F.pmod(F.xxhash64(key), F.lit(1 << 20)) < F.least(F.lit(1.0), most / F.col("__n")) * (1 << 20)
+    return df.join(F.broadcast(sizes), by).where(share).drop("__n")

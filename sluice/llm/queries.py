@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sluice.llm import decontaminate, pieces, quality_rules, simhash, token_records
+from sluice.llm import decontaminate, languages, pieces, quality_rules, simhash, token_records
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,3 +60,8 @@ from d left join hit_words using (doc_id) left join hit_items using (doc_id)
 def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = token_records.write_records(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return token_records.read_shards(spark, index)
+
+
+@registered
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages.predict_languages(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "languages")
