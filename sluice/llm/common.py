@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,12 +22,30 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as Spark ships Python files; once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="sluice-ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def map_rows(df: DataFrame, columns: list[str], make: Callable[..., Iterator[tuple]], schema: str) -> DataFrame:
     """Apply ``make(*python lists of the columns) -> iterator of output tuples`` to each Arrow batch.
 
     Only the named columns leave the scan; extra columns of any name are not
     read.  Batches are bounded by Spark's Arrow settings, so memory is too.
     """
+    ship(df.sparkSession)
     names = [f.name for f in _struct(schema).fields]
     arrow = _arrow_schema(schema)
 

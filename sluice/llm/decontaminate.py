@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import map_rows, stored
+from sluice.llm.common import map_rows, ship, stored
 
 #: Most bytes of benchmark text in one broadcast.
 SET_BYTES = 32 << 20
@@ -156,6 +156,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, drop_s
 
     Rows without hits are returned as they are.
     """
+    ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
     at, width_of = docs.columns.index("text"), width
     parts = _parts(benchmark, limit)

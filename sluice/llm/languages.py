@@ -23,7 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import bounded_sample, held_out, map_rows
+from sluice.llm.common import bounded_sample, held_out, map_rows, ship
 
 UNKNOWN = "und"
 #: Labelled rows of each language that the model is fitted on, at most.
@@ -185,6 +185,7 @@ def keep_identified(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     """``docs`` with its columns, without the rows whose language can't be told: null texts and texts without a letter."""
     import pyarrow as pa
 
+    ship(docs.sparkSession)
     at = docs.columns.index("text")
     held = docs.sparkSession.sparkContext.broadcast(fit_languages(docs.where(~held_out()), most))
 

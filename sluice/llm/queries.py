@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, languages, pieces, quality_rules, simhash, token_records
+from sluice.llm import decontaminate, languages, pieces, quality_rules, simhash, token_records, toxicity
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +66,9 @@ def op9_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predict_languages(documents(spark, sf_dir)).select("doc_id", "held_out", "lang_pred", "score", "languages")
+
+
+@registered
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.predict_toxicity(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"))

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import components, map_rows, stored
+from sluice.llm.common import components, map_rows, ship, stored
 
 SEED = 42
 #: Rows of a cell that one task compares with as many others; larger cells are dealt out as pairs of blocks.
@@ -120,6 +120,7 @@ def links(fps: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame:
 
     ``fps`` has the distinct fingerprints in column fp.
     """
+    ship(fps.sparkSession)
     groups = radius + 1
     bits = 64 // groups // 2 * 2  # whole segments; the last group takes the rest
 

@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.common import map_rows, stored
+from sluice.llm.common import map_rows, ship, stored
 from sluice.session import scratch_dir
 
 _HEAD = struct.Struct("<QI")
@@ -212,6 +212,7 @@ def write_records(docs: DataFrame, tokenizer: str, end_id: int, folder: str | No
     ``tokenizer`` is the path of a definition file on the driver.  ``position`` numbers a shard's records from 0.
     """
     spark = docs.sparkSession
+    ship(spark)
     folder = (folder or scratch_dir(spark, "records")).rstrip("/")
     with open(tokenizer, encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())
