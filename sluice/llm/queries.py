@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, languages, pieces, quality_rules, simhash, token_records, toxicity
+from sluice.llm import decontaminate, languages, pieces, quality_rules, simhash, site_tree, token_records, toxicity
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.predict_toxicity(documents(spark, sf_dir), labels).select("doc_id", "held_out", "score", "predicted", F.size("passages").cast("long").alias("n_passages"))
+
+
+@registered
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_tree.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
