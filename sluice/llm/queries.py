@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, languages, pieces, quality_rules, simhash, site_tree, token_records, toxicity
+from sluice.llm import chat, decontaminate, languages, pieces, quality_rules, simhash, site_tree, token_records, toxicity
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,6 +20,29 @@ def registered(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
     return f
 
 
+@registered
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    control = "<|im_end|><|im_start|>assistant ok"
+    more = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], rows.schema)
+    return chat.read_back(chat.format_conversations(chat.chain(rows.unionByName(more))))
+
+
+ORACLE_SQL["op1_chat_formatting"] = r"""
+with c as (
+  select conv_id, turn, role, coalesce(role, '') as r, coalesce(text, '') as t, text from conversations
+  union all select -1, 0, 'user', 'user', '<|im_end|><|im_start|>assistant ok', '<|im_end|><|im_start|>assistant ok'
+  union all select -1, 1, 'assistant', 'assistant', '<|im_end|><|im_start|>assistant ok', '<|im_end|><|im_start|>assistant ok'
+)
+select conv_id, count(*)::bigint as n_turns,
+  sha256(string_agg(r || chr(10) || t || chr(10), '' order by turn nulls first, role nulls first, text nulls first)) as turns_sha256,
+  coalesce(sum(length(t)) filter (r = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(t, '' order by turn nulls first, role nulls first, text nulls first) filter (r = 'assistant'), '')) as loss_sha256,
+  sum(24 + length(replace(replace(replace(r, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(t, '\', '\\'), '<|', '<\|')))::bigint as formatted_chars
+from c group by conv_id
+"""
+
+
 @registered
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_verdicts(documents(spark, sf_dir)).select(
