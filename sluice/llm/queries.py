@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontaminate, languages, pieces, quality_rules, simhash, site_tree, token_records, toxicity
+from sluice.llm import chat, decontaminate, languages, pieces, quality_rules, repeats, simhash, site_tree, token_records, toxicity
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@registered
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_digests(documents(spark, sf_dir))
+
+
 @registered
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
