@@ -129,14 +129,14 @@ class RuleModel:
         return [(math.log(g / (1 - b)), math.log((1 - g) / b)) for g, b in zip(self.on_good, self.on_bad, strict=True)]
 
 
-def fit(patterns: np.ndarray, counts: np.ndarray, names: tuple[str, ...], rounds: int = 300, prior: float = 20.0) -> RuleModel:
+def fit(patterns: np.ndarray, counts: np.ndarray, names: tuple[str, ...], rounds: int = 300, prior: float = 10.0) -> RuleModel:
     """Expectation-maximisation over vote patterns (rows of -1, 0, 1) and their counts.
 
     A rule has two accuracies, one on each kind of document, since most rules say little by finding nothing
     wrong and much by finding a fault.  Abstentions carry no evidence.  ``prior`` pseudo-votes hold an accuracy
     near its start where a rule hardly votes; the bounds keep a vote for bad from ever counting as good.
     """
-    on_good, on_bad, good = np.full(len(names), 0.97), np.full(len(names), 0.4), 0.85
+    on_good, on_bad, good = np.full(len(names), 0.97), np.full(len(names), 0.25), 0.85
     total = counts.sum()
     up, down = (patterns > 0).astype(float), (patterns < 0).astype(float)
     for _ in range(rounds if total else 0):
@@ -144,7 +144,7 @@ def fit(patterns: np.ndarray, counts: np.ndarray, names: tuple[str, ...], rounds
         q = (1 / (1 + np.exp(-logit)))[:, None] * counts[:, None]
         p = counts[:, None] - q
         new_good = ((q * up).sum(0) + 0.97 * prior) / ((q * (up + down)).sum(0) + prior)
-        new_bad = ((p * down).sum(0) + 0.4 * prior) / ((p * (up + down)).sum(0) + prior)
+        new_bad = ((p * down).sum(0) + 0.25 * prior) / ((p * (up + down)).sum(0) + prior)
         new_good = np.clip(new_good, 0.6, 0.995)
         new_bad = np.clip(new_bad, 1.2 * (1 - new_good), 0.95)
         good = float(np.clip(q.sum() / total, 0.05, 0.95))

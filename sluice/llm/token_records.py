@@ -29,7 +29,7 @@ import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +46,6 @@ _MASK = 0xA282EAD8
 INDEX = "shard int, file string, doc_id bigint, position bigint, offset bigint, bytes bigint, tokens bigint"
 #: Chunks that a worker keeps: this many recent ones at most, and as many before them.
 CACHE = 500_000
-BLOCK = 1 << 20
 BUFFER = 4 << 20
 
 
@@ -106,8 +105,11 @@ class ChunkEncoder:
 
     tokenizer: object
     chunks: bool  # whether the tokenizer's settings allow the cache
-    cache: dict[bytes, bytes] = field(default_factory=dict)
-    old: dict[bytes, bytes] = field(default_factory=dict)
+    cache: _Chunks = None
+
+    def __post_init__(self) -> None:
+        self.cache = _Chunks(self, {})
+        self.model = self.tokenizer.model
 
     @classmethod
     def of(cls, definition: str) -> ChunkEncoder:
@@ -134,57 +136,48 @@ class ChunkEncoder:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def word(self, word: str) -> bytes | None:
-        """Ids of a chunk that is one run of Latin letters, as packed integers; None for other chunks."""
+        """Ids of a chunk (A-Z lower-cased) that is one run of Latin letters, as packed integers; None for other chunks."""
         if not word.isalpha() or max(word) >= "ɐ" or "İ" in word:
             return None
-        word = word.lower()
         if not word.isascii():
+            word = word.lower()
             word = "".join(_LETTERS[b] for b in unicodedata.normalize("NFC", word).encode())
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
-
-    def learn(self, chunks: set[bytes]) -> None:
-        if len(self.cache) + len(chunks) > CACHE:
-            self.old, self.cache = self.cache, {}
-        other = []
-        for chunk in chunks:
-            ids = self.old.get(chunk)
-            if ids is None:
-                text = chunk.decode()
-                core = text.rstrip(_TRAIL)
-                ids = self.word(core) if core else None
-                if ids is not None and len(core) < len(text):  # letters, then a run of signs: two pre-tokens
-                    tail = text[len(core) :].encode()
-                    if tail not in self.cache:
-                        self.cache[tail] = array("I", self.whole([tail.decode()])[0]).tobytes()
-                    ids += self.cache[tail]
-            if ids is None:
-                other.append(chunk)
-            else:
-                self.cache[chunk] = ids
-        for chunk, ids in zip(other, self.whole([c.decode() for c in other]), strict=True):
-            self.cache[chunk] = array("I", ids).tobytes()
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+
+    def chunk(self, chunk: bytes) -> bytes:
+        """Ids of a chunk, as packed integers."""
+        text = chunk.decode()
+        core = text.rstrip(_TRAIL)
+        ids = self.word(core) if core else None
+        if ids is None:
+            return array("I", self.whole([text])[0]).tobytes()
+        # letters, then a run of signs: two pre-tokens
+        return ids if len(core) == len(text) else ids + self.cache[text[len(core) :].encode()]
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """Token ids of each text as unsigned 32-bit integers."""
-        place = 0
-        while place < len(texts):
-            block, n = [], 0
-            while place < len(texts) and n < BLOCK:
-                text = texts[place]
-                block.append((text, text.encode().lower().split() if self.chunks and "<|" not in text else None))
-                n += len(text)
-                place += 1
-            seen = set().union(*(chunks for _, chunks in block if chunks))
-            if not seen <= self.cache.keys():
-                half = self.cache
-                self.learn(seen - half.keys())
-                if self.cache is not half:
-                    self.learn(seen - self.cache.keys())
-            for text, chunks in block:
-                if chunks is None:
-                    yield np.array(self.whole([text])[0], "<u4")
-                else:
-                    yield np.frombuffer(b"".join(map(self.cache.__getitem__, chunks)), "<u4")
+        for text in texts:
+            if self.chunks and "<|" not in text:
+                if len(self.cache) >= CACHE:
+                    self.cache = _Chunks(self, dict(self.cache))
+                yield np.frombuffer(b"".join(map(self.cache.__getitem__, text.encode().lower().split())), "<u4")
+            else:
+                yield np.array(self.whole([text])[0], "<u4")
+
+
+class _Chunks(dict):
+    """Ids by chunk; a new chunk is looked up in the cache before, else encoded."""
+
+    def __init__(self, encoder: ChunkEncoder, old: dict[bytes, bytes]) -> None:
+        super().__init__()
+        self.encoder, self.old = encoder, old
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self.encoder.chunk(chunk)
+        self[chunk] = ids
+        return ids
 
 
 _ENCODERS: dict[str, ChunkEncoder] = {}
