@@ -37,8 +37,6 @@ BLANK = "▁"
 CACHE = 500_000
 #: Longer words are encoded each time.
 LONG = 48
-#: Characters of text whose new words are matched in one pass.
-BLOCK = 1 << 20
 _CHUNK = re.compile(f"({BLANK}*)([^{BLANK}]*)")
 
 
@@ -107,8 +105,6 @@ class Coder:
     """Encodes and decodes with a vocabulary; holds the automaton and the caches of one process."""
 
     vocabulary: Vocabulary
-    ids: dict[str, bytes] = field(default_factory=dict)
-    old_ids: dict[str, bytes] = field(default_factory=dict)
     pairs: dict[int, bool] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -121,6 +117,7 @@ class Coder:
                 self.id_of[p] = i
         self.automaton.make_automaton()
         self.size = [len(p) for p in v.pieces]
+        self.cache = _Words(self, {})
         spelled = [bytes([v.byte_of[i]]) if i in v.byte_of else b"" if i in v.silent else " ⁇ ".encode() if i == v.unknown else p.replace(BLANK, " ").encode() for i, p in enumerate(v.pieces)]
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
         self.lengths = np.array([len(x) for x in spelled])
@@ -178,7 +175,7 @@ class Coder:
     def encode_parts(self, parts: list[str]) -> list[list[int]]:
         """Tokens of each part; a part has a blank at most at its start."""
         joined = "\n".join(parts)
-        longest = [-1] * (len(joined) + 1)
+        longest = [-1] * len(joined)
         for last, (n, i) in self.automaton.iter(joined):
             longest[last - n + 1] = i
         out, start = [], 0
@@ -249,49 +246,39 @@ class Coder:
         except UnicodeDecodeError:
             return self.decode(ids.tolist())
 
-    # Whole documents, word by word through the cache.  A key is a word after one blank; a key that starts with
-    # a line feed comes right after the word before it.
-
-    def learn(self, words: set[str]) -> None:
-        """Put words into the cache, those seen before from its older half."""
-        if len(self.ids) + len(words) > CACHE:
-            self.old_ids, self.ids = self.ids, {}
-        new = []
-        for w in words:
-            kept = self.old_ids.get(w)
-            if kept is None:
-                new.append(w)
-            else:
-                self.ids[w] = kept
-        for w, tokens in zip(new, self.encode_parts([w if w[0] == "\n" else BLANK + w for w in new]), strict=True):
-            self.ids[w] = array("I", tokens).tobytes()
+    def word(self, word: str) -> bytes:
+        """Ids of a word after one blank, or right after the word before it if it starts with a line feed; packed."""
+        return array("I", self.encode_parts([word if word[0] == "\n" else BLANK + word])[0]).tobytes()
 
-    def code_all(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
+    def code_all(self, texts: Iterable[str]) -> Iterator[tuple[bytes, str]]:
         """(ids with begin and end as little-endian unsigned 32-bit integers, decoded text) of each text."""
         v = self.vocabulary
         begin, end = np.array([v.begin], "<u4").tobytes(), np.array([v.end], "<u4").tobytes()
-        place = 0
-        while place < len(texts):
-            block, n = [], 0
-            while place < len(texts) and n < BLOCK:
-                words = texts[place].replace(BLANK, " ").replace("\n", " \n").split(" ")
-                whole = "" in words or max(map(len, words)) > LONG  # runs of blanks and long words go another way
-                block.append((texts[place], None if whole else words))
-                n += len(texts[place])
-                place += 1
-            seen = set().union(*(words for _, words in block if words))
-            if not seen <= self.ids.keys():
-                half = self.ids
-                self.learn(seen - half.keys())
-                if self.ids is not half:
-                    self.learn(seen - self.ids.keys())
-            for text, words in block:
-                if words is None:
-                    tokens = self.encode(text, ends=True)
-                    yield np.array(tokens, "<u4").tobytes(), self.decode(tokens)
-                else:
-                    raw = begin + b"".join(map(self.ids.__getitem__, words)) + end
-                    yield raw, self.decode_fast(np.frombuffer(raw, "<u4"))
+        for text in texts:
+            words = text.replace(BLANK, " ").replace("\n", " \n").split(" ")
+            if "" in words or max(map(len, words)) > LONG:  # runs of blanks and long words go another way
+                tokens = self.encode(text, ends=True)
+                yield np.array(tokens, "<u4").tobytes(), self.decode(tokens)
+                continue
+            if len(self.cache) >= CACHE:
+                self.cache = _Words(self, dict(self.cache))
+            raw = begin + b"".join(map(self.cache.__getitem__, words)) + end
+            yield raw, self.decode_fast(np.frombuffer(raw, "<u4"))
+
+
+class _Words(dict):
+    """Ids by word; a new word is looked up in the cache before, else encoded."""
+
+    def __init__(self, coder: Coder, old: dict[str, bytes]) -> None:
+        super().__init__()
+        self.coder, self.old = coder, old
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.coder.word(word)
+        self[word] = ids
+        return ids
 
 
 def _from_bytes(raw: bytes) -> str:

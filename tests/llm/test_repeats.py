@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from sluice.llm import repeats as R
+from tests.llm.cases import awkward, frame, plain, prose
+
+
+def slow_gone(texts: list[bytes], width: int) -> list[np.ndarray]:
+    seen = Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1))
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t), bool)
+        for i in range(len(t) - width + 1):
+            if seen[t[i : i + width]] > 1:
+                gone[i : i + width] = True
+        out.append(gone)
+    return out
+
+
+def mutated(seed: int, n: int = 12) -> list[bytes]:
+    r = random.Random(seed)
+    base = prose(seed, 300).encode() if seed % 3 else b"abc" * 500
+    out = []
+    for _ in range(n):
+        s = r.randint(0, len(base) // 2)
+        t = bytearray(base[s : s + r.randint(0, 900)])
+        for _ in range(r.randint(0, 3)):
+            if t:
+                t[r.randrange(len(t))] = r.choice(b"xyz ")
+        out.append(bytes(t))
+    return out
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_merged_transforms_find_the_repeated_windows(seed):
+    texts = mutated(seed)
+    for width in (40, 80, 200):
+        seen = Counter(t[i : i + width] for t in texts for i in range(len(t) - width + 1))
+        want = [[seen[t[i : i + width]] > 1 for i in range(len(t) - width + 1)] for t in texts]
+        assert [f.tolist() for f in R.repeated_starts(texts, width, 40)] == want
+    assert [len(f) for f in R.repeated_starts([b"", b"a" * 199], 200)] == [0, 0]
+
+
+def test_runs_cover_all_windows_and_depend_on_content_alone(monkeypatch):
+    text = prose(3, 800).encode()
+    first, n, anchor = R.runs(text)
+    assert first[0] == 0 and (first[1:] == first[:-1] + n[:-1]).all() and first[-1] + n[-1] == len(text) - R.WIDTH + 1
+    window_anchor = dict(zip(np.arange(len(text) - R.WIDTH + 1).tolist(), np.repeat(anchor, n).tolist(), strict=True))
+    f2, n2, a2 = R.runs(text[137:900])
+    for i, a in enumerate(np.repeat(a2, n2).tolist()):
+        assert window_anchor[i + 137] == a
+    monkeypatch.setattr(R, "BLOCK", 300)
+    f3, n3, a3 = R.runs(text)
+    assert np.repeat(a3, n3).tolist() == np.repeat(anchor, n).tolist()
+    assert len(R.runs(b"x" * 199)[0]) == 0 and R.runs(b"x" * 200)[1].tolist() == [1]
+
+
+@pytest.mark.parametrize("hot", [R.HOT, 2])
+def test_removal_matches_brute_force(spark, hot):
+    rows = awkward() + [(100 + 20 * s + i, t.decode(errors="replace"), "en", "a", 0) for s in range(4) for i, t in enumerate(mutated(s, 9))]
+    passage = prose(50, 60)
+    rows += [(500 + i, f"{prose(600 + i, 40)} {passage} {prose(700 + i, 40)}", "en", "a", 0) for i in range(12)]
+    texts = [(t or "").encode() for _, t, *_ in rows]
+    want = []
+    for (key, *_), t, gone in zip(rows, texts, slow_gone(texts, 200), strict=True):
+        runs = int((np.diff(np.concatenate([[0], gone.astype(int)])) > 0).sum())
+        want.append((key, len(t), int(gone.sum()), runs, hashlib.sha256(bytes(b for b, g in zip(t, gone, strict=True) if not g)).hexdigest()))
+    assert plain(R.removal_digests(frame(spark, rows), hot=hot)) == sorted(want, key=repr)
+
+
+def test_columns_stay_and_empty_tables_pass(spark):
+    df = frame(spark, clash=True)
+    out = R.remove_repeats(df)
+    assert out.columns == df.columns and out.count() == len(awkward())
+    texts = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert texts[1] == texts[2] == "" and texts[4] is None and texts[8] == dict((i, t) for i, t, *_ in awkward())[8]
+    assert plain(R.removal_digests(df)) == plain(R.removal_digests(frame(spark)))
+    assert R.removal_digests(frame(spark, [])).count() == 0 and R.remove_repeats(frame(spark, [])).count() == 0
+
+
+def test_no_character_is_cut_in_part():
+    text = "aé日b"
+    gone = np.array([0, 1, 0, 1, 1, 1, 1], bool)
+    assert R.without_repeats(text, gone) == "aé"
