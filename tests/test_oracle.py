@@ -5,11 +5,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from sluice.plans import catalog
 from tests.conftest import SF_SMALL
 from tests.oracle_check import digest, duck
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+ORACLE = catalog.ORACLE_SQL
+QUERIES = catalog.QUERIES
 
 
 def test_every_query_is_registered_with_a_callable():
