@@ -44,7 +44,7 @@ def _parser() -> argparse.ArgumentParser:
     t = common(sub.add_parser("transform", help="report, clean and enrich every landed dataset"))
     t.add_argument("--raw", required=True)
     t.add_argument("--processed", required=True)
-    t.add_argument("--csv-schema", help="DDL schema for landed CSV files")
+    t.add_argument("--csv-schema", help="DDL schema for landed CSV files (inferred when omitted)")
     t.add_argument("--export", help="folder for CSV copies of CSV-sourced outputs")
     t.add_argument("--batched", action="store_true",
                    help="all landed Parquet datasets in one pass (output partitioned by dataset)")
@@ -102,7 +102,7 @@ def main(argv: list[str] | None = None) -> dict:
                                   rid=rid, audit_path=args.audit)
             out = {"rows": res.rows, "table": args.table, **res.details}
         else:
-            res = flows.load(spark, paths, args.target, as_of=as_of)
+            res = flows.load(spark, paths, args.target, as_of=as_of, rid=rid)
             out = {"rows": res.rows, "path": res.path}
     elif args.step == "summary":
         if args.jdbc_url:

@@ -9,7 +9,6 @@ from sluice.operators.enrich import (
     add_band, add_date_parts, add_hash, anonymize_sha256, enrich_records, stamp_literals, stamp_timestamps,
     standardize_columns, timestamp_value,
 )
-from sluice.operators.joins import fits_broadcast, has_at_most, join_small
 from sluice.operators.quality import (
     describe, duplicate_profile, ensure_nonempty, expected_columns_report, frames_diff, frames_equal,
     group_counts, missing_columns, missing_profile, null_counts, quality_report, quality_report_by, quality_summary,

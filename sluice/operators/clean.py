@@ -66,15 +66,26 @@ def dedup(df: DataFrame, keys: Sequence[str] | None = None,
     """Remove duplicate rows.
 
     Without ``keys``: full-row distinct over the business columns (lineage
-    stamps differ per run and must not make copies look distinct).  With
-    ``keys``: one arbitrary row per key.
+    stamps differ per run and must not make copies look distinct); a row that
+    had copies gets the smallest of each stamp, of text stamps the one of the
+    smallest hash.  With ``keys``: one arbitrary row per key.
+
+    Text can't be kept in a hash aggregate's buffer, so text stamps travel as
+    hashes and are looked up afterwards in a scalar subquery that has their few
+    distinct values: stamped rows too take one hash aggregate and one exchange.
     """
     if keys:
         return df.dropDuplicates(list(keys))
     cols = business_columns(df, exclude)
-    if len(cols) == len(df.columns):
+    if len(cols) == len(df.columns) or not cols:
         return df.distinct()
-    return df.dropDuplicates(cols)
+    stamps = [c for c in df.columns if c not in set(cols)]
+    text = set(string_columns(df)) & set(stamps)
+    least = [F.min(F.xxhash64(quoted(c)) if c in text else quoted(c)).alias(c) for c in stamps]
+    once = df.groupBy(*[quoted(c) for c in cols]).agg(*least)
+    known = {c: df.select(quoted(c).alias("v"), F.xxhash64(quoted(c)).alias("h")).where("v is not null")
+             .agg(F.map_from_entries(F.collect_set(F.struct("h", "v")))).scalar() for c in text}
+    return once.select(*[F.try_element_at(known[c], quoted(c)).alias(c) if c in text else quoted(c) for c in df.columns])
 
 
 def fill_nulls(df: DataFrame, values: Mapping[str, object]) -> DataFrame:

@@ -9,10 +9,10 @@ from pyspark.sql import types as T
 from sluice.functions.columns import quoted
 
 
-def conform_to_schema(df: DataFrame, schema: T.StructType, extra: str = "drop", cast: str = "cast") -> DataFrame:
+def conform_to_schema(df: DataFrame, schema: T.StructType, extra: str = "error", cast: str = "cast") -> DataFrame:
     """Return ``df`` with exactly the target's columns, in the target's order
-    and types.  Missing columns become typed NULLs; extra columns are dropped
-    (``extra="drop"``) or rejected (``extra="error"``).  ``cast="try"`` turns
+    and types.  Missing columns become typed NULLs; extra columns are rejected,
+    or dropped if ``extra="drop"`` says so.  ``cast="try"`` turns
     values that do not convert into NULL instead of failing (ANSI mode)."""
     have = set(df.columns)
     unknown = [c for c in df.columns if c not in set(schema.fieldNames())]

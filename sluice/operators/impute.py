@@ -8,9 +8,9 @@ reach the driver:
   collapses a hot value map-side);
 * ``median`` - exact, by rank selection: approximate quantiles bracket the
   wanted rank, exact counts confirm the bracket, and the bracket shrinks until
-  it holds at most ``slice_rows`` values, which are then read sorted
-  (a bounded top-k).  Spark's own ``median`` keeps every distinct value of the
-  column in one aggregation buffer, which does not scale to a whole table.
+  it holds the wanted value; no values are gathered on the driver.  Spark's
+  own ``median`` keeps every distinct value of the column in one aggregation
+  buffer, which does not scale to a whole table.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from sluice.functions.columns import exact_mean, is_missing, quoted
 
-SLICE_ROWS = 100_000
 APPROX_ACCURACY = 100_000
 
 
@@ -31,46 +30,40 @@ def _present_values(df: DataFrame, column: str) -> DataFrame:
     return df.where(~is_missing(df, column)).select(quoted(column).alias("v"))
 
 
-def kth_smallest(values: DataFrame, rank: int, total: int, slice_rows: int = SLICE_ROWS,
-                 accuracy: int = APPROX_ACCURACY):
-    """Exact value at 0-based ``rank`` of column ``v`` (``total`` rows)."""
+def kth_smallest(values: DataFrame, rank: int, accuracy: int = APPROX_ACCURACY):
+    """Exact value at 0-based ``rank`` of column ``v``.
+
+    Approximate quantiles around the rank are checked by counting; the window
+    between the nearest ones below and above is searched next.  Once it holds
+    fewer rows than ``accuracy`` the quantiles are exact, so the search ends.
+    Only single values and counts reach the driver.
+    """
     v = F.col("v")
-    lo = hi = None          # current window: lo < v < hi (open bounds)
-    t, size = rank, total   # rank inside the window, window size
+    lo = hi = None  # open bounds of the window
+    below = 0       # rows of smaller value than the window
     eps = 3.0 / accuracy
-    while size > slice_rows:
+    while True:
         window = values
         if lo is not None:
             window = window.where(v > F.lit(lo))
         if hi is not None:
             window = window.where(v < F.lit(hi))
+        t, size = rank - below, window.count()
         f = (t + 0.5) / size
-        qa, qb = window.agg(F.percentile_approx(v, [max(0.0, f - eps), min(1.0, f + eps)], accuracy)).first()[0]
-        c = window.agg(
-            F.count_if(v < F.lit(qa)), F.count_if(v <= F.lit(qa)),
-            F.count_if(v < F.lit(qb)), F.count_if(v <= F.lit(qb)),
-        ).first()
-        lt_a, le_a, lt_b, le_b = (int(x) for x in c)
-        if lt_a <= t < le_a:
-            return qa
-        if lt_b <= t < le_b:
-            return qb
-        if t < lt_a:
-            hi, size = qa, lt_a
-        elif t >= le_b:
-            lo, t, size = qb, t - le_b, size - le_b
-        else:
-            lo, hi, t, size = qa, qb, t - le_a, lt_b - le_a
-    window = values
-    if lo is not None:
-        window = window.where(v > F.lit(lo))
-    if hi is not None:
-        window = window.where(v < F.lit(hi))
-    rows = window.orderBy(v).limit(t + 1).collect()
-    return rows[t][0]
-
-
-def exact_quantile(df: DataFrame, column: str, q: float = 0.5, slice_rows: int = SLICE_ROWS):
+        tries = window.agg(F.percentile_approx(v, [max(0.0, f - eps), f, min(1.0, f + eps)], accuracy)).first()[0]
+        counts = window.agg(*[c for q in tries for c in (F.count_if(v < F.lit(q)), F.count_if(v <= F.lit(q)))]).first()
+        passed = 0  # rows of the window that the new lower bound leaves below
+        for q, smaller, upto in zip(tries, counts[::2], counts[1::2], strict=True):
+            if smaller <= t < upto:
+                return q
+            if upto <= t:
+                lo, passed = max(lo, q) if passed else q, max(passed, upto)
+            else:
+                hi = min(hi, q) if hi is not None else q
+        below += passed
+
+
+def exact_quantile(df: DataFrame, column: str, q: float = 0.5, accuracy: int = APPROX_ACCURACY):
     """Exact quantile with linear interpolation between the two neighbouring
     ranks (position ``q * (n - 1)``), as ``percentile``/``median`` define it."""
     values = _present_values(df, column)
@@ -79,10 +72,10 @@ def exact_quantile(df: DataFrame, column: str, q: float = 0.5, slice_rows: int =
         return None
     pos = q * (n - 1)
     lower, upper = math.floor(pos), math.ceil(pos)
-    a = kth_smallest(values, lower, n, slice_rows)
+    a = kth_smallest(values, lower, accuracy)
     if upper == lower:
         return float(a)
-    b = kth_smallest(values, upper, n, slice_rows)
+    b = kth_smallest(values, upper, accuracy)
     d = pos - lower
     return (1.0 - d) * float(a) + d * float(b)
 

@@ -9,12 +9,12 @@ the dimensions built from the same rows.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.columns import band, quoted
-from sluice.operators.joins import join_small
 from sluice.operators.quality import describe, missing_columns
 from sluice.sources.derived import SERVICE_COLUMNS
 
@@ -43,7 +43,9 @@ def clean_types(df: DataFrame, types: Mapping[str, str], rejects: str = "rejecte
 
 
 def add_tenure_band(df: DataFrame, column: str = "Tenure", out: str = "TenureBand") -> DataFrame:
-    return df.withColumn(out, band(quoted(column), TENURE_BANDS, TENURE_BAND_DEFAULT))
+    """Band of the tenure; an unknown tenure has no band."""
+    known = F.when(quoted(column).isNotNull(), band(quoted(column), TENURE_BANDS, TENURE_BAND_DEFAULT))
+    return df.withColumn(out, known)
 
 
 def is_yes(c: Column) -> Column:
@@ -81,8 +83,10 @@ def quality_score(df: DataFrame, rules: Mapping[str, Column], score: str = "qual
 
 
 def surrogate_key(columns: Sequence[str]) -> Column:
-    parts = [F.coalesce(quoted(c).cast("string"), F.lit("")) for c in columns]
-    return F.sha2(parts[0] if len(parts) == 1 else F.concat_ws("|", *parts), 256)
+    """Hash of the natural key in a form that no two keys share: each part with
+    its length before it, a NULL part as a dash."""
+    parts = [quoted(c).cast("string") for c in columns]
+    return F.sha2(F.concat(*[F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]), 256)
 
 
 def dimension(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
@@ -108,37 +112,35 @@ def churn_fact(churn: DataFrame) -> DataFrame:
         surrogate_key(["ContractType"]).alias("contract_key"),
         surrogate_key(list(SERVICE_COLUMNS)).alias("service_key"),
         "Tenure", "MonthlyCharges", "TotalCharges", "ServiceCount",
-        F.when(F.col("Churn") == "Yes", F.lit(1)).otherwise(F.lit(0)).alias("churned"),
+        F.when(is_yes(F.col("Churn")), F.lit(1)).otherwise(F.lit(0)).alias("churned"),
     )
 
 
 def churn_fact_joined(churn: DataFrame, customer_dim: DataFrame, contract_dim: DataFrame,
                       service_dim: DataFrame) -> DataFrame:
     """The fact table with keys looked up in existing dimension tables (left
-    equi-joins; a natural key missing from its dimension gets a NULL key).
-
-    Contract and service dimensions are broadcast after their size is checked;
-    the customer dimension grows with the data and is a shuffle join.
-    """
-    counted = add_service_count(churn)
-    joined = join_small(counted, contract_dim.select("ContractType", "contract_key"), on="ContractType", how="left")
-    joined = join_small(joined, service_dim.select(*SERVICE_COLUMNS, "service_key"), on=list(SERVICE_COLUMNS),
-                        how="left")
-    joined = joined.join(customer_dim.select("CustomerID", "customer_key"), on="CustomerID", how="left")
+    joins in which NULL equals NULL; a natural key missing from its dimension
+    gets a NULL key).  Spark chooses what to broadcast."""
+    joined = add_service_count(churn).alias("f")
+    for dim, columns, key in ((contract_dim, ["ContractType"], "contract_key"), (service_dim, SERVICE_COLUMNS, "service_key"),
+                              (customer_dim, ["CustomerID"], "customer_key")):
+        known = dim.select(*[quoted(c).alias(f"__{c}") for c in columns], key)
+        on = [quoted(c).eqNullSafe(quoted(f"__{c}")) for c in columns]
+        joined = joined.join(known, on, "left").drop(*[f"__{c}" for c in columns])
     return joined.select(
         "customer_key", "contract_key", "service_key",
         "Tenure", "MonthlyCharges", "TotalCharges", "ServiceCount",
-        F.when(F.col("Churn") == "Yes", F.lit(1)).otherwise(F.lit(0)).alias("churned"),
+        F.when(is_yes(F.col("Churn")), F.lit(1)).otherwise(F.lit(0)).alias("churned"),
     )
 
 
-def churn_summary(df: DataFrame, dimensions: Sequence[str], label: str = "Churn", positive: str = "Yes") -> DataFrame:
+def churn_summary(df: DataFrame, dimensions: Sequence[str], label: str = "Churn") -> DataFrame:
     """``(dimension, category, customers, churned, churn_rate)`` for every
     category of every dimension, highest rate first.  ``unpivot`` is a narrow
     expand; the aggregate is partial + final over few groups."""
     long = df.select(*[quoted(c).cast("string").alias(c) for c in dimensions], quoted(label).alias("__label")) \
         .unpivot(["__label"], list(dimensions), "dimension", "category")
-    hit = F.col("__label") == F.lit(positive)
+    hit = is_yes(F.col("__label"))
     return (long.groupBy("dimension", "category")
             .agg(F.count(F.lit(1)).cast("bigint").alias("customers"),
                  F.count_if(hit).cast("bigint").alias("churned"))
@@ -146,36 +148,41 @@ def churn_summary(df: DataFrame, dimensions: Sequence[str], label: str = "Churn"
             .orderBy(F.col("churn_rate").desc(), "dimension", "category"))
 
 
-def churn_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
+def churn_profile(df: DataFrame, label: str | None, columns: Sequence[str]) -> DataFrame:
     """Long profile ``(metric, key, n)``: the label distribution and the NULL
-    count of each column, from one ``rollup`` over the label.  Per-label rows
-    become 'label' rows; the grand-total row is unpivoted into 'null_count'
-    rows - one scan, one aggregate (partial + final)."""
-    keyed = df.select(quoted(label).cast("string").alias("__key"),
-                      *[quoted(c).isNull().alias(f"__null{i}") for i, c in enumerate(columns)])
-    agg = keyed.rollup("__key").agg(
-        F.count(F.lit(1)).cast("bigint").alias("__n"),
-        F.grouping("__key").alias("__total"),
-        *[F.count_if(F.col(f"__null{i}")).cast("bigint").alias(f"__z{i}") for i in range(len(columns))],
-    ).withColumnRenamed("__key", "key")
-    as_label = F.array(F.struct(F.lit("label").alias("metric"), F.col("key"), F.col("__n").alias("n")))
-    as_nulls = F.array(*[F.struct(F.lit("null_count").alias("metric"), F.lit(c).alias("key"), F.col(f"__z{i}").alias("n"))
-                         for i, c in enumerate(columns)])
-    return agg.select(F.explode(F.when(F.col("__total") == 0, as_label).otherwise(as_nulls)).alias("m")).select("m.*")
-
-
-def validate_churn(df: DataFrame, expected: Sequence[str], label: str, numeric: Sequence[str]) -> dict:
-    """The churn extract's validation as one small dict: expected columns that
-    are missing (a warning, never a failure), NULL counts, the label
-    distribution and statistics of the numeric columns present.  Two jobs
-    (the rollup profile and ``describe``); collected results are bounded by
-    the column count and the label's categories."""
+    count of each column.  Rows are aggregated once, by label; the few groups
+    are then summed for the NULL counts.  Without a label, or if the frame
+    lacks it, the NULL counts stand alone."""
+    known = label is not None and label in df.columns
+    key = quoted(label).cast("string") if known else F.lit(None).cast("string")
+    keyed = df.select(key.alias("__key"), *[quoted(c).isNull().alias(f"__null{i}") for i, c in enumerate(columns)])
+    zeros = [f"__z{i}" for i in range(len(columns))]
+    groups = keyed.groupBy("__key").agg(
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        *[F.count_if(F.col(f"__null{i}")).cast("bigint").alias(z) for i, z in enumerate(zeros)])
+    nulls = groups.agg(*[F.coalesce(F.sum(z), F.lit(0)).cast("bigint").alias(z) for z in zeros]) if zeros else None
+    labels = groups.select(F.lit("label").alias("metric"), F.col("__key").alias("key"), "n") if known else None
+    if nulls is not None:
+        pairs = F.array(*[F.struct(F.lit("null_count").alias("metric"), F.lit(c).alias("key"), F.col(z).alias("n"))
+                          for c, z in zip(columns, zeros, strict=True)])
+        nulls = nulls.select(F.explode(pairs).alias("m")).select("m.*")
+    parts = [p for p in (labels, nulls) if p is not None]
+    return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], "metric string, key string, n bigint")
+
+
+def validate_churn(df: DataFrame, expected: Sequence[str], label: str | None, numeric: Sequence[str],
+                   max_labels: int = 1000) -> dict:
+    """The extract's validation as one small dict: expected columns that are
+    missing (a warning, never a failure), NULL counts of all columns, the
+    label distribution (the ``max_labels`` most frequent values; a label with
+    more is no category) and statistics of the numeric columns present."""
     have = set(df.columns)
     result: dict = {"missing_columns": missing_columns(df, expected), "null_counts": {}, "labels": {}, "stats": {}}
+    profile = churn_profile(df, label, df.columns)
+    result["null_counts"] = {r["key"]: r["n"] for r in profile.where("metric = 'null_count'").collect()}
     if label in have:
-        for r in churn_profile(df, label, df.columns).collect():
-            bucket = "labels" if r["metric"] == "label" else "null_counts"
-            result[bucket][r["key"]] = r["n"]
+        top = profile.where("metric = 'label'").orderBy(F.desc("n"), F.asc("key")).limit(max_labels)
+        result["labels"] = {r["key"]: r["n"] for r in top.collect()}
     present = [c for c in numeric if c in have]
     if present:
         result["stats"] = {r["column_name"]: r.asDict() for r in describe(df, present).collect()}

@@ -25,16 +25,15 @@ def daily_summary(
     df: DataFrame,
     keys: Sequence[str] = DAILY_KEYS,
     value: str = "value",
-    exact_scale: int | None = 2,
+    exact_scale: int | None = None,
     as_of: dt.datetime | str | None = None,
     with_timestamp: bool = True,
 ) -> DataFrame:
     """``record_count``, ``avg_value``, ``min_value``, ``max_value`` per group.
 
-    The target columns are NUMERIC, so by default the average is an exact
-    DECIMAL(18, ``exact_scale``) sum divided once by the count: the result does
-    not depend on how rows were partitioned.  ``exact_scale=None`` uses
-    Spark's floating ``avg``.
+    The average is Spark's ``avg``.  Callers whose values are fixed-point pass
+    their number of decimals as ``exact_scale``: the sum is then an exact
+    DECIMAL, so the result doesn't depend on how rows were partitioned.
     """
     v = quoted(value)
     avg = exact_mean(v, exact_scale) if exact_scale is not None else F.avg(v)

@@ -2,10 +2,10 @@
 the end-to-end run.
 
 Every job takes the caller's session and explicit locations, ``run_id`` and
-``as_of``, so re-running a day reproduces its outputs; loads overwrite only
-their own partitions.  Stages hand over through files (Parquet), which also
-cuts lineage: a lost executor re-reads the landed files instead of replaying
-the whole chain.
+``as_of``, so re-running a day reproduces its outputs; a load adds its run to
+the table and replaces only what the same run loaded before.  Stages hand over
+through files (Parquet), which also cuts lineage: a lost executor re-reads the
+landed files instead of replaying the whole chain.
 """
 
 from __future__ import annotations
@@ -20,21 +20,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.columns import is_floating
+from sluice.functions.columns import VALUE_BAND_DEFAULT, VALUE_BANDS, is_floating
 from sluice.operators.clean import clean_records
 from sluice.operators.conform import conform_to_schema
 from sluice.operators.enrich import enrich_records, timestamp_value
+from sluice.operators.modeling import validate_churn
 from sluice.operators.quality import quality_report_by, quality_summary
 from sluice.operators.summarize import daily_summary
-from sluice.schemas import EXTRACTION_TS, LOAD_TS, PROCESSED_SCHEMA, SOURCE_SYSTEM
+from sluice.schemas import (
+    CHURN_COLUMNS, CHURN_LABEL, CHURN_NUMERIC, EXTRACTION_TS, LOAD_TS, PROCESSED_SCHEMA, RECORD_SCHEMA, SOURCE_SYSTEM,
+)
 from sluice.sinks.files import run_id as new_run_id
-from sluice.sinks.files import write_csv, write_parquet, write_partitioned
-from sluice.sinks.jdbc import write_jdbc
+from sluice.sinks.files import observed, write_csv, write_parquet, write_partitioned
+from sluice.sinks.jdbc import append_through_stage, create_table_jdbc, write_jdbc
 from sluice.plans.metrics import RunMetrics, append_by_run, audit_frame, completed_runs
 from sluice.sources.files import (
-    CSV_TIMESTAMP_FORMAT_MICROS, discover_datasets, glob_exists, path_exists, read_csv, read_parquet,
+    CSV_TIMESTAMP_FORMAT_MICROS, discover_datasets, glob_exists, path_exists, qualified_depth,
+    read_csv, read_parquet,
 )
-from sluice.sources.jdbc import read_jdbc
+from sluice.sources.jdbc import modulo_predicates, read_jdbc
 
 log = logging.getLogger("sluice")
 
@@ -63,9 +67,16 @@ def extract(
     schema: T.StructType | None = None,
     as_of: dt.datetime | str | None = None,
     export_root: str | None = None,
+    expected: Sequence[str] | None = CHURN_COLUMNS,
+    label: str | None = CHURN_LABEL,
+    numeric: Sequence[str] = CHURN_NUMERIC,
 ) -> StepResult:
     """Land a source (a DataFrame, or a CSV path read with ``schema``) as
-    ``<raw_root>/extracted_data_<run_id>`` Parquet with lineage columns.
+    ``<raw_root>/extracted_data_<source>_<run_id>`` Parquet with lineage columns.
+
+    The landed rows are then profiled against the ``expected`` columns, the
+    ``label`` and the ``numeric`` columns: missing columns and NULLs are
+    logged and returned, never an error.  ``expected=None`` skips that.
 
     The optional CSV export is produced from the landed Parquet (a columnar
     re-read), not by parsing the source twice, and goes to ``export_root`` so
@@ -76,11 +87,18 @@ def extract(
         raise FileNotFoundError(f"input not found: {source}")
     src = source if isinstance(source, DataFrame) else read_csv(
         spark, source, schema=schema, timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
-    out = f"{raw_root.rstrip('/')}/{RAW_MARKER}_{rid}"
+    name = f"{RAW_MARKER}_{re.sub(r'[^A-Za-z0-9_-]', '_', source_system)}_{rid}"
+    out = f"{raw_root.rstrip('/')}/{name}"
     rows = write_parquet(stamp_extraction(src, source_system, as_of), out)
     details = {"run_id": rid}
+    if expected is not None:
+        landed = spark.read.schema(src.schema).parquet(out)
+        details["profile"] = validate_churn(landed, expected, label, numeric)
+        if details["profile"]["missing_columns"]:
+            log.warning("%s: expected columns missing: %s", name, details["profile"]["missing_columns"])
+        log_report(name, {"total_rows": rows, "null_counts": details["profile"]["null_counts"]})
     if export_root:
-        csv_path = f"{export_root.rstrip('/')}/{RAW_MARKER}_{rid}.csv"
+        csv_path = f"{export_root.rstrip('/')}/{name}.csv"
         write_csv(spark.read.parquet(out), csv_path, timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
         details["csv"] = csv_path
     return StepResult(rows, out, details)
@@ -98,8 +116,14 @@ def snapshot_source(spark: SparkSession, source: DataFrame | str, raw_root: str,
 
 def extract_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                  partition_column: str | None = None, num_partitions: int = 8) -> DataFrame:
-    """Source table read over JDBC, split into parallel range reads when a
-    partition column is given (lazy; nothing is read until an action)."""
+    """Source table read over JDBC in parallel (lazy; nothing is read until an
+    action).  ``partition_column`` splits it into ranges; by default the first
+    integer column splits it by remainder, which is even however the keys lie."""
+    if partition_column is None:
+        whole = [f.name for f in read_jdbc(spark, url, table, properties).schema.fields
+                 if isinstance(f.dataType, (T.LongType, T.IntegerType, T.ShortType))]
+        if whole:
+            return read_jdbc(spark, url, table, properties, predicates=modulo_predicates(whole[0], num_partitions))
     return read_jdbc(spark, url, table, properties, partition_column=partition_column,
                      num_partitions=num_partitions)
 
@@ -127,6 +151,15 @@ def transform_dataset(df: DataFrame, as_of: dt.datetime | str | None = None,
     return enrich_records(clean_records(df, required_columns=required_columns), as_of=as_of, with_hash=with_hash)
 
 
+def _name(path: str) -> str:
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
+def _require_found(only: Sequence[str] | None, found: Sequence[str]) -> None:
+    if missing := sorted(set(only or ()) - set(found)):
+        raise FileNotFoundError(f"datasets not found: {missing}")
+
+
 def transform(
     spark: SparkSession,
     raw_root: str,
@@ -137,9 +170,11 @@ def transform(
     marker: str = RAW_MARKER,
     export_root: str | None = None,
     report_approx_rsd: float | None = None,
+    only: Sequence[str] | None = None,
 ) -> StepResult:
     """For every landed dataset (Parquet folders named with ``marker``, and
-    ``*.csv`` files read with ``csv_schema``): quality report (one job),
+    ``*.csv`` files read with ``csv_schema``, or else with inferred types);
+    with ``only``, for the datasets of these names: quality report (one job),
     clean + enrich, write ``<processed_root>/transformed_<name>``.  CSV
     sources also get a CSV copy of their output under ``export_root`` when
     given - outside ``processed_root``, so the load never reads it twice.
@@ -148,13 +183,16 @@ def transform(
 
     Datasets are listed by name on the driver; each one is a distributed job.
     """
-    found = discover_datasets(spark, raw_root, dir_marker=marker, file_pattern="*.csv" if csv_schema else None)
+    found = discover_datasets(spark, raw_root, dir_marker=marker, file_pattern="*.csv")
     total, reports, stems = 0, {}, set()
-    inputs = [(p, "parquet") for p in found["parquet"]] + [(p, "csv") for p in found["csv"]]
+    inputs = [(p, kind) for kind in ("parquet", "csv") for p in found[kind] if only is None or _name(p) in only]
+    _require_found(only, [_name(p) for p, _ in inputs])
     for path, kind in inputs:
-        name = path.rstrip("/").rsplit("/", 1)[-1]
-        df = read_parquet(spark, path) if kind == "parquet" else read_csv(
-            spark, path, schema=csv_schema, timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
+        name = _name(path)
+        if kind == "parquet":
+            df = read_parquet(spark, path)
+        else:  # without a schema the timestamps' own form decides, not a fixed pattern
+            df = read_csv(spark, path, schema=csv_schema, timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS if csv_schema else None)
         reports[name] = quality_summary(df, name, approx_rsd=report_approx_rsd)
         log_report(name, reports[name])
         stem = name[:-4] if name.endswith(".csv") else name
@@ -172,6 +210,18 @@ def transform(
 DATASET_COLUMN = "dataset"
 
 
+def tagged_datasets(spark: SparkSession, raw_root: str, names: Sequence[str], schema: T.StructType | None = None) -> DataFrame:
+    """The landed Parquet datasets ``names`` as one frame, each row with its dataset.
+
+    The dataset is the folder directly below ``raw_root``, whatever folders
+    it holds or lies in.
+    """
+    root = raw_root.rstrip("/")
+    raw = read_parquet(spark, [f"{root}/{n}" for n in names], schema=schema, base_path=root)
+    path = F.regexp_replace("_metadata.file_path", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return raw.withColumn(DATASET_COLUMN, F.split(path, "/")[qualified_depth(spark, root)])
+
+
 def transform_batched(
     spark: SparkSession,
     raw_root: str,
@@ -180,23 +230,27 @@ def transform_batched(
     with_hash: bool = True,
     marker: str = RAW_MARKER,
     schema: T.StructType | None = None,
+    only: Sequence[str] | None = None,
 ) -> StepResult:
-    """The transform over every landed Parquet dataset in one pass.
+    """The transform over the landed Parquet datasets (all, or those named by ``only``) in one pass.
 
-    All ``<raw_root>/<marker>*`` folders are read by one scan; each row is
-    tagged with its dataset (the folder name, from the file's metadata).  The
+    They are read by one scan; each row is tagged with its dataset.  The
     per-dataset quality reports come from one grouped aggregate, cleaning
     de-duplicates within each dataset, and the output is written to
     ``<processed_path>/dataset=<name>`` partitions (rebalanced, dynamic
     overwrite).  The number of jobs does not grow with the number of
     datasets, unlike a loop over them.  Datasets must share one schema
-    (``schema`` pins it; otherwise Parquet footers decide).
+    (``schema`` pins it; otherwise Parquet footers decide).  Landed CSV files
+    are an error unless ``only`` leaves them out: they need ``transform``.
     """
-    raw = read_parquet(spark, f"{raw_root.rstrip('/')}/{marker}*", schema=schema)
-    # the dataset is the landed folder (name starting with the marker), even
-    # when that folder holds partition sub-folders of its own
-    pattern = "/(" + re.escape(marker) + "[^/]*)/"
-    tagged = raw.withColumn(DATASET_COLUMN, F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
+    found = discover_datasets(spark, raw_root, dir_marker=marker, file_pattern="*.csv")
+    names = [_name(p) for p in found["parquet"] if only is None or _name(p) in only]
+    if csv := [p for p in found["csv"] if only is None or _name(p) in only]:
+        raise ValueError(f"CSV datasets need transform(): {csv}")
+    _require_found(only, names)
+    if not names:
+        return StepResult(0, processed_path, {"reports": {}})
+    tagged = tagged_datasets(spark, raw_root, names, schema)
     reports = {r[DATASET_COLUMN]: r.asDict() for r in quality_report_by(tagged, DATASET_COLUMN).collect()}
     for name, report in reports.items():
         log_report(name, report)
@@ -215,11 +269,7 @@ SELECT
     {processed_ts} AS processed_timestamp,
     YEAR(`timestamp`) AS year,
     MONTH(`timestamp`) AS month,
-    CASE
-        WHEN value < 100 THEN 'low'
-        WHEN value < 200 THEN 'medium'
-        ELSE 'high'
-    END AS value_category{hash_column}
+    CASE {bands} ELSE '{other}' END AS value_category{hash_column}
 FROM {{raw}}
 WHERE value > 0 AND name IS NOT NULL{nan_guard}
 """
@@ -233,6 +283,8 @@ def transform_sql(raw: DataFrame, as_of: dt.datetime | str | None = None, with_h
     ts = "LOCALTIMESTAMP()" if as_of is None else "CAST(:as_of AS TIMESTAMP_NTZ)"
     text = TRANSFORM_SQL.format(
         processed_ts=ts,
+        bands=" ".join(f"WHEN value < {bound} THEN '{label}'" for bound, label in VALUE_BANDS),
+        other=VALUE_BAND_DEFAULT,
         hash_column=",\n    CAST(HASH(name) AS BIGINT) AS name_hash" if with_hash else "",
         nan_guard=" AND NOT isnan(value)" if is_floating(raw, "value") else "",
     )
@@ -240,6 +292,9 @@ def transform_sql(raw: DataFrame, as_of: dt.datetime | str | None = None, with_h
     return spark.sql(text, args=args, raw=raw)
 
 
+RUN_COLUMN = "run_id"
+
+
 def load(
     spark: SparkSession,
     source: DataFrame | Sequence[str],
@@ -248,31 +303,40 @@ def load(
     schema: T.StructType = PROCESSED_SCHEMA,
     partition_by: Sequence[str] = ("year", "month"),
     merge_schema: bool = False,
+    rid: str | None = None,
 ) -> StepResult:
-    """Conform processed rows to the target table and write them into its
-    ``year/month`` partitions.  Re-running replaces the partitions it touches
-    (idempotent) instead of appending copies.
+    """Add processed rows to the target table, conformed to its columns.
+
+    The table is partitioned by run, then by ``partition_by``
+    (``run_id=<rid>/year=/month=``).  A run adds to whatever other runs have
+    loaded, also of the same month; loading it again replaces its own rows
+    and nothing else.
 
     Processed datasets share one schema, so footers are not merged by default
     (merging reads every file footer - a full job on a large lake); pass
     ``merge_schema=True`` when inputs from different versions are mixed."""
+    rid = rid or new_run_id()
     if not isinstance(source, DataFrame):
         paths = [p for p in source if glob_exists(spark, p)]
         if not paths:
             log.warning("nothing to load: no processed data at %s", list(source))
-            return StepResult(0, target_path, {"skipped": True})
+            return StepResult(0, target_path, {"skipped": True, "run_id": rid})
         source = read_parquet(spark, paths, merge_schema=merge_schema)
-    df = source
+    df = source.drop(DATASET_COLUMN)
     stamped = df.withColumn(LOAD_TS, timestamp_value(as_of))
-    rows = write_partitioned(conform_to_schema(stamped, schema), target_path, keys=partition_by)
-    return StepResult(rows, target_path)
-
-
-def verify_load(spark: SparkSession, target_path: str, expected_rows: int | None = None) -> int:
-    """Count the loaded table; zero rows (or a mismatch) is an error."""
-    n = spark.read.parquet(target_path).count()
-    if n == 0 or (expected_rows is not None and n < expected_rows):
-        raise ValueError(f"load verification failed: {n} rows in {target_path}, expected {expected_rows}")
+    out, obs = observed(conform_to_schema(stamped, schema).hint("rebalance", *partition_by))
+    own = f"{target_path.rstrip('/')}/{RUN_COLUMN}={rid}"
+    # the run's folder is its own, so replacing it whole leaves no month of an earlier attempt behind
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(own))
+    return StepResult(int(obs.get.get("rows", 0)), target_path, {"skipped": False, "run_id": rid, "run_path": own})
+
+
+def verify_load(spark: SparkSession, target_path: str, expected_rows: int | None = None, rid: str | None = None) -> int:
+    """Count what the run ``rid`` (or else everyone) loaded; no rows, or another number than expected, is an error."""
+    path = f"{target_path.rstrip('/')}/{RUN_COLUMN}={rid}" if rid else target_path
+    n = spark.read.parquet(path).count()
+    if n == 0 or (expected_rows is not None and n != expected_rows):
+        raise ValueError(f"load verification failed: {n} rows in {path}, expected {expected_rows}")
     return n
 
 
@@ -282,9 +346,11 @@ def load_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = Non
     """Append conformed rows to a relational table, ``num_partitions`` writers
     in batches (the relational edge of the load).
 
-    JDBC append cannot replace a partition, so re-runs are guarded by the
-    audit trail: with ``rid`` and ``audit_path`` a run that already loaded
-    successfully is skipped, and a successful load records its audit row.
+    The table is created if it is missing.  The writers fill a staging table,
+    whose rows then enter the target in one transaction: a load that fails
+    leaves nothing behind, so it can be repeated.  With ``rid`` and
+    ``audit_path`` a run that already loaded is skipped, and a successful load
+    records its audit row.
     """
     spark = df.sparkSession
     if rid and audit_path and path_exists(spark, audit_path):
@@ -292,8 +358,9 @@ def load_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = Non
         if not done.isEmpty():
             return StepResult(0, table, {"skipped": True, "run_id": rid})
     started = dt.datetime.now()
-    rows = write_jdbc(conform_to_schema(df.withColumn(LOAD_TS, timestamp_value(as_of)), schema),
-                      url, table, properties, mode="append", num_partitions=num_partitions)
+    conformed = conform_to_schema(df.drop(DATASET_COLUMN).withColumn(LOAD_TS, timestamp_value(as_of)), schema)
+    create_table_jdbc(spark, url, table, schema, properties)
+    rows = append_through_stage(conformed, url, table, properties, num_partitions=num_partitions)
     if rid and audit_path:
         append_by_run(audit_frame(spark, rid, "processed", table, rows, started, dt.datetime.now()), audit_path)
     return StepResult(rows, table, {"skipped": False, "run_id": rid})
@@ -301,13 +368,13 @@ def load_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = Non
 
 def verify_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                 expected_rows: int | None = None) -> int:
-    """``SELECT COUNT(*)`` answered by the database; zero or short is an error."""
+    """``SELECT COUNT(*)`` answered by the database; zero, or another number than expected, is an error."""
     query = f"(SELECT COUNT(*) AS n FROM {table}) c"
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", query)
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
     n = int(reader.load().first()[0])
-    if n == 0 or (expected_rows is not None and n < expected_rows):
+    if n == 0 or (expected_rows is not None and n != expected_rows):
         raise ValueError(f"load verification failed: {n} rows in {table}, expected {expected_rows}")
     return n
 
@@ -324,9 +391,9 @@ def summarize_jdbc(spark: SparkSession, url: str, source_table: str, summary_tab
 
 
 def summarize(spark: SparkSession, table_path: str, out_path: str,
-              as_of: dt.datetime | str | None = None) -> StepResult:
-    """Daily summary of the loaded table, overwriting the summary output."""
-    summary = daily_summary(spark.read.parquet(table_path), as_of=as_of)
+              as_of: dt.datetime | str | None = None, exact_scale: int | None = None) -> StepResult:
+    """Daily summary of the loaded table (all runs), overwriting the summary output."""
+    summary = daily_summary(spark.read.parquet(table_path), as_of=as_of, exact_scale=exact_scale)
     return StepResult(write_parquet(summary, out_path), out_path)
 
 
@@ -345,9 +412,14 @@ def end_to_end(
     metrics_path: str | None = None,
     audit_path: str | None = None,
     batched: bool = False,
+    exact_scale: int | None = None,
 ) -> dict:
     """extract -> validate -> transform -> quality check -> load -> verify -> summary.
 
+    Only what this run has landed is transformed and loaded, so a day costs
+    what its own rows cost; the summary covers the table.  ``exact_scale`` as
+    in ``daily_summary``.
+
     With ``metrics_path`` one row per stage (rows in/out, rejected, error
     rate, seconds) is written for the run; with ``audit_path`` the load is
     recorded in the audit trail.  Both are partitioned by ``run_id``.
@@ -358,27 +430,27 @@ def end_to_end(
     base = workdir.rstrip("/")
     run = RunMetrics(rid)
     with run.stage("extract") as st:
-        landed = extract(spark, source, f"{base}/raw", source_system, rid=rid, as_of=as_of)
+        landed = extract(spark, source, f"{base}/raw", source_system, rid=rid, as_of=as_of,
+                         expected=RECORD_SCHEMA.fieldNames(), label=None, numeric=("value",))
         _require_rows(landed.rows, "extracted data")  # observed on the write: no re-read
         st.rows_out = landed.rows
-    with run.stage("transform", rows_in=landed.rows) as st:
-        if batched:
-            processed = transform_batched(spark, f"{base}/raw", f"{base}/processed", as_of=as_of)
-        else:
-            processed = transform(spark, f"{base}/raw", f"{base}/processed", as_of=as_of)
+    dataset = _name(landed.path)
+    with run.stage("transform", rows_in=landed.rows, rejects=True) as st:
+        step = transform_batched if batched else transform
+        processed = step(spark, f"{base}/raw", f"{base}/processed", as_of=as_of, only=[dataset])
         st.rows_out = processed.rows
         reports = processed.details["reports"].values()
         total = sum(r["total_rows"] for r in reports)
         st.quality_score = (1.0 - sum(r["duplicates"] for r in reports) / total) if total else None
         _require_rows(processed.rows, "processed data")
-    processed_df = spark.read.parquet(f"{base}/processed" if batched else f"{base}/processed/{PROCESSED_PREFIX}*")
+    processed_df = spark.read.parquet(f"{base}/processed/" + (f"{DATASET_COLUMN}={dataset}" if batched else f"{PROCESSED_PREFIX}{dataset}"))
     started = dt.datetime.now()
     with run.stage("load", rows_in=processed.rows) as st:
-        loaded = load(spark, processed_df, f"{base}/warehouse/processed_data", as_of=as_of)
-        verified = verify_load(spark, loaded.path, loaded.rows)
+        loaded = load(spark, processed_df, f"{base}/warehouse/processed_data", as_of=as_of, rid=rid)
+        verified = verify_load(spark, loaded.path, loaded.rows, rid=rid)
         st.rows_out = loaded.rows
     with run.stage("summary", rows_in=loaded.rows) as st:
-        summary = summarize(spark, loaded.path, f"{base}/warehouse/daily_summary", as_of=as_of)
+        summary = summarize(spark, loaded.path, f"{base}/warehouse/daily_summary", as_of=as_of, exact_scale=exact_scale)
         st.rows_out = summary.rows
     if metrics_path:
         append_by_run(run.to_frame(spark), metrics_path)

@@ -30,12 +30,13 @@ class StageMetric:
     seconds: float = 0.0
     status: str = "ok"
     quality_score: float | None = None
+    rejects: bool = False  # whether rows that don't come out were turned away
 
     @property
     def rejected(self) -> int | None:
-        if self.rows_in is None or self.rows_out is None:
+        if not self.rejects or self.rows_in is None or self.rows_out is None:
             return None
-        return max(self.rows_in - self.rows_out, 0)
+        return self.rows_in - self.rows_out
 
     @property
     def error_rate(self) -> float | None:
@@ -50,10 +51,11 @@ class RunMetrics:
     stages: list[StageMetric] = field(default_factory=list)
 
     @contextmanager
-    def stage(self, name: str, rows_in: int | None = None):
+    def stage(self, name: str, rows_in: int | None = None, rejects: bool = False):
         """Time a stage; the body sets ``rows_out`` (and optionally
-        ``quality_score``) on the yielded record."""
-        rec = StageMetric(name, rows_in=rows_in)
+        ``quality_score``) on the yielded record.  Only a stage that
+        ``rejects`` rows has an error rate: others may well change their number."""
+        rec = StageMetric(name, rows_in=rows_in, rejects=rejects)
         t0 = time.perf_counter()
         try:
             yield rec

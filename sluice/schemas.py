@@ -28,8 +28,9 @@ METADATA_COLUMNS = (EXTRACTION_TS, SOURCE_SYSTEM, PROCESSED_TS, PROCESSING_VERSI
 
 # Target table ``processed_data`` (14 columns, in this order).
 # ``value`` is NUMERIC in the target; double keeps int and double inputs exact.
+# ``id`` is BIGINT: record ids pass 2^31 at the sizes this is meant for.
 PROCESSED_SCHEMA = T.StructType([
-    T.StructField("id", T.IntegerType(), True),
+    T.StructField("id", T.LongType(), True),
     T.StructField("name", T.StringType(), True),
     T.StructField("value", T.DoubleType(), True),
     T.StructField("timestamp", T.TimestampNTZType(), True),
@@ -88,6 +89,3 @@ SAMPLE_SOURCE_SCHEMA = T.StructType([
     T.StructField("source", T.StringType(), True),
 ])
 
-
-def field_names(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema.fields]

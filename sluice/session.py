@@ -76,7 +76,6 @@ def build_session(
         builder = builder.enableHiveSupport()
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -86,27 +85,28 @@ def stop_session(spark: SparkSession | None) -> None:
         spark.stop()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, creating a local one only if unset.
+    """Return the folder that all executors share: ``spark.checkpoint.dir``, or the context's own.
 
-    On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach (HDFS, object store).  Only when nothing is configured - tests, a
-    laptop - is a fresh local folder created and registered with the
-    SparkContext (the conf itself cannot be changed at run time).
+    Only a session on a ``local`` master - tests, a laptop - may go without
+    one and gets a fresh local folder; on a cluster that is an error, since
+    no executor would see another's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
-    current = sc.getCheckpointDir() if sc is not None else None
+    configured = configured or (sc.getCheckpointDir() if sc is not None else None)
     if configured:
-        if sc is not None and not current:
-            sc.setCheckpointDir(configured)
         return configured.rstrip("/")
-    if current:
-        return current.rstrip("/")
-    local = tempfile.mkdtemp(prefix="sluice-ckpt-")
-    if sc is not None:
-        sc.setCheckpointDir(local)
-    return local
+    master = spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors share (master: {master!r})")
+    app = spark.conf.get("spark.app.id", "")
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="sluice-ckpt-")
+    return _local_folders[app]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

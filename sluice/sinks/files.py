@@ -23,8 +23,9 @@ RUN_ID_FORMAT = "%Y%m%d_%H%M%S"
 
 
 def run_id(at: dt.datetime | None = None) -> str:
-    """One id per run, taken once, so every output of the run shares it."""
-    return (at or dt.datetime.now()).strftime(RUN_ID_FORMAT)
+    """One id per run, taken once, so every output of the run shares it.  An id
+    of now ends with a random part: two runs within a second stay apart."""
+    return at.strftime(RUN_ID_FORMAT) if at else f"{dt.datetime.now().strftime(RUN_ID_FORMAT)}_{uuid.uuid4().hex[:6]}"
 
 
 def run_output_path(base: str, rid: str) -> str:

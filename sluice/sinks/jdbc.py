@@ -50,6 +50,42 @@ def write_jdbc(
     return int(obs.get.get("rows", 0))
 
 
+def _run_sql(spark: SparkSession, url: str, properties: Mapping[str, str] | None, *statements: str) -> None:
+    """Run statements on one connection of the driver, as one transaction."""
+    jvm = spark.sparkContext._jvm
+    info = jvm.java.util.Properties()
+    for k, v in (properties or {}).items():
+        info.setProperty(k, v)
+    if driver := (properties or {}).get("driver"):
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(driver)
+    connection = jvm.java.sql.DriverManager.getConnection(url, info)
+    try:
+        connection.setAutoCommit(False)
+        for text in statements:
+            statement = connection.createStatement()
+            statement.executeUpdate(text)
+            statement.close()
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def append_through_stage(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
+                         num_partitions: int | None = None) -> int:
+    """Append ``df`` to the existing ``table`` all or nothing: parallel writers
+    fill a staging table, one ``INSERT ... SELECT`` moves its rows.  A failed
+    load leaves the target as it was; its staging table is replaced by the next."""
+    spark = df.sparkSession
+    stage = f"{table}_stage"
+    rows = write_jdbc(df, url, stage, properties, mode="overwrite", num_partitions=num_partitions, truncate=False)
+    columns = ", ".join(f'"{c}"' for c in df.columns)
+    _run_sql(spark, url, properties, f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {stage}", f"DROP TABLE {stage}")
+    return rows
+
+
 def table_exists_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None) -> bool:
     reader = spark.read.format("jdbc").option("url", url).option("query", f"SELECT * FROM {table} WHERE 1 = 0")
     for k, v in (properties or {}).items():

@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.columns import exact_sum
-from sluice.operators.joins import join_small
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -44,7 +43,9 @@ def dirty_records(events: DataFrame) -> DataFrame:
 
     Fixed values (fault rules): id % 101 = 0 -> whole row NULL; id % 7 = 0 ->
     NULL name; id % 3 = 0 -> name upper-cased and padded; id % 13 = 0 -> NULL
-    value; id % 11 = 0 -> negated value; id % 50 = 0 -> row appears twice.
+    value; id % 17 = 0 -> NaN; id % 11 = 0 -> negated value; id % 19 = 0 ->
+    negated id; id % 23 = 0 -> NULL timestamp; id % 4 -> that many months
+    later; id % 50 = 0 -> row appears twice.
     """
     e = F.col("event_id")
     dead = (e % 101) == 0
@@ -52,14 +53,16 @@ def dirty_records(events: DataFrame) -> DataFrame:
     # one scan: each row is emitted ``copies`` times by a generator
     doubled = events.select("*", F.explode(F.sequence(F.lit(1), copies)).alias("__copy"))
     return doubled.select(
-        F.when(dead, F.lit(None)).otherwise(e).alias("id"),
+        F.when(dead, F.lit(None)).when((e % 19) == 0, -e).otherwise(e).alias("id"),
         F.when(dead | ((e % 7) == 0), F.lit(None))
          .when((e % 3) == 0, F.concat(F.lit("  "), F.upper("event_type"), F.lit(" ")))
          .otherwise(F.col("event_type")).alias("name"),
         F.when(dead | ((e % 13) == 0), F.lit(None))
+         .when((e % 17) == 0, F.lit(float("nan")))
          .when((e % 11) == 0, -F.col("value"))
          .otherwise(F.col("value")).alias("value"),
-        F.when(dead, F.lit(None)).otherwise(F.col("ts")).alias("timestamp"),
+        F.when(dead | ((e % 23) == 0), F.lit(None))
+         .otherwise(F.col("ts") + F.make_interval(months=(e % 4).cast("int"))).alias("timestamp"),
     )
 
 
@@ -88,17 +91,18 @@ def churn_frame(customer: DataFrame, orders: DataFrame, nation: DataFrame, regio
         *[F.max(F.when(pri == p, F.lit(1)).otherwise(F.lit(0))).alias(s)
           for p, s in zip(SERVICE_PRIORITIES, SERVICE_COLUMNS)],
     )
-    # nation x region is left to Spark's own (statistics-based) join choice;
-    # the combined side is size-checked once before it is broadcast.
+    # Plain joins: Spark's statistics and adaptive execution choose the broadcasts.
     geo = nation.select(F.col("n_nationkey"), F.col("n_name").alias("Nation"), F.col("n_regionkey")).join(
         region.select(F.col("r_regionkey").alias("n_regionkey"), F.col("r_name").alias("Region")),
         on="n_regionkey", how="left",
     ).drop("n_regionkey")
-    cust = join_small(
-        customer.select(F.col("c_custkey").alias("CustomerID"), F.col("c_mktsegment").alias("ContractType"),
-                        F.col("c_nationkey").alias("n_nationkey")),
-        geo, on="n_nationkey", how="left",
-    ).drop("n_nationkey")
+    # Fixed values (awkward keys): no contract where the key is divisible by 29, a separator in it by 31.
+    segment, key = F.col("c_mktsegment"), F.col("c_custkey")
+    contract = F.when(key % 29 == 0, F.lit(None)).when(key % 31 == 0, F.concat(segment, F.lit("|"), segment)).otherwise(segment)
+    cust = customer.select(
+        F.col("c_custkey").alias("CustomerID"), contract.alias("ContractType"),
+        F.col("c_nationkey").alias("n_nationkey"),
+    ).join(geo, on="n_nationkey", how="left").drop("n_nationkey")
     tenure = F.when(F.col("first_order").isNull(), F.lit(0)).otherwise(
         (F.expr("datediff(last_order, first_order) div 30") + 1).cast("int"))
     joined = cust.join(per_customer, on="CustomerID", how="left")

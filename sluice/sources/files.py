@@ -111,24 +111,31 @@ def _gateway_available(spark: SparkSession) -> bool:
         return False
 
 
-def _listed_paths(spark: SparkSession, pattern: str) -> list[str] | None:
-    """File paths under ``pattern`` listed by a Spark scan (only the ``path``
-    column is selected, so file contents are not read); None if nothing
-    matches.  Used where the JVM gateway is unavailable."""
+def _listing(spark: SparkSession, pattern: str) -> DataFrame | None:
+    """Paths of the files under ``pattern``, listed by a Spark scan (only the
+    ``path`` column is selected, so file contents are not read); None if
+    nothing matches.  Used where the JVM gateway is unavailable."""
     try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-                 .load(pattern).select("path").distinct())
-        return [r[0] for r in files.collect()]
+        return (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                .load(pattern).select("path"))
     except AnalysisException as err:
         if "PATH_NOT_FOUND" in str(err):
             return None
         raise
 
 
+def qualified_depth(spark: SparkSession, path: str) -> int:
+    """How many parts, the empty one before the first slash included, the full path has."""
+    if _gateway_available(spark):
+        fs, p = _fs(spark, path)
+        path = fs.makeQualified(p).toUri().getPath()
+    return len(("/" + _bare(path).rstrip("/")).split("/"))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (works for HDFS, S3, local)."""
     if not _gateway_available(spark):
-        return _listed_paths(spark, path) is not None
+        return _listing(spark, path) is not None
     fs, p = _fs(spark, path)
     return bool(fs.exists(p))
 
@@ -136,7 +143,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def glob_exists(spark: SparkSession, pattern: str) -> bool:
     """True if a path or glob pattern matches at least one entry."""
     if not _gateway_available(spark):
-        return bool(_listed_paths(spark, pattern))
+        found = _listing(spark, pattern)
+        return found is not None and not found.isEmpty()
     fs, p = _fs(spark, pattern)
     found = fs.globStatus(p)
     return found is not None and len(found) > 0
@@ -145,7 +153,7 @@ def glob_exists(spark: SparkSession, pattern: str) -> bool:
 def list_children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """``(name, is_dir)`` of the entries directly below ``path``."""
     if not _gateway_available(spark):
-        return _children_from_listing(path, _listed_paths(spark, path) or [])
+        return _children_from_listing(path, _listing(spark, path))
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
@@ -157,19 +165,18 @@ def _bare(path: str) -> str:
     return re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", path).lstrip("/")
 
 
-def _children_from_listing(root: str, paths: list[str]) -> list[tuple[str, bool]]:
+def _children_from_listing(root: str, paths: DataFrame | None) -> list[tuple[str, bool]]:
     """First-level entries of ``root`` derived from a recursive file listing
-    (folders without visible files do not show up this way)."""
+    (folders without visible files do not show up this way).  Only the
+    entries' names reach the driver, not the files below them."""
+    if paths is None:
+        return []
     base = _bare(root).rstrip("/") + "/"
-    children: dict[str, bool] = {}
-    for full in paths:
-        rel = _bare(full)
-        if not rel.startswith(base):
-            continue
-        parts = [x for x in rel[len(base):].split("/") if x]
-        if parts:
-            children[parts[0]] = children.get(parts[0], False) or len(parts) > 1
-    return sorted(children.items())
+    bare = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "")
+    parts = F.filter(F.split(F.substring(bare, len(base) + 1, 1 << 30), "/"), lambda x: x != "")
+    found = (paths.where(bare.startswith(base)).select(F.element_at(parts, 1).alias("name"), (F.size(parts) > 1).alias("dir"))
+             .groupBy("name").agg(F.max("dir").alias("dir")))
+    return sorted((r["name"], r["dir"]) for r in found.collect())
 
 
 def discover_datasets(spark: SparkSession, root: str, dir_marker: str | None = None,

@@ -13,37 +13,42 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Connection defaults of the target database (overridable by env).
+# Connection defaults of the target and the source database (overridable by env).
 DEFAULT_HOST = "localhost"
-DEFAULT_PORT = "5433"
-DEFAULT_DB = "elt_db"
-DEFAULT_USER = "elt_user"
+TARGET_DEFAULTS = {"port": "5433", "db": "elt_db", "user": "elt_user", "password": ""}
+SOURCE_PREFIX = "SOURCE_DB"
+SOURCE_DEFAULTS = {"port": "5432", "db": "source_db", "user": "postgres", "password": "password"}
 DEFAULT_BATCH = "10000"
 DEFAULT_ISOLATION = "READ_COMMITTED"
 
 
 def jdbc_config_from_env(prefix: str = "POSTGRES") -> dict:
     """``{"url": ..., "properties": {...}}`` for PostgreSQL from ``<PREFIX>_*``
-    variables (HOST, PORT, DB, USER, PASSWORD)."""
+    variables (HOST, PORT, USER, PASSWORD; the database is DB, or NAME for the
+    source database).  The target and the source have defaults of their own."""
+    known = SOURCE_DEFAULTS if prefix == SOURCE_PREFIX else TARGET_DEFAULTS
+    name = "NAME" if prefix == SOURCE_PREFIX else "DB"
     host = os.getenv(f"{prefix}_HOST", DEFAULT_HOST)
-    port = os.getenv(f"{prefix}_PORT", DEFAULT_PORT)
-    db = os.getenv(f"{prefix}_DB", DEFAULT_DB)
+    port = os.getenv(f"{prefix}_PORT", known["port"])
+    db = os.getenv(f"{prefix}_{name}", known["db"])
     props = {
-        "user": os.getenv(f"{prefix}_USER", DEFAULT_USER),
-        "password": os.getenv(f"{prefix}_PASSWORD", ""),
+        "user": os.getenv(f"{prefix}_USER", known["user"]),
+        "password": os.getenv(f"{prefix}_PASSWORD", known["password"]),
         "driver": "org.postgresql.Driver",
-        "stringtype": "unspecified",
     }
+    if prefix != SOURCE_PREFIX:
+        props["stringtype"] = "unspecified"
     return {"url": f"jdbc:postgresql://{host}:{port}/{db}", "properties": props}
 
 
 def modulo_predicates(column: str, n: int) -> list[str]:
-    """``n`` WHERE clauses ``MOD(column, n) = k`` that together cover every row
-    with a non-NULL integer ``column`` exactly once, plus one for NULLs.  Each
+    """``n`` WHERE clauses on the non-negative remainder of ``column`` by ``n`` that
+    together cover every row with a non-NULL integer ``column`` exactly once,
+    negative ones too, plus one clause for NULLs.  Each
     task gets ~1/n of the rows whatever the key's distribution (range splits
     follow the key space and leave a hot range on one task)."""
     ref = column if column.startswith('"') else f'"{column}"'
-    return [f"MOD({ref}, {n}) = {k}" for k in range(n)] + [f"{ref} IS NULL"]
+    return [f"MOD(MOD({ref}, {n}) + {n}, {n}) = {k}" for k in range(n)] + [f"{ref} IS NULL"]
 
 
 def read_jdbc(

@@ -1,13 +1,13 @@
 """Daily transform over newly landed files only, with Structured Streaming.
 
 The batch ``transform`` job re-reads every landed dataset on every run.  Here
-the file source remembers which files it has processed (in the checkpoint), so
-each scheduled run with ``trigger(availableNow=True)`` handles exactly the files
-landed since the previous run and then stops.  Each micro-batch is cleaned and
-enriched as a plain DataFrame (``foreachBatch``) and written to its own
-``batch=<id>`` folder with overwrite, so a retried batch replaces its output
-instead of appending twice.  De-duplication is per micro-batch, like the batch
-job's per-dataset de-duplication; no unbounded streaming state is kept.
+the file source remembers which files it has seen (in the checkpoint), so each
+scheduled run with ``trigger(availableNow=True)`` finds exactly the datasets
+with files landed since the run before, and then stops.  A micro-batch only
+names the datasets that it touches: these are transformed whole, and replace
+their own ``dataset=<name>`` partitions.  So the result is that of the batch
+transform, wherever micro-batches begin and end, and a batch that is run again
+changes nothing.
 """
 
 from __future__ import annotations
@@ -15,11 +15,14 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.plans.flows import RAW_MARKER, transform_dataset
-from sluice.session import ensure_checkpoint_dir
-from sluice.sinks.files import write_parquet
+from sluice.operators.clean import clean_records
+from sluice.operators.enrich import enrich_records
+from sluice.plans.flows import DATASET_COLUMN, RAW_MARKER, tagged_datasets
+from sluice.sinks.files import write_partitioned
+from sluice.sources.files import qualified_depth
 
 
 def incremental_transform(
@@ -27,27 +30,37 @@ def incremental_transform(
     raw_root: str,
     schema: T.StructType,
     processed_path: str,
-    name: str = "transform",
-    checkpoint: str | None = None,
+    checkpoint: str,
     as_of: dt.datetime | str | None = None,
     with_hash: bool = True,
     max_files_per_trigger: int | None = None,
 ) -> dict:
-    """Run once over all not-yet-processed ``<raw_root>/extracted_data_*``
-    files; returns ``{"batches": n, "rows": m}`` for this run."""
-    ckpt = checkpoint or f"{ensure_checkpoint_dir(spark)}/sluice-streams/{name}"
+    """Run once over the datasets ``<raw_root>/extracted_data_*`` with files not
+    seen before; returns ``{"batches": n, "datasets": names, "rows": m}`` of
+    this run, rows counted per dataset once.  ``checkpoint`` is a folder that
+    outlives the process and that all executors share."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    stream = reader.parquet(f"{raw_root.rstrip('/')}/{RAW_MARKER}_*")
-    stats = {"batches": 0, "rows": 0}
+    root = raw_root.rstrip("/")
+    stream = reader.parquet(f"{root}/{RAW_MARKER}_*")
+    depth = qualified_depth(spark, root)
+    batches, rows = 0, {}
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        out = transform_dataset(batch, as_of=as_of, with_hash=with_hash)
-        stats["rows"] += write_parquet(out, f"{processed_path.rstrip('/')}/batch={batch_id}")
-        stats["batches"] += 1
+        nonlocal batches
+        path = F.regexp_replace("file", r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+        names = sorted(r[0] for r in batch.select(F.split(path, "/")[depth]).distinct().collect())
+        batches += 1
+        if not names:
+            return
+        cleaned = clean_records(tagged_datasets(batch.sparkSession, root, names, schema), carry=(DATASET_COLUMN,))
+        out = enrich_records(cleaned, as_of=as_of, with_hash=with_hash)
+        write_partitioned(out, processed_path, keys=(DATASET_COLUMN,))
+        for name in names:
+            rows[name] = batch.sparkSession.read.parquet(f"{processed_path.rstrip('/')}/{DATASET_COLUMN}={name}").count()
 
-    query = (stream.writeStream.foreachBatch(process).option("checkpointLocation", ckpt)
-             .trigger(availableNow=True).start())
+    query = (stream.select(F.col("_metadata.file_path").alias("file")).writeStream.foreachBatch(process)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
-    return stats
+    return {"batches": batches, "datasets": sorted(rows), "rows": sum(rows.values())}

@@ -16,15 +16,24 @@ from sluice.session import build_session  # noqa: E402
 SF_SMALL = "/root/testdata/sf0.001"
 SF_ORACLE = "/root/testdata/sf0.01"
 
-# Five sample records (id, name, value, timestamp) with their expected bands.
+# Five records (id, name, value, timestamp) at and beside the bounds of the value bands.
 SAMPLE_ROWS = [
-    (1, "customer_001", 100, dt.datetime(2024, 1, 15, 10, 30)),
-    (2, "customer_002", 150, dt.datetime(2024, 1, 15, 11, 45)),
-    (3, "customer_003", 200, dt.datetime(2024, 1, 15, 14, 20)),
-    (4, "customer_004", 75, dt.datetime(2024, 1, 15, 16, 10)),
-    (5, "customer_005", 300, dt.datetime(2024, 1, 15, 18, 35)),
+    (11, "pump", 99, dt.datetime(2023, 11, 30, 23, 59)),
+    (12, "valve", 100, dt.datetime(2023, 12, 1, 0, 0)),
+    (13, "gasket", 199, dt.datetime(2024, 2, 29, 6, 5)),
+    (14, "flange", 200, dt.datetime(2024, 2, 29, 6, 6)),
+    (15, "rotor", 1, dt.datetime(2024, 3, 1, 12, 0)),
+]
+SAMPLE_BANDS = {11: "low", 12: "medium", 13: "medium", 14: "high", 15: "low"}
+
+# Rows with one fault each: copies that differ in case and padding only, a value below zero, no name.
+FAULTY_ROWS = [
+    (21, " Steam Valve", 120, dt.datetime(2024, 2, 27)),
+    (22, "pump", -7, dt.datetime(2024, 2, 28)),
+    (23, None, 33, dt.datetime(2024, 2, 29)),
+    (21, " Steam Valve", 120, dt.datetime(2024, 2, 27)),
+    (24, "ROTOR ", 450, dt.datetime(2024, 3, 1)),
 ]
-SAMPLE_BANDS = {1: "medium", 2: "medium", 3: "high", 4: "low", 5: "high"}
 
 RECORD_SCHEMA_TZ = T.StructType([
     T.StructField("id", T.IntegerType(), True),

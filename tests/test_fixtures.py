@@ -23,8 +23,8 @@ def test_dirty_events_counts_at_sf001(spark):
     rep = Q.quality_summary(dirty)
     assert rep["total_rows"] == 10_200 and rep["distinct_rows"] == 9_901
     assert rep["null_counts"]["id"] == 102 and rep["null_counts"]["name"] == 1_544
-    assert C.clean_records(dirty).count() == 8_307
-    assert transform_sql(dirty).count() == 7_262
+    assert C.clean_records(dirty).count() == 7_818
+    assert transform_sql(dirty).count() == 6_835
 
 
 def test_clean_events_have_no_faults_and_known_bands(spark):

@@ -17,26 +17,20 @@ from sluice.sinks.files import write_csv, write_parquet
 from sluice.sources.derived import dirty_records, events_as_records
 from sluice.sources.files import CSV_TIMESTAMP_FORMAT_MICROS
 from sluice.streaming.incremental import incremental_transform
-from tests.conftest import SF_SMALL
+from tests.conftest import FAULTY_ROWS, SF_SMALL
 
 AS_OF = "2024-02-01 00:00:00"
 DERBY = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 
 
 def _dirty_five(spark):
-    return spark.createDataFrame([
-        (1, "  Customer_001  ", 100, dt.datetime(2024, 1, 15)),
-        (2, "CUSTOMER_002", -50, dt.datetime(2024, 1, 16)),
-        (3, None, 150, dt.datetime(2024, 1, 17)),
-        (1, "  Customer_001  ", 100, dt.datetime(2024, 1, 15)),
-        (4, "customer_004", 200, dt.datetime(2024, 1, 18)),
-    ], RECORD_SCHEMA)
+    return spark.createDataFrame(FAULTY_ROWS, RECORD_SCHEMA)
 
 
 def test_end_to_end_on_dirty_rows(spark, tmp_dir):
     out = flows.end_to_end(spark, _dirty_five(spark), tmp_dir, "crm", as_of=AS_OF, rid="20240201_000000")
     assert (out["extracted"], out["processed"], out["loaded"], out["verified"]) == (5, 3, 3, 3)
-    rep = out["reports"]["extracted_data_20240201_000000"]
+    rep = out["reports"]["extracted_data_crm_20240201_000000"]
     assert (rep["total_rows"], rep["duplicates"], rep["null_counts"]["name"]) == (5, 1, 1)
     summary = spark.read.parquet(out["summary_path"])
     assert summary.agg(F.sum("record_count")).first()[0] == 3
@@ -61,6 +55,7 @@ def test_end_to_end_records_metrics_and_audit(spark, tmp_dir):
     m = {r["stage"]: r for r in spark.read.parquet(f"{tmp_dir}/m").collect()}
     assert (m["transform"]["rows_in"], m["transform"]["rows_out"], m["transform"]["rejected"]) == (5, 3, 2)
     assert m["transform"]["quality_score"] == 0.8 and m["transform"]["error_rate"] == 0.4
+    assert all(m[s]["rejected"] is None and m[s]["error_rate"] is None for s in ("extract", "load", "summary"))
     audit = spark.read.parquet(f"{tmp_dir}/a").first()
     assert (audit["run_id"], audit["rows"], audit["status"]) == ("r9", 3, "ok")
 
@@ -105,14 +100,67 @@ def test_transform_batched_tags_partitioned_datasets(spark, tmp_dir):
     assert list(res.details["reports"]) == ["extracted_data_r1"]
 
 
-def test_load_is_idempotent(spark, tmp_dir):
+def test_second_day_adds_to_the_month(spark, tmp_dir):
+    out = [flows.end_to_end(spark, _dirty_five(spark).withColumn("id", F.col("id") + 100 * i), tmp_dir, "crm", as_of=AS_OF, rid=rid)
+           for i, rid in enumerate(["r1", "r2", "r1"])]
+    assert [o["loaded"] for o in out] == [3, 3, 3] and [o["reports"].keys() for o in out] == [
+        {"extracted_data_crm_r1"}, {"extracted_data_crm_r2"}, {"extracted_data_crm_r1"}]
+    table = spark.read.parquet(out[0]["table_path"])
+    assert table.count() == 6 and {r["id"] for r in table.where("run_id = 'r1'").collect()} == {221, 223, 224}
+    assert spark.read.parquet(out[0]["summary_path"]).agg(F.sum("record_count")).first()[0] == 6
+
+
+def test_load_replaces_its_own_run_only(spark, tmp_dir):
     recs = flows.transform_dataset(events_as_records(spark.read.parquet(f"{SF_SMALL}/events.parquet")), AS_OF)
-    first = flows.load(spark, recs, f"{tmp_dir}/t", as_of=AS_OF)
-    again = flows.load(spark, recs, f"{tmp_dir}/t", as_of=AS_OF)
-    assert first.rows == again.rows == spark.read.parquet(f"{tmp_dir}/t").count()
-    assert flows.verify_load(spark, f"{tmp_dir}/t", first.rows) == first.rows
-    with pytest.raises(ValueError):
-        flows.verify_load(spark, f"{tmp_dir}/t", first.rows + 1)
+    first = flows.load(spark, recs, f"{tmp_dir}/t", as_of=AS_OF, rid="r1")
+    other = flows.load(spark, recs.where("id % 2 = 0"), f"{tmp_dir}/t", as_of=AS_OF, rid="r2")
+    # the same run again, without the rows of most days: no partition of the first attempt stays
+    again = flows.load(spark, recs.where("day = 3"), f"{tmp_dir}/t", as_of=AS_OF, rid="r1")
+    assert first.rows > again.rows > 0
+    assert spark.read.parquet(f"{tmp_dir}/t").count() == again.rows + other.rows
+    assert flows.verify_load(spark, f"{tmp_dir}/t", again.rows, rid="r1") == again.rows
+    for wrong in (again.rows + 1, again.rows - 1):
+        with pytest.raises(ValueError, match="verification failed"):
+            flows.verify_load(spark, f"{tmp_dir}/t", wrong, rid="r1")
+
+
+def test_large_ids_and_unknown_timestamps_load(spark, tmp_dir):
+    rows = spark.createDataFrame([(3_000_000_000, "a", 0.004, None), (-5, "b", 0.004, dt.datetime(2024, 1, 1))],
+                                 "id bigint, name string, value double, timestamp timestamp_ntz")
+    flows.load(spark, flows.transform_dataset(rows, AS_OF), f"{tmp_dir}/t", as_of=AS_OF, rid="r1")
+    flows.load(spark, flows.transform_dataset(rows, AS_OF), f"{tmp_dir}/t", as_of=AS_OF, rid="r2")
+    back = spark.read.parquet(f"{tmp_dir}/t")
+    assert back.count() == 4 and back.where("id = 3000000000 and timestamp is null").count() == 2
+    flows.summarize(spark, f"{tmp_dir}/t", f"{tmp_dir}/s", as_of=AS_OF)
+    assert {(r["avg_value"], r["min_value"]) for r in spark.read.parquet(f"{tmp_dir}/s").collect()} == {(0.004, 0.004)}
+    with pytest.raises(ValueError, match="not in target"):
+        flows.load(spark, rows.withColumn("tenure", F.lit(1)), f"{tmp_dir}/t", as_of=AS_OF, rid="r3")
+
+
+def test_csv_without_a_schema_is_transformed(spark, tmp_dir):
+    write_csv(_dirty_five(spark), f"{tmp_dir}/raw/five.csv")
+    res = flows.transform(spark, f"{tmp_dir}/raw", f"{tmp_dir}/processed", as_of=AS_OF)
+    assert res.rows == 3 and list(res.details["reports"]) == ["five.csv"]
+    with pytest.raises(ValueError, match="CSV datasets"):
+        flows.transform_batched(spark, f"{tmp_dir}/raw", f"{tmp_dir}/batched", as_of=AS_OF)
+    with pytest.raises(FileNotFoundError, match="other"):
+        flows.transform(spark, f"{tmp_dir}/raw", f"{tmp_dir}/processed", as_of=AS_OF, only=["other"])
+
+
+def test_datasets_are_named_below_the_raw_root(spark, tmp_dir):
+    raw = f"{tmp_dir}/extracted_data/extracted_data_root"
+    for name in ("extracted_data_r1", "extracted_data_r2"):
+        write_parquet(_dirty_five(spark), f"{raw}/{name}")
+    res = flows.transform_batched(spark, raw, f"{tmp_dir}/out", as_of=AS_OF)
+    assert res.rows == 6 and sorted(res.details["reports"]) == ["extracted_data_r1", "extracted_data_r2"]
+
+
+def test_sources_with_one_run_id_land_apart(spark, tmp_dir):
+    a = flows.extract(spark, _dirty_five(spark), f"{tmp_dir}/raw", "crm", rid="r1", as_of=AS_OF)
+    b = flows.extract(spark, _dirty_five(spark), f"{tmp_dir}/raw", "shop/eu", rid="r1", as_of=AS_OF)
+    assert a.path != b.path and spark.read.parquet(f"{tmp_dir}/raw/*").count() == 10
+    profile = a.details["profile"]
+    assert profile["null_counts"]["name"] == 1 and "Tenure" in profile["missing_columns"] and not profile["labels"]
 
 
 def test_extract_from_csv_with_export_and_snapshot(spark, tmp_dir):
@@ -120,7 +168,7 @@ def test_extract_from_csv_with_export_and_snapshot(spark, tmp_dir):
     write_csv(src, f"{tmp_dir}/input/data.csv", timestamp_format=CSV_TIMESTAMP_FORMAT_MICROS)
     res = flows.extract(spark, f"{tmp_dir}/input/data.csv", f"{tmp_dir}/raw", "crm_csv", rid="r1",
                         schema=RECORD_SCHEMA, as_of=AS_OF, export_root=f"{tmp_dir}/exports")
-    assert res.rows == 5 and res.path.endswith("extracted_data_r1")
+    assert res.rows == 5 and res.path.endswith("extracted_data_crm_csv_r1")
     assert os.path.isdir(res.details["csv"])
     landed = spark.read.parquet(res.path)
     assert set(landed.columns) == {"id", "name", "value", "timestamp", "extraction_timestamp", "source_system"}
@@ -170,13 +218,18 @@ def test_failed_jdbc_load_raises_and_is_retried(spark, tmp_dir):
         flows.load_jdbc(recs, missing_db, "PD", DERBY, as_of=AS_OF, rid="r1", audit_path=f"{tmp_dir}/audit")
     assert not os.path.exists(f"{tmp_dir}/audit")  # nothing recorded, so the run is retried
     ok_db = f"jdbc:derby:memory:retry_{uuid.uuid4().hex[:8]};create=true"
+    # one row fails in its writer: nothing of the load reaches the table, and the repeated load has each row once
+    broken = recs.withColumn("value", F.when(F.col("id") == 24, F.raise_error(F.lit("broken row"))).otherwise(F.col("value")).cast("int"))
+    with pytest.raises(Exception, match="broken row"):
+        flows.load_jdbc(broken, ok_db, "PD", DERBY, as_of=AS_OF, rid="r1", audit_path=f"{tmp_dir}/audit", num_partitions=3)
+    assert flows.read_jdbc(spark, ok_db, "PD", DERBY).count() == 0
     res = flows.load_jdbc(recs, ok_db, "PD", DERBY, as_of=AS_OF, rid="r1", audit_path=f"{tmp_dir}/audit")
-    assert res.rows == 3 and not res.details["skipped"]
+    assert res.rows == 3 and not res.details["skipped"] and flows.verify_jdbc(spark, ok_db, "PD", DERBY, 3) == 3
 
 
 def test_metrics_and_audit(spark, tmp_dir):
     run = RunMetrics("r1")
-    with run.stage("clean", rows_in=10) as st:
+    with run.stage("clean", rows_in=10, rejects=True) as st:
         st.rows_out = 8
     frame = run.to_frame(spark, at=dt.datetime(2024, 2, 1))
     row = frame.first()
@@ -189,16 +242,19 @@ def test_metrics_and_audit(spark, tmp_dir):
     assert [r["run_id"] for r in completed_runs(spark, f"{tmp_dir}/audit").collect()] == ["r1"]
 
 
-def test_incremental_transform_processes_new_files_once(spark, tmp_dir):
+@pytest.mark.parametrize("per_trigger", [None, 1])
+def test_incremental_transform_gives_the_batch_result(spark, tmp_dir, per_trigger):
     src = _dirty_five(spark)
-    write_parquet(src, f"{tmp_dir}/raw/extracted_data_r1")
-    write_parquet(src.withColumn("id", F.col("id") + 10), f"{tmp_dir}/raw/extracted_data_r2")
-    ckpt = f"{tmp_dir}/ckpt"
-    first = incremental_transform(spark, f"{tmp_dir}/raw", RECORD_SCHEMA, f"{tmp_dir}/out", checkpoint=ckpt, as_of=AS_OF)
-    assert first["rows"] == 6
+    run = lambda: incremental_transform(spark, f"{tmp_dir}/raw", RECORD_SCHEMA, f"{tmp_dir}/out", checkpoint=f"{tmp_dir}/ckpt",
+                                        as_of=AS_OF, max_files_per_trigger=per_trigger)
+    write_parquet(src.repartition(3), f"{tmp_dir}/raw/extracted_data_r1")
+    write_parquet(src, f"{tmp_dir}/raw/extracted_data_r2")  # the same rows, landed before the first run too
+    first = run()
+    assert first["rows"] == 6 and first["datasets"] == ["extracted_data_r1", "extracted_data_r2"]
     write_parquet(src.withColumn("id", F.col("id") + 20), f"{tmp_dir}/raw/extracted_data_r3")
-    second = incremental_transform(spark, f"{tmp_dir}/raw", RECORD_SCHEMA, f"{tmp_dir}/out", checkpoint=ckpt, as_of=AS_OF)
-    assert second["rows"] == 3
-    third = incremental_transform(spark, f"{tmp_dir}/raw", RECORD_SCHEMA, f"{tmp_dir}/out", checkpoint=ckpt, as_of=AS_OF)
-    assert third == {"batches": 0, "rows": 0}
-    assert spark.read.parquet(f"{tmp_dir}/out").count() == 9
+    assert run()["datasets"] == ["extracted_data_r3"]
+    assert run() == {"batches": 0, "datasets": [], "rows": 0}
+    batch = flows.transform_batched(spark, f"{tmp_dir}/raw", f"{tmp_dir}/whole", as_of=AS_OF)
+    a, b = spark.read.parquet(f"{tmp_dir}/out"), spark.read.parquet(f"{tmp_dir}/whole")
+    assert batch.rows == a.count() == 9
+    assert a.select(b.columns).exceptAll(b).count() == 0

@@ -51,14 +51,15 @@ def test_parquet_many_runs_read_as_one(spark, tmp_dir):
 def test_partitioned_write_is_idempotent_and_prunes(spark, tmp_dir):
     base = spark.createDataFrame(SAMPLE_ROWS, RECORD_SCHEMA).withColumns(
         {"year": F.year("timestamp"), "month": F.month("timestamp")})
-    feb = base.withColumn("month", F.lit(2))
+    base = base.withColumns({"year": F.lit(2024), "month": F.lit(5)})
+    june = base.withColumn("month", F.lit(6))
     path = f"{tmp_dir}/t"
-    write_partitioned(base.unionByName(feb), path)
-    assert write_partitioned(base, path) == 5  # re-run of January only
+    write_partitioned(base.unionByName(june), path)
+    assert write_partitioned(base, path) == 5  # May again
     back = spark.read.parquet(path)
     assert back.count() == 10
-    assert sorted(os.listdir(f"{path}/year=2024")) == ["month=1", "month=2"]
-    plan = back.where("year = 2024 and month = 1")._jdf.queryExecution().executedPlan().toString()
+    assert sorted(os.listdir(f"{path}/year=2024")) == ["month=5", "month=6"]
+    plan = back.where("year = 2024 and month = 5")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "month" in plan
 
 
@@ -84,11 +85,11 @@ def test_read_or_empty(spark, tmp_dir):
 
 
 def test_conform_to_schema(spark, sample_df):
-    out = conform_to_schema(sample_df.withColumn("junk", F.lit(1)), PROCESSED_SCHEMA)
+    out = conform_to_schema(sample_df.withColumn("junk", F.lit(1)), PROCESSED_SCHEMA, extra="drop")
     assert out.schema == PROCESSED_SCHEMA
     assert out.where("name_hash is null and load_timestamp is null").count() == 5
     with pytest.raises(ValueError):
-        conform_to_schema(sample_df.withColumn("junk", F.lit(1)), PROCESSED_SCHEMA, extra="error")
+        conform_to_schema(sample_df.withColumn("junk", F.lit(1)), PROCESSED_SCHEMA)
     bad = spark.createDataFrame([("x",), ("7",)], "id string")
     tried = conform_to_schema(bad, T.StructType([T.StructField("id", T.IntegerType())]), cast="try")
     assert sorted((r["id"] is None, r["id"]) for r in tried.collect()) == [(False, 7), (True, None)]

@@ -66,13 +66,34 @@ def test_load_and_summary_round_trip(spark, url):
                    url, "PROCESSED_DATA", DERBY, mode="append")
     loaded = read_jdbc(spark, url, "PROCESSED_DATA", DERBY, partition_column="id", num_partitions=3)
     assert loaded.count() == n == enriched.count()
-    summary = daily_summary(loaded, as_of="2024-02-01 00:00:00")
+    summary = daily_summary(loaded, as_of="2024-02-01 00:00:00", exact_scale=2)
     assert write_jdbc(summary, url, "DAILY_SUMMARY", DERBY, mode="overwrite") == summary.count()
-    expect = daily_summary(enriched, as_of="2024-02-01 00:00:00").drop("summary_timestamp")
+    expect = daily_summary(enriched, as_of="2024-02-01 00:00:00", exact_scale=2).drop("summary_timestamp")
     got = read_jdbc(spark, url, "DAILY_SUMMARY", DERBY).drop("SUMMARY_TIMESTAMP", "summary_timestamp")
     assert got.select(*expect.columns).exceptAll(expect).count() == 0
 
 
+def test_source_and_target_have_settings_of_their_own(monkeypatch):
+    for key in ("HOST", "PORT", "DB", "NAME", "USER", "PASSWORD"):
+        monkeypatch.delenv(f"SOURCE_DB_{key}", raising=False)
+        monkeypatch.delenv(f"POSTGRES_{key}", raising=False)
+    source = jdbc_config_from_env("SOURCE_DB")
+    assert source["url"] == "jdbc:postgresql://localhost:5432/source_db" and source["properties"]["user"] == "postgres"
+    monkeypatch.setenv("SOURCE_DB_NAME", "shop")
+    assert jdbc_config_from_env("SOURCE_DB")["url"].endswith("/shop")
+    assert jdbc_config_from_env()["url"] == "jdbc:postgresql://localhost:5433/elt_db"
+
+
+def test_remainders_cover_negative_keys(spark, url):
+    write_jdbc(spark.range(-100, 101).select(F.col("id")), url, "NEG", DERBY)
+    back = read_jdbc(spark, url, "NEG", DERBY, predicates=modulo_predicates("id", 4))
+    assert back.count() == 201 and back.distinct().count() == 201
+    from sluice.plans.flows import extract_jdbc
+
+    whole = extract_jdbc(spark, url, "NEG", DERBY, num_partitions=4)
+    assert whole.rdd.getNumPartitions() == 5 and whole.count() == 201
+
+
 def test_env_config(monkeypatch):
     monkeypatch.setenv("POSTGRES_HOST", "db")
     monkeypatch.setenv("POSTGRES_PORT", "5432")
@@ -99,7 +120,7 @@ def test_predicate_split_is_even_on_a_skewed_key(spark, url):
     # ids crowd into one end of the key space: range splits would put most rows in one task
     df = spark.range(0, 3000).select(
         F.when(F.col("id") < 2900, F.col("id")).otherwise(F.col("id") * 1001).cast("bigint").alias("id"))
-    df = df.unionByName(spark.createDataFrame([(None,)], "id bigint"))
+    df = df.unionByName(spark.createDataFrame([(None,)], "id bigint")).withColumn("id", F.when(F.col("id") % 5 == 0, -F.col("id")).otherwise(F.col("id")))
     write_jdbc(df, url, "SKEWED", DERBY)
     ranged = read_jdbc(spark, url, "SKEWED", DERBY, partition_column="id", num_partitions=4)
     by_mod = read_jdbc(spark, url, "SKEWED", DERBY, predicates=modulo_predicates("id", 4))

@@ -52,11 +52,24 @@ def test_quality_report_is_one_job_shape(spark):
     assert "partial_count" in plan(df)
 
 
-def test_dimension_joins_broadcast_only_small_sides(spark):
-    df = catalog.QUERIES["doc_tenure_bucket"](spark, SF_SMALL)
+def test_churn_queries_build_without_jobs(spark):
+    group = "churn-build"
+    spark.sparkContext.setJobGroup(group, group)
+    for name in ("doc_tenure_bucket", "doc_dim_contract", "doc_fact", "doc_churn_summary"):
+        catalog.QUERIES[name](spark, SF_SMALL)
+    # reading a Parquet footer for its schema is a job of its own; none other runs
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) <= 4 * 4
+    assert "rebalance" not in plan(catalog.QUERIES["doc_fact"](spark, SF_SMALL)).lower()
+
+
+def test_stamped_rows_are_deduplicated_by_hash_in_one_exchange(spark):
+    df = catalog.QUERIES["dedup_rows_stamped"](spark, SF_SMALL)
     text = plan(df)
-    assert "BroadcastHashJoin" in text  # nation / region after the size check
-    assert text.count("SortMergeJoin") + text.count("ShuffledHashJoin") + text.count("BroadcastHashJoin") >= 2
+    assert "SortAggregate" not in text and "Sort [" not in text
+    # one exchange of whole rows; the few text stamps come from a subquery
+    assert text.count("Exchange hashpartitioning(id") == 1
 
 
 def test_no_python_udfs_anywhere(spark):

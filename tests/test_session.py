@@ -41,6 +41,22 @@ def test_scratch_dirs_are_fresh_and_shared(spark):
     assert a != b and a.startswith(root) and b.startswith(root)
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Cluster:
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return {"spark.master": "spark://host:7077"}.get(key, default)
+
+        class sparkContext:
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(Cluster)
+
+
 def test_missing_input_fails_extract_and_missing_processed_skips_load(spark, tmp_dir):
     with pytest.raises(FileNotFoundError):
         flows.extract(spark, f"{tmp_dir}/nope.csv", f"{tmp_dir}/raw", "crm")
