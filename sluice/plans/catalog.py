@@ -317,7 +317,28 @@ def q_case_bucket(spark, d):
     return E.add_band(dirty(spark, d))
 
 
-@register("fn_hash_murmur")
+UINT = "4294967295::ubigint"
+# Murmur3 with seed 42 over the bytes of the name: words of four bytes, then single signed bytes.
+SQL_MURMUR = f"""
+with n as (select event_id as id, event_type as name, value, ts as "timestamp", hex(encode(event_type)) as hx,
+                  octet_length(encode(event_type)) as len from events),
+b as (select *, list_transform(range(0, len), lambda i: ((strpos('0123456789ABCDEF', substr(hx, 2 * i + 1, 1)) - 1) * 16
+                  + strpos('0123456789ABCDEF', substr(hx, 2 * i + 2, 1)) - 1)::ubigint) as bs from n),
+w as (select *, list_concat(
+        list_transform(range(0, len // 4), lambda j: bs[4 * j + 1] + bs[4 * j + 2] * 256 + bs[4 * j + 3] * 65536 + bs[4 * j + 4] * 16777216),
+        list_transform(range(len // 4 * 4, len), lambda i: case when bs[i + 1] > 127 then bs[i + 1] + 4294967040 else bs[i + 1] end)) as k0 from b),
+k1 as (select *, list_transform(k0, lambda k: (k * 3432918353::ubigint) & {UINT}) as k1 from w),
+k2 as (select *, list_transform(k1, lambda k: ((((k << 15) | (k >> 17)) & {UINT}) * 461845907::ubigint) & {UINT}) as k2 from k1),
+h as (select *, xor(list_reduce(list_concat([42::ubigint], k2),
+        lambda h, k: ((((xor(h, k) << 13) | (xor(h, k) >> 19)) & {UINT}) * 5 + 3864292196::ubigint) & {UINT}), len::ubigint) as h0 from k2),
+f1 as (select *, (xor(h0, h0 >> 16) * 2246822507::ubigint) & {UINT} as h1 from h),
+f2 as (select *, (xor(h1, h1 >> 13) * 3266489909::ubigint) & {UINT} as h2 from f1),
+f3 as (select *, xor(h2, h2 >> 16)::bigint as h3 from f2)
+select id, name, value, "timestamp", case when name is null then 42 when h3 > 2147483647 then h3 - 4294967296 else h3 end as name_hash from f3
+"""
+
+
+@register("fn_hash_murmur", SQL_MURMUR)
 def q_hash_murmur(spark, d):
     return E.add_hash(records(spark, d))
 
