@@ -189,15 +189,28 @@ def validate_churn(df: DataFrame, expected: Sequence[str], label: str | None, nu
     return result
 
 
-def file_fingerprints(spark: SparkSession, path_glob: str, content: bool = True) -> DataFrame:
-    """``(path, length, modification_time, sha256)`` per file.  With
-    ``content=False`` only metadata is read (cheap change detection)."""
-    files = spark.read.format("binaryFile").load(path_glob)
-    digest = F.sha2(F.col("content"), 256) if content else F.lit(None).cast("string")
-    return files.select("path", "length", F.col("modificationTime").alias("modification_time"),
-                        digest.alias("sha256"))
+def file_fingerprints(spark: SparkSession, path: str, content: bool = True, fmt: str = "parquet") -> DataFrame:
+    """``(path, length, modification_time, rows, digest)`` per file of a table.
+
+    The digest is the sum of a 60-bit hash of every row: it does not depend on
+    the order of rows, so a file is read by splits and summed with partial
+    aggregation, however large it is.  Equal rows in equal numbers give equal
+    digests; files without rows are not listed.  With ``content=False`` only
+    metadata is read (cheap change detection; rows and digest are NULL).
+    """
+    if not content:
+        files = spark.read.format("binaryFile").load(path)
+        return files.select("path", "length", F.col("modificationTime").alias("modification_time"),
+                            F.lit(None).cast("bigint").alias("rows"), F.lit(None).cast("string").alias("digest"))
+    rows = spark.read.format(fmt).load(path)
+    row = F.conv(F.substring(surrogate_key(rows.columns), 1, 15), 16, 10).cast("decimal(38,0)")
+    meta = F.col("_metadata")
+    keyed = rows.select(meta["file_path"].alias("path"), meta["file_size"].alias("length"),
+                        meta["file_modification_time"].alias("modification_time"), row.alias("row"))
+    return keyed.groupBy("path", "length", "modification_time").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("row").cast("string").alias("digest"))
 
 
 def unseen_files(current: DataFrame, seen: DataFrame) -> DataFrame:
     """Fingerprints not recorded before (left anti join on the digest)."""
-    return current.join(seen.select("sha256").distinct(), on="sha256", how="left_anti")
+    return current.join(seen.select("rows", "digest").distinct(), on=["rows", "digest"], how="left_anti")

@@ -10,6 +10,7 @@ result is SQL-expressible (same column names; timestamps fixed by ``AS_OF``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -241,6 +242,16 @@ def q_conform(spark, d):
     return conform_to_schema(stamped, PROCESSED_SCHEMA)
 
 
+@register("agg_verify_count", f"""
+select 'r1' as run_id, count(*)::bigint as verified from ({SQL_CLEAN}) a
+union all select 'r2', count(*)::bigint from ({sql_clean(SQL_RECORDS)}) b
+""")
+def q_verify_count(spark, d):
+    # the count that verification takes of each run, compared with what the load reported
+    path = two_runs(spark, d, "verify")
+    return spark.createDataFrame([(r, flows.verify_load(spark, path, rid=r)) for r in ("r1", "r2")], "run_id string, verified bigint")
+
+
 @register("load_many", f"""
 select cast(count(*) as bigint) as total_rows from (
   select * from ({SQL_ENRICH}) a union all select * from ({sql_enrich(sql_clean(SQL_RECORDS))}) b) u
@@ -541,6 +552,11 @@ def q_profile_churn(spark, d):
                            columns=("CustomerID", "Tenure", "MonthlyCharges", "TotalCharges", "ContractType", "Churn"))
 
 
+@register("dq_churn_statistics", "\nunion all\n".join(_sql_describe_row(c, f"({SQL_CHURN}) c") for c in ("Tenure", "TotalCharges")))
+def q_churn_statistics(spark, d):
+    return Q.describe(churn(spark, d), ("Tenure", "TotalCharges"), exact_scale=2)
+
+
 # ---------------------------------------------------------------- 2.8 jobs
 
 @register("pipe_extract", f"""
@@ -909,6 +925,19 @@ def q_row_lineage(spark, d):
     return with_source_file(table(spark, d, "events"), name_only=True).select("event_id", "source_file")
 
 
-@register("doc_file_fingerprint")
+def _sql_fingerprint(name: str, *columns: str) -> str:
+    # the first 15 hex digits of the row's hash, digit by digit
+    digits = " + ".join(f"(strpos('0123456789abcdef', substr(k, {i + 1}, 1)) - 1)::hugeint * {16 ** (14 - i)}::hugeint" for i in range(15))
+    return f"""select '{name}.parquet' as file, count(*)::bigint as rows, cast(sum({digits})::hugeint as varchar) as digest
+        from (select {sql_key(*columns)} as k from {name}) x"""
+
+
+FINGERPRINTED = {"documents": ("doc_id", "text", "lang", "source", "n_chars"), "benchmark": ("item_id", "text"),
+                 "labels": ("doc_id", "quality", "toxic")}
+
+
+@register("doc_file_fingerprint", "\nunion all\n".join(_sql_fingerprint(t, *c) for t, c in FINGERPRINTED.items()))
 def q_fingerprint(spark, d):
-    return M.file_fingerprints(spark, f"{d.rstrip('/')}/*.parquet")
+    found = [M.file_fingerprints(spark, f"{d.rstrip('/')}/{t}.parquet") for t in FINGERPRINTED]
+    file = F.element_at(F.split("path", "/"), -1)
+    return reduce(DataFrame.unionByName, found).select(file.alias("file"), "rows", "digest")
