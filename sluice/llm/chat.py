@@ -26,7 +26,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import map_rows, stored, with_rank
@@ -81,47 +81,61 @@ def chain(conversations: DataFrame) -> DataFrame:
     return ranked.select("conv_id", "message_id", parent.alias("parent_id"), "role", "text", F.lit(0.0).alias("score"))
 
 
+def _tree(messages: DataFrame) -> DataFrame:
+    """Messages by id: conv_id, message_id, m (parent_id, score, role, text of the smallest row), leaf (nothing replies to it)."""
+    own = messages.where("message_id is not null").select(
+        "conv_id", "message_id", F.struct("parent_id", F.coalesce("score", F.lit(0.0)).alias("score"), "role", "text").alias("m"), F.lit(False).alias("replied"))
+    replied = messages.where("message_id is not null and parent_id is not null").select(
+        "conv_id", F.col("parent_id").alias("message_id"), F.lit(None).cast(own.schema["m"].dataType).alias("m"), F.lit(True).alias("replied"))
+    both = own.unionByName(replied).groupBy("conv_id", "message_id").agg(F.min("m").alias("m"), (~F.max("replied")).alias("leaf"))
+    return stored(both.where("m is not null"), "chat")
+
+
+def _same(a: str, ka: str, b: str, kb: str) -> Column:
+    return F.col(f"{a}.conv_id").eqNullSafe(F.col(f"{b}.conv_id")) & (F.col(f"{a}.{ka}") == F.col(f"{b}.{kb}"))
+
+
 def paths(messages: DataFrame, best: int = 1) -> DataFrame:
     """(conv_id, rank, leaf_id, depth, message_id): the ``best`` root-to-leaf paths of each conversation, turn by turn.
 
-    ``messages`` has conv_id, message_id, parent_id and score; depth counts from 0 at the root.
+    ``messages`` has conv_id, message_id, parent_id, score, role and text; depth counts from 0 at the root.
     """
-    def equal(a: str, b: str):
-        return (F.col(a + ".conv_id").eqNullSafe(F.col(b + ".conv_id")))
-
-    own = messages.where("message_id is not null").groupBy("conv_id", "message_id").agg(F.min(F.struct("parent_id", F.coalesce("score", F.lit(0.0)).alias("score"))).alias("m"))
-    own = stored(own.select("conv_id", "message_id", "m.parent_id", "m.score"), "chat")
-    known = own.select("conv_id", F.col("message_id").alias("up"))
-    # jump: the ancestor 2^round steps up, null beyond the root; depth and total: of the steps before it
-    state = own.alias("a").join(known.alias("b"), equal("a", "b") & (F.col("a.parent_id") == F.col("b.up")), "left").select(
-        "a.conv_id", "a.message_id", F.col("b.up").alias("jump"), F.col("b.up").isNotNull().cast("long").alias("depth"), F.col("a.score").alias("total"))
-    state = stored(state, "chat")
-    # leaves are the messages that nothing replies to
-    leaves = state.select("conv_id", "message_id").join(state.where("jump is not null").select(F.col("conv_id").alias("c"), "jump").distinct(), (F.col("conv_id").eqNullSafe(F.col("c"))) & (F.col("message_id") == F.col("jump")), "left_anti")
-    jumps, rounds = [], max(1, own.count()).bit_length() + 1
-    while len(jumps) < rounds and not state.where("jump is not null").isEmpty():
-        jumps.append(state.where("jump is not null").select("conv_id", "message_id", "jump"))
-        a, b = state.alias("a"), state.alias("b")
-        state = stored(a.join(b, equal("a", "b") & (F.col("a.jump") == F.col("b.message_id")), "left").select(
-            "a.conv_id", "a.message_id", F.col("b.jump").alias("jump"), (F.col("a.depth") + F.coalesce("b.depth", F.lit(0))).alias("depth"), (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total")), "chat")
-    ends = state.where("jump is null").alias("a").join(leaves.alias("b"), equal("a", "b") & (F.col("a.message_id") == F.col("b.message_id")), "left_semi")
-    order = Window.partitionBy("conv_id").orderBy(F.desc("total"), F.desc("depth"), F.asc("message_id"))
-    chosen = ends.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
-    taken = stored(chosen.select("conv_id", "rank", F.col("message_id").alias("leaf_id"), "depth", "message_id"), "chat")
+    return _paths(_tree(messages), best)
+
+
+def _paths(tree: DataFrame, best: int) -> DataFrame:
+    # Of each message: jump, its ancestor 2 ** round steps up; nodes and total: how many there are from the message
+    # to before jump, and their scores.  Messages whose jump lies beyond the root are finished and only looked up.
+    start = tree.select("conv_id", "message_id", F.col("m.parent_id").alias("jump"), F.lit(1).cast("long").alias("nodes"), F.col("m.score").alias("total"), "leaf")
+    finished, going = start.where("jump is null"), start.where("jump is not null")
+    jumps, rounds = [], max(1, tree.count()).bit_length() + 1
+    while len(jumps) < rounds:
+        a, b = going.alias("a"), finished.unionByName(going).alias("b")
+        step = stored(a.join(b, _same("a", "jump", "b", "message_id"), "left").select(
+            "a.conv_id", "a.message_id", F.when(F.col("b.nodes").isNotNull(), F.col("a.jump")).alias("passed"), F.col("b.jump").alias("jump"),
+            (F.col("a.nodes") + F.coalesce("b.nodes", F.lit(0))).alias("nodes"), (F.col("a.total") + F.coalesce("b.total", F.lit(0.0))).alias("total"), "a.leaf"), "chat")
+        jumps.append(step.where("passed is not null").select("conv_id", "message_id", F.col("passed").alias("up")))
+        step = step.drop("passed")
+        finished, going = finished.unionByName(step.where("jump is null")), step.where("jump is not null")
+        if going.isEmpty():
+            break
+    order = Window.partitionBy("conv_id").orderBy(F.desc("total"), F.desc("nodes"), F.asc("message_id"))
+    chosen = finished.where("leaf").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= best)
+    taken = chosen.select("conv_id", "rank", F.col("message_id").alias("leaf_id"), (F.col("nodes") - 1).alias("depth"), "message_id")
     # every distance is one sum of falling powers of two, so each ancestor is reached once
     for r in range(len(jumps) - 1, -1, -1):
-        a, b = taken.alias("a"), jumps[r].alias("b")
-        more = a.join(b, equal("a", "b") & (F.col("a.message_id") == F.col("b.message_id"))).select("a.conv_id", "a.rank", "a.leaf_id", (F.col("a.depth") - (1 << r)).alias("depth"), F.col("b.jump").alias("message_id"))
-        taken = stored(taken.unionByName(more), "chat")
-    return taken
+        pair = F.array(F.struct("p.depth", "p.message_id"), F.struct((F.col("p.depth") - (1 << r)).alias("depth"), F.col("j.up").alias("message_id")))
+        both = F.when(F.col("j.up").isNull(), F.slice(pair, 1, 1)).otherwise(pair)
+        taken = taken.alias("p").join(jumps[r].alias("j"), _same("p", "message_id", "j", "message_id"), "left").select(
+            "p.conv_id", "p.rank", "p.leaf_id", F.explode(both).alias("e")).select("conv_id", "rank", "leaf_id", "e.depth", "e.message_id")
+    return stored(taken, "chat")
 
 
 def format_conversations(messages: DataFrame, best: int = 1) -> DataFrame:
     """(conv_id, rank, formatted, loss_spans) of the ``best`` paths of each conversation."""
-    turns = messages.where("message_id is not null").groupBy("conv_id", "message_id").agg(F.min(F.struct("parent_id", F.coalesce("score", F.lit(0.0)), "role", "text")).alias("m"))
-    turns = turns.select("conv_id", "message_id", "m.role", "m.text")
-    p, t = paths(messages, best).alias("p"), turns.alias("t")
-    rows = p.join(t, F.col("p.conv_id").eqNullSafe(F.col("t.conv_id")) & (F.col("p.message_id") == F.col("t.message_id"))).select("p.conv_id", "p.rank", "p.depth", "t.role", "t.text")
+    tree = _tree(messages)
+    p, t = _paths(tree, best).alias("p"), tree.alias("t")
+    rows = p.join(t, _same("p", "message_id", "t", "message_id")).select("p.conv_id", "p.rank", "p.depth", "t.m.role", "t.m.text")
     whole = rows.groupBy("conv_id", "rank").agg(F.sort_array(F.collect_list(F.struct("depth", "role", "text"))).alias("turns"))
 
     def make(ids: list, ranks: list, lists: list) -> Iterator[tuple]:

@@ -5,16 +5,20 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from itertools import islice
 from pathlib import Path
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from sluice.session import scratch_dir
 
-#: Bytes that separate words: space and \t \n \v \f \r, which is what bytes.split() splits at.
-WORD = r"[^\x20\x09-\x0D]+"
+#: Result rows that a task gathers before it hands them on.
+CHUNK = 8192
+
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,24 +47,23 @@ def map_rows(df: DataFrame, columns: list[str], make: Callable[..., Iterator[tup
     """Apply ``make(*python lists of the columns) -> iterator of output tuples`` to each Arrow batch.
 
     Only the named columns leave the scan; extra columns of any name are not
-    read.  Batches are bounded by Spark's Arrow settings, so memory is too.
+    read.  Batches are bounded by Spark's Arrow settings and results leave in
+    chunks, so memory is bounded too.
     """
     ship(df.sparkSession)
-    names = [f.name for f in _struct(schema).fields]
     arrow = _arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = list(make(*(batch.column(i).to_pylist() for i in range(len(columns)))))
-            cells = list(zip(*rows, strict=True)) if rows else [()] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cells, arrow, strict=True)], schema=arrow)
+            made = make(*(batch.column(i).to_pylist() for i in range(len(columns))))
+            while rows := list(islice(made, CHUNK)):
+                cells = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(cells, arrow, strict=True)], schema=arrow)
 
     return df.select(*(F.col(f"`{c}`") for c in columns)).mapInArrow(run, schema)
 
 
-def _struct(ddl: str):
-    from pyspark.sql.types import StructType
-
+def _struct(ddl: str) -> StructType:
     return StructType.fromDDL(ddl)
 
 
@@ -82,37 +85,52 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lower_ascii(text: Column) -> Column:
-    """Lower-case A-Z only."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def with_rank(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
-    """Add ``name``: the row's place (from 0) within its key, by ``order``.
+    """Add ``name``: the row's place (from 0) within its key, by ``order``; nulls come first.
 
     Rows are range-partitioned by keys and order, so that a key with a third
-    of all rows spreads over many tasks; each partition counts its own rows of
-    a key, and the counts of earlier partitions are added.  Only keys that
-    reach over a partition's edge need that: at most one a partition, which
-    bounds the broadcast by the number of partitions.
+    of all rows spreads over many tasks.  Each partition counts its own rows
+    of a key in one pass.  Only a partition's first key can have begun in an
+    earlier one; what it has there is added, from one row a partition that
+    comes to the driver.
     """
-    cols = [*keys, *order]
-    part, local = "__part", "__local"
-    ranged = df.repartitionByRange(*(F.col(c).asc_nulls_first() for c in cols)).withColumn(part, F.spark_partition_id())
-    ranged = stored(ranged, "rank")
-    from pyspark.sql import Window
-
-    w = Window.partitionBy(part, *keys).orderBy(*(F.col(c).asc_nulls_first() for c in order))
-    ranged = ranged.withColumn(local, F.row_number().over(w) - 1)
-    sizes = ranged.groupBy(part, *keys).agg(F.count(F.lit(1)).alias("__n"))
-    edge = sizes.groupBy(*keys).agg(F.collect_list(F.struct(part, "__n")).alias("__parts")).where(F.size("__parts") > 1)
-    before = edge.select(*keys, F.explode(F.transform("__parts", lambda p: F.struct(
-        p[part].alias(part),
-        F.aggregate(F.filter("__parts", lambda q: q[part] < p[part]), F.lit(0).cast("long"), lambda a, q: a + q["__n"]).alias("__before"),
-    ))).alias("__e")).select(*keys, f"__e.{part}", "__e.__before")
-    on = [F.col(f"r.{part}") == F.col(f"b.{part}"), *(F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys)]
-    joined = ranged.alias("r").join(F.broadcast(before).alias("b"), on, "left")
-    return joined.select(*(F.col(f"r.`{c}`") for c in df.columns), (F.col(f"r.{local}") + F.coalesce(F.col("b.__before"), F.lit(0))).cast("long").alias(name))
+    ship(df.sparkSession)
+    cols = [F.col(c).asc_nulls_first() for c in (*keys, *order)]
+    ranged = df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+    at = [df.columns.index(k) for k in keys]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = TaskContext.get()
+        part, run, local, last = context.partitionId() if context else 0, 0, 0, None
+        for batch in batches:
+            runs, locals_ = [], []
+            for key in zip(*(batch.column(i).to_pylist() for i in at), strict=True):
+                if last is not None and key != last:
+                    run, local = run + 1, 0
+                runs.append(run)
+                locals_.append(local)
+                local, last = local + 1, key
+            extra = [pa.array([part] * len(runs), pa.int32()), pa.array(runs, pa.int64()), pa.array(locals_, pa.int64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *extra], names=[*batch.schema.names, "__part", "__run", "__local"])
+
+    schema = StructType([*df.schema.fields, *_struct("__part int, __run bigint, __local bigint").fields])
+    counted = stored(ranged.mapInArrow(count, schema), "rank")
+    key = F.struct(*keys)
+    edges = counted.groupBy("__part").agg(
+        F.min_by(key, "__run").alias("first"), F.max_by(key, "__run").alias("last"), F.max(F.struct("__run", "__local")).alias("end"))
+    before: dict[int, int] = {}
+    last, upto = None, 0
+    for e in sorted(edges.collect(), key=lambda e: e["__part"]):
+        begun = upto if e["first"] == last else 0
+        if begun:
+            before[e["__part"]] = begun
+        upto = e["end"]["__local"] + 1 + (begun if e["end"]["__run"] == 0 else 0)
+        last = e["last"]
+    more = F.lit(0)
+    if before:
+        begun = F.create_map(*(F.lit(x) for pair in before.items() for x in pair))
+        more = F.when(F.col("__run") == 0, F.coalesce(F.try_element_at(begun, F.col("__part")), F.lit(0))).otherwise(0)
+    return counted.withColumn(name, F.col("__local") + more).drop("__part", "__run", "__local")
 
 
 def components(edges: DataFrame, low: str = "a", high: str = "b", every: int = 4) -> DataFrame:
