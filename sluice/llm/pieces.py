@@ -34,7 +34,7 @@ from sluice.llm.common import map_rows
 
 BLANK = "▁"
 #: Encoded words that a worker keeps: this many recent ones at most, and as many before them.
-CACHE = 500_000
+CACHE = 250_000
 #: Longer words are encoded each time.
 LONG = 48
 _CHUNK = re.compile(f"({BLANK}*)([^{BLANK}]*)")
