@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical-plan shape of every registered query.
+"""Write PLANS.md: the physical-plan shape of every query of the catalogue.
 
 Usage: ``python tests/plan_report.py [sf_dir] > PLANS.md``.  For each query the
 final (adaptive) plan is inspected after execution: hash/range/single-partition
@@ -32,17 +32,17 @@ def shape(plan: str) -> dict:
 
 def main(argv: list[str]) -> None:
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as entry
+    from sluice.plans import catalog
     from sluice.session import build_session
 
     spark = build_session("plan-report", master="local[8]", shuffle_partitions=8)
-    print("# PLANS — physical plan shape of every registered query\n")
+    print("# PLANS — physical plan shape of every catalogue query\n")
     print(f"Generated by `python tests/plan_report.py {sf_dir}` on local[8] after each query ran (final adaptive plan).")
     print("Exchanges: `hash` = shuffle on keys, `single` = one-partition exchange of already-aggregated rows,")
-    print("`range` = sort. `BHJ` joins broadcast a size-checked or runtime-small side. No query has a Python UDF.\n")
+    print("`range` = sort. `BHJ` joins broadcast a side that Spark's statistics or the run itself showed to be small. No query has a Python UDF.\n")
     print("| Query | hash | single | range | broadcast | SMJ | BHJ | scans | pushed filters |")
     print("|---|---|---|---|---|---|---|---|---|")
-    for name, build in entry.queries().items():
+    for name, build in catalog.QUERIES.items():
         df = build(spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
