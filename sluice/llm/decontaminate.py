@@ -158,24 +158,33 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 10, drop_s
     """
     ship(docs.sparkSession)
     context = docs.sparkSession.sparkContext
-    at, width_of = docs.columns.index("text"), width
-    parts = _parts(benchmark, limit)
-    for p in range(parts):
-        held = context.broadcast(WindowSet.of(_slice(benchmark, p, parts), width_of))
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                texts, keep = batch.column(at).to_pylist(), []
-                for i, text in enumerate(texts):
-                    words = item_words(text)
-                    mask, _ = held.value.hits(words)
-                    keep.append(not mask.any() or mask.mean() <= drop_share)
-                    if mask.any():
-                        texts[i] = without_spans(text, mask)
-                columns = [pa.array(texts, batch.schema.field(at).type) if i == at else batch.column(i) for i in range(batch.num_columns)]
-                yield pa.RecordBatch.from_arrays(columns, schema=batch.schema).filter(pa.array(keep, pa.bool_()))
-
-        docs = docs.mapInArrow(run, docs.schema)
-        if parts > 1:
-            docs = stored(docs, "decontaminate")
-    return docs
+    at, last = docs.columns.index("text"), len(docs.columns)
+    schema = docs.schema
+    held = spans = None
+    if _parts(benchmark, limit) == 1:
+        held = context.broadcast(WindowSet.of(_slice(benchmark, 0, 1), width))
+    else:
+        # all slices are looked up in the texts as they came; texts are cut once
+        found = findings(docs, benchmark, width, limit).where(F.size("spans") > 0).select("doc_id", "h", "spans").dropDuplicates(["doc_id", "h"])
+        hit = found.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("spans").alias("__spans"))
+        on = [F.xxhash64("text") == F.col("__h"), F.col("doc_id").cast("long").eqNullSafe(F.col("__id"))]
+        docs = docs.join(hit, on, "left").select(*(F.col(f"`{c}`") for c in docs.columns), "__spans")
+        spans = True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, keep = batch.column(at).to_pylist(), []
+            for i, text in enumerate(texts):
+                if spans:
+                    mask = np.zeros(len(item_words(text)), bool)
+                    for span in batch.column(last)[i].as_py() or ():
+                        mask[span["first"] : span["last"]] = True
+                else:
+                    mask, _ = held.value.hits(item_words(text))
+                keep.append(not mask.any() or mask.mean() <= drop_share)
+                if mask.any():
+                    texts[i] = without_spans(text, mask)
+            columns = [pa.array(texts, batch.schema.field(at).type) if i == at else batch.column(i) for i in range(last)]
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:last]).filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, schema)

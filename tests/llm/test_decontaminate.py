@@ -63,6 +63,22 @@ def test_spans_are_cut_and_mostly_hit_documents_go(spark):
         assert texts[4] is None and texts[5] == ""
 
 
+def test_slices_are_cut_as_one(spark):
+    # each item goes to a slice of its own by the limit; items overlap in 20, and 30% and 30% of 21's words are hit
+    first, second = prose(90, 30).split(), prose(91, 30).split()
+    items = [(i, " ".join(w)) for i, w in enumerate((first[:20], first[12:], second[:15], second[15:]))]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    rows = [
+        (20, f"{prose(92, 40)} {' '.join(first)} {prose(93, 40)}", "en", "a", 0),
+        (21, f"{' '.join(second[:15])} {prose(94, 20)} {' '.join(second[15:])}", "en", "a", 0),
+        (None, f"{prose(95, 40)} {' '.join(first)}", "en", "a", 0), (None, f"{prose(96, 40)} {' '.join(second)}", "en", "a", 0),
+    ]
+    assert D._parts(benchmark, 20) > 10
+    want = sorted([(20, prose(92, 40) + "  " + prose(93, 40)), (None, prose(95, 40) + " "), (None, prose(96, 40) + " ")], key=repr)
+    for limit in (D.SET_BYTES, 20):
+        assert plain(D.decontaminate(frame(spark, rows, clash=True), benchmark, limit=limit).select("doc_id", "text")) == want
+
+
 def test_empty_tables(spark):
     benchmark = spark.createDataFrame([], "item_id long, text string")
     assert D.scan(frame(spark, []), benchmark).count() == 0
