@@ -67,6 +67,12 @@ def host_of(url: str) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[^:/?#]+://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
 
 
+def above(path: str) -> Column:
+    """The paths from the root's child down to ``path`` itself."""
+    parts = F.split(path, "/")
+    return F.transform(F.sequence(F.lit(2), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), "/"))
+
+
 class Page:
     """A page's blocks in order: (text, path, whether by its elements no article text, whether inside an article).
 
@@ -183,9 +189,8 @@ def node_importance(pages: DataFrame) -> DataFrame:
     sizes = seen.where("path = ''").groupBy("host").agg(F.sum("c").alias("m")).where(F.col("m") >= PAGES)
     nodes = seen.where("path <> ''").join(sizes, "host")
     entropy = F.log("c") / F.log("m")
-    up = F.transform(F.sequence(F.lit(2), F.size(F.split("path", "/"))), lambda n: F.array_join(F.slice(F.split("path", "/"), 1, n), "/"))
     own = nodes.where("content").groupBy("host", "path").agg(F.sum(F.col("c") * entropy).alias("e"), F.sum("c").alias("w"))
-    content = own.select("host", F.explode(up).alias("path"), "e", "w").groupBy("host", "path").agg((1 - F.sum("e") / F.sum("w")).alias("content"))
+    content = own.select("host", F.explode(above("path")).alias("path"), "e", "w").groupBy("host", "path").agg((1 - F.sum("e") / F.sum("w")).alias("content"))
     tagged = nodes.where("not content").groupBy("host", "path").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.log("c")).alias("clogc"), F.first("m").alias("m"))
     style = tagged.select("host", "path", ((F.log("n") - F.col("clogc") / F.col("n")) / F.log("m")).alias("presentation"))
     both = content.join(style, ["host", "path"], "left")
@@ -202,7 +207,9 @@ def hash_of(text: str) -> int:
 
 def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars (code points of the text)."""
-    bad = node_importance(pages).where(F.col("importance") < low)
+    # a branch goes only if all of its nodes are low: the mean at its top is of menus and articles alike
+    best = node_importance(pages).select("host", F.explode(above("path")).alias("path"), "importance").groupBy("host", "path").agg(F.max("importance").alias("best"))
+    bad = best.where(F.col("best") < low)
     rules = stored(bad.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")), "site-rules")
     size = rules.agg(F.sum(F.length("host") + F.length(F.array_join("low", "")) + 16 * F.size("low"))).first()[0] or 0
     keyed = pages.select("page_id", "url", "html", host_of("url").alias("host"))

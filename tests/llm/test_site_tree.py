@@ -45,6 +45,16 @@ def test_branches_that_all_pages_share_go(spark):
     assert not any(h == "small.example.org" for h, _ in weights)
 
 
+def test_a_long_menu_does_not_take_short_articles_along(spark):
+    menu = "".join(f"<li>Entry {k}</li>" for k in "abcdefghijklmnopqrst")
+    rows = [(i, f"https://menu.org/{i}", f"<html><body><ul>{menu}</ul><div class=story><p>{prose(i, 30)}</p><p>{prose(100 + i, 30)}</p></div></body></html>") for i in range(20)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    weights = {r["path"]: r["importance"] for r in S.node_importance(df).collect()}
+    assert weights["/html"] < S.LOW and weights["/html/body"] < S.LOW  # means over menu and article
+    got = {r["page_id"]: r["text"] for r in S.extract(df).collect()}
+    assert got == {i: f"{prose(i, 30)}\n\n{prose(100 + i, 30)}" for i in range(20)}
+
+
 def test_copies_of_a_page_count_once(spark):
     rows = site("a.org", 8) + [(1000 + i, f"http://a.org/c{i}", site("a.org", 8)[3][2]) for i in range(200)]
     got = {r["page_id"]: r["text"] for r in S.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
