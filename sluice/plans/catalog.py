@@ -678,6 +678,17 @@ def q_pipe_load_partitioned(spark, d):
     return spark.read.parquet(base).where(F.col("year") <= 1998)
 
 
+@register("pipe_load_whole", f"""
+select *, 'r1' as run_id from ({SQL_CONFORMED.replace(SQL_ENRICH, sql_enrich(sql_clean(SQL_FINE)))}) s
+""")
+def q_pipe_load_whole(spark, d):
+    # the load of pipe_load_partitioned, all years of it
+    base = scratch_dir(spark, "load_whole")
+    rows = E.enrich_records(C.clean_records(discounts(spark, d)), as_of=AS_OF, with_hash=False)
+    flows.load(spark, rows, base, as_of=AS_OF, rid="r1")
+    return spark.read.parquet(base)
+
+
 @register("pipe_summary", sql_summary(SQL_TWO_RUNS))
 def q_pipe_summary(spark, d):
     out = scratch_dir(spark, "summary")

@@ -87,3 +87,11 @@ def test_bucketed_table_dedups_without_exchange(spark, tmp_dir):
         assert cleaned.count() == clean_records(dirty).count()
     finally:
         spark.sql("DROP TABLE IF EXISTS dirty_bucketed_t")
+
+
+def test_the_whole_load_comes_back_and_a_year_prunes(spark):
+    whole = catalog.QUERIES["pipe_load_whole"](spark, SF_SMALL)
+    rows = catalog.E.enrich_records(catalog.C.clean_records(catalog.discounts(spark, SF_SMALL)), as_of=catalog.AS_OF, with_hash=False)
+    assert whole.count() == rows.count() > whole.where("year <= 1998").count()
+    plan = catalog.QUERIES["pipe_load_partitioned"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
