@@ -36,6 +36,8 @@ PAGES = 5
 LOW = 0.15
 #: Weight of the presentation's entropy against the content's.
 PRESENTATION = 0.1
+#: Importance from which a node may overrule its name.
+HIGH = 0.5
 RULE_BYTES = 16 << 20
 
 _QUOTED = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
@@ -76,13 +78,18 @@ def above(path: str) -> Column:
 class Page:
     """A page's blocks in order: (text, path, whether by its elements no article text, whether inside an article).
 
-    ``children`` has the tags of each node's children, by path.
+    ``children`` has the tags of each node's children, by path.  ``named`` has, by the block's place, the paths of the
+    elements whose names alone make it no article text.  A name says nothing against an outermost article or main
+    element, or one without such a name, nor against what contains it: comments and teasers are articles, too.
     """
 
     def __init__(self, source: str | None) -> None:
         self.blocks: list[tuple[str, str, bool, bool]] = []
         self.children: dict[str, list[str]] = {}
-        self._stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]  # tag, path, noise, in an article
+        self.named: dict[int, list[str]] = {}
+        self._names: list[str | None] = []  # path of each element with a name of _NOISE_NAME, None if that doesn't count
+        self._under: list[tuple[int, ...]] = []  # by block, the places in _names
+        self._stack: list[tuple[str, str, bool, bool, tuple[int, ...]]] = [("", "", False, False, ())]  # tag, path, noise, in an article, names
         self._text: list[str] = []
         at, source = 0, source or ""
         for m in _TOKEN.finditer(source):
@@ -93,6 +100,12 @@ class Page:
                 self._tag(m["tag"].lower(), bool(m["end"]), m["rest"])
         self._text.append(source[at:])
         self._flush()
+        for i, under in enumerate(self._under):
+            found = [self._names[k] for k in under if self._names[k] is not None]
+            text, path, noise, inside = self.blocks[i]
+            if found and not noise:
+                self.named[i] = found
+                self.blocks[i] = (text, path, True, inside)
 
     def _flush(self) -> None:
         text = "".join(self._text)
@@ -101,7 +114,8 @@ class Page:
             text = entities.unescape(text)
         text = " ".join(text.split())
         if text:
-            _, path, noise, inside = self._stack[-1]
+            _, path, noise, inside, under = self._stack[-1]
+            self._under.append(under)
             self.blocks.append((text, path, noise, inside))
 
     def _tag(self, tag: str, end: bool, rest: str) -> None:
@@ -123,7 +137,7 @@ class Page:
             return
         while len(stack) > 1 and (stack[-1][0] in _CLOSES.get(tag, ()) or stack[-1][0] == "p" and tag in _BREAKS_P):
             stack.pop()
-        _, parent, noise, inside = stack[-1]
+        _, parent, noise, inside, under = stack[-1]
         names, hidden = "", False
         if rest:
             for key, value in _ATTRIBUTE.findall(rest):
@@ -132,15 +146,25 @@ class Page:
                     names += " " + value
                 else:
                     hidden |= key == "hidden" or key == "aria-hidden" and value.lower() == "true" or key == "style" and re.search(r"display\s*:\s*none", value, re.I) is not None
-        noise = noise or hidden or tag in _NOISE or (tag == "header" and not inside) or bool(names and tag not in ("body", "html") and (_NOISE_NAME.search(names) or not inside and _HEADER_NAME.search(names)))
+        noise = noise or hidden or tag in _NOISE or (tag == "header" and not inside)
+        named = bool(names and tag not in ("body", "html") and (_NOISE_NAME.search(names) or not inside and _HEADER_NAME.search(names)))
+        if tag in _MAIN and not noise and (not inside or not named):
+            for k in under:
+                self._names[k] = None
         signature = tag + re.sub(r"\d+", "#", ".".join(names.split()) and "." + ".".join(sorted(names.split())))
         path = f"{parent}/{signature}"
         self.children.setdefault(parent, []).append(signature)
-        stack.append((tag, path, noise, inside or tag in _MAIN))
+        if named and tag not in _MAIN:
+            self._names.append(path)
+            under = (*under, len(self._names) - 1)
+        stack.append((tag, path, noise, inside or tag in _MAIN, under))
 
 
-def main_text(page: Page, low: frozenset | set = frozenset()) -> str:
-    """The page's article text; ``low`` has the paths of its host's unimportant nodes."""
+def main_text(page: Page, low: frozenset | set = frozenset(), high: frozenset | set = frozenset()) -> str:
+    """The page's article text; ``low`` has the paths of its host's unimportant nodes, ``high`` of important ones with a name against them.
+
+    What lies in important nodes only is kept in spite of their names if there is no article and less other text.
+    """
 
     def unimportant(path: str) -> bool:
         while path:
@@ -151,13 +175,19 @@ def main_text(page: Page, low: frozenset | set = frozenset()) -> str:
 
     memo: dict[str, bool] = {}
     kept = []
-    for text, path, noise, inside in page.blocks:
-        if noise:
+    spared: list[tuple[str, bool]] = []
+    for i, (text, path, noise, inside) in enumerate(page.blocks):
+        if noise and not (high and i in page.named and high.issuperset(page.named[i])):
             continue
         if path not in memo:
             memo[path] = bool(low) and unimportant(path)
         if not memo[path]:
-            kept.append((text, inside))
+            spared.append((text, inside))
+            if not noise:
+                kept.append((text, inside))
+    plain = sum(len(text) for text, _ in kept)
+    if not any(inside for _, inside in kept) and sum(len(text) for text, _ in spared) > 2 * plain:
+        kept = spared
     articles = [text for text, inside in kept if inside]
     return "\n\n".join(articles or [text for text, _ in kept])
 
@@ -208,16 +238,20 @@ def hash_of(text: str) -> int:
 def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars (code points of the text)."""
     # a branch goes only if all of its nodes are low: the mean at its top is of menus and articles alike
-    best = node_importance(pages).select("host", F.explode(above("path")).alias("path"), "importance").groupBy("host", "path").agg(F.max("importance").alias("best"))
+    nodes = stored(node_importance(pages), "site-nodes")
+    best = nodes.select("host", F.explode(above("path")).alias("path"), "importance").groupBy("host", "path").agg(F.max("importance").alias("best"))
     bad = best.where(F.col("best") < low)
-    rules = stored(bad.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("low")), "site-rules")
-    size = rules.agg(F.sum(F.length("host") + F.length(F.array_join("low", "")) + 16 * F.size("low"))).first()[0] or 0
+    names = F.regexp_replace(F.element_at(F.split("path", "/"), -1), r"\.", " ")
+    good = nodes.where(F.col("importance") >= HIGH).where(names.rlike("(?i)" + _NOISE_NAME.pattern) | names.rlike("(?i)" + _HEADER_NAME.pattern))
+    both = bad.select("host", F.col("path").alias("l"), F.lit(None).cast("string").alias("g")).union(good.select("host", F.lit(None).cast("string"), "path"))
+    rules = stored(both.groupBy("host").agg(F.sort_array(F.collect_set("l")).alias("low"), F.sort_array(F.collect_set("g")).alias("high")), "site-rules")
+    size = rules.agg(F.sum(F.length("host") + F.length(F.array_join("low", "")) + F.length(F.array_join("high", "")) + 16 * (F.size("low") + F.size("high")))).first()[0] or 0
     keyed = pages.select("page_id", "url", "html", host_of("url").alias("host"))
     keyed = keyed.join(F.broadcast(rules) if size <= RULE_BYTES else rules, "host", "left")
 
-    def make(ids: list, urls: list, sources: list, rules: list) -> Iterator[tuple]:
-        for page_id, url, source, rule in zip(ids, urls, sources, rules, strict=True):
-            text = main_text(Page(source), frozenset(rule or ()))
+    def make(ids: list, urls: list, sources: list, lows: list, highs: list) -> Iterator[tuple]:
+        for page_id, url, source, bad, good in zip(ids, urls, sources, lows, highs, strict=True):
+            text = main_text(Page(source), frozenset(bad or ()), frozenset(good or ()))
             yield page_id, url, text, len(text)
 
-    return map_rows(keyed, ["page_id", "url", "html", "low"], make, "page_id bigint, url string, text string, n_chars bigint")
+    return map_rows(keyed, ["page_id", "url", "html", "low", "high"], make, "page_id bigint, url string, text string, n_chars bigint")

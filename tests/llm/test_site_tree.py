@@ -55,6 +55,20 @@ def test_a_long_menu_does_not_take_short_articles_along(spark):
     assert got == {i: f"{prose(i, 30)}\n\n{prose(100 + i, 30)}" for i in range(20)}
 
 
+def test_a_name_does_not_condemn_an_article():
+    assert text("<div class='content-sidebar-wrap'><article><p>Story</p></article><div class=sidebar><p>side</p></div></div>") == "Story"
+    assert text("<main class='no-sidebar'><p>Story</p></main>") == "Story"
+    assert text("<div class='page has-share'><main><article class='post comments-open'><p>Story</p></article></main></div>") == "Story"
+    assert text("<main><article><p>Story</p></article><div id=comments><article class='comment'><p>reader</p></article></div></main>") == "Story"
+    assert text("<nav><article><p>menu</p></article></nav><p>Story</p>") == "Story"
+
+
+def test_an_important_node_overrules_its_name(spark):
+    rows = [(i, f"https://wrap.org/{i}", f"<body><div class='page has-share'><p>{prose(i, 30)}</p></div></body>") for i in range(10)]
+    got = {r["page_id"]: r["text"] for r in S.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: prose(i, 30) for i in range(10)}
+
+
 def test_copies_of_a_page_count_once(spark):
     rows = site("a.org", 8) + [(1000 + i, f"http://a.org/c{i}", site("a.org", 8)[3][2]) for i in range(200)]
     got = {r["page_id"]: r["text"] for r in S.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
