@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import components, map_rows, ship, stored
@@ -179,23 +179,56 @@ def links(fps: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame:
     return dealt.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a bigint, b bigint")
 
 
+def _owners(first: DataFrame, radius: int) -> DataFrame:
+    """``first`` (one row a fingerprint, in column fp) with the component of each fingerprint, named by one of them."""
+    in_component = components(links(first, radius))
+    return first.join(in_component, F.col("fp") == F.col("node"), "left").withColumn("component", F.coalesce("component", "fp")).drop("node")
+
+
 def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3) -> DataFrame:
     """Per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable)."""
     rows = stored(document_fingerprints(docs, width), "simhash")
     first = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-distinct")
-    in_component = components(links(first, radius))
     # A component's smallest doc_id: a minimum over its fingerprints, of which there is one row each.
-    owner = first.join(in_component, F.col("fp") == F.col("node"), "left").select("fp", "first_id", F.coalesce("component", "fp").alias("component"))
+    owner = _owners(first, radius)
     smallest = owner.groupBy("component").agg(F.min("first_id").alias("component_id"))
     named = owner.join(smallest, "component").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def _row_key() -> Column:
+    """Id and text of a row as one digest, null-safe and injective before hashing."""
+    text = F.coalesce(F.concat(F.lit("t"), F.col("text")), F.lit("-"))
+    return F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.lit(":"), text), 256)
+
+
 def drop_near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3) -> DataFrame:
-    """The rows of ``docs`` that stay: one of each component, that of the smallest doc_id.
+    """The rows of ``docs`` that stay: one of each component, that of the smallest doc_id (null ids last, ties by digest).
 
-    Of rows that repeat a doc_id one stays; rows without doc_id have no identity and stay.  Columns are those of ``docs``.
+    A row is known by its id and text, not by its id alone: rows that share an id but not a text are judged apart, so
+    each component keeps exactly one row, with or without ids.  All is decided on digests; texts meet one join against
+    the keys that go, and only rows that repeat id and text of a row that stays are grouped.  Columns are those of ``docs``.
     """
-    gone = near_duplicates(docs, radius, width).where("doc_id <> component_id").select("doc_id").distinct()
-    known = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return known.select(docs.columns).unionByName(docs.where("doc_id is null"))
+    keyed = stored(_keyed_fingerprints(docs, width), "simhash-keys")
+    rows = keyed.groupBy("key").agg(F.first("fp").alias("fp"), F.first("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("n"))
+    rows = stored(rows, "simhash-rows")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")).alias("best")
+    first = stored(rows.groupBy("fp").agg(best), "simhash-distinct")
+    stays = _owners(first, radius).groupBy("component").agg(F.min("best").alias("best")).select("best.key")
+    judged = stored(rows.join(stays.withColumn("stays", F.lit(True)), "key", "left").select("key", "n", F.coalesce("stays", F.lit(False)).alias("stays")), "simhash-judged")
+    apart = judged.where("not stays or n > 1").select(F.col("key").alias("__key"))
+    repeated = judged.where("stays and n > 1").select(F.col("key").alias("__key"))
+    marked = docs.select("*", _row_key().alias("__key"))
+    bulk = marked.join(apart, "__key", "left_anti").select(docs.columns)
+    once = marked.join(repeated, "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns)
+    return bulk.unionByName(once)
+
+
+def _keyed_fingerprints(docs: DataFrame, width: int) -> DataFrame:
+    """(key, doc_id, fp) for each row of ``docs``."""
+
+    def make(keys: list, ids: list, texts: list) -> Iterator[tuple]:
+        for k, i, t in zip(keys, ids, texts, strict=True):
+            yield k, i, signed(fingerprint(t, width))
+
+    return map_rows(docs.select(_row_key().alias("key"), "doc_id", "text"), ["key", "doc_id", "text"], make, "key string, doc_id bigint, fp bigint")
