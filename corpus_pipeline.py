@@ -13,7 +13,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, languages, near_copies, pieces, repeats
+from sluice.llm import decontaminate, languages, pieces, repeats, simhash
 from sluice.llm.common import documents, stored
 
 
@@ -28,8 +28,8 @@ def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_deduplicated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group that a Jaccard similarity of 0.8 in five-word shingles connects."""
-    return near_copies.drop_near_copies(docs)
+    """One document, that of the smallest id, of each group whose fingerprints of three-word shingles differ in 3 bits at most."""
+    return simhash.drop_near_duplicates(docs, radius=3, width=3)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
