@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontaminate, languages, pieces, quality_rules, repeats, simhash, site_tree, token_records, toxicity
+from sluice.llm import chat, decontaminate, languages, pieces, prefix_trie, quality_rules, repeats, simhash, site_tree, token_records, toxicity
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -105,3 +105,33 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_tree.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+@registered
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.turn_ids(prefix_trie.placed_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+    trie = prefix_trie.prefix_trie(*prefix_trie.with_shared_heads(turns))
+    nodes = trie.nodes.join(prefix_trie.ended_digests(trie.ends), "node", "left")
+    ends = F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256")
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), ends)
+
+
+#: crc32 of a decimal number, as the fold of a list: each digit's code, then eight shifts (marked -1).
+_CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(cast(conv_id as varchar), ''), lambda ch: [cast(ord(ch) as bigint), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, s: case when s >= 0 then xor(c, s) else xor(c >> 1, 3988292384 * (c & 1)) end))"""
+
+ORACLE_SQL["op13_prefix_trie"] = f"""
+with o as (select conv_id, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} as turn_,
+  row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as p from conversations where conv_id is not null),
+c as (select conv_id, list(turn_ order by p) as turns, {_CRC32} % 9 as h from o group by conv_id),
+built as (select c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) as seq from c left join c b on b.conv_id = c.conv_id - c.conv_id % 5),
+pre as (select conv_id, seq, unnest(range(0, len(seq) + 1)) as d from built),
+nodes as (select seq[1:d] as path, d, min(conv_id) as conv_id, count(*) as n, string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (len(seq) = d) as ids from pre group by all),
+kids as (select path[1:d - 1] as path, d - 1 as d, count(*) as k from nodes where d > 0 group by all),
+whole as (select n.*, coalesce(k, 0) as k, (n - 1) * coalesce(strlen(n.path[n.d]['t']), 0) as saved from nodes n left join kids on kids.path = n.path and kids.d = n.d),
+anc as (select path, d, k, saved, unnest(range(0, d + 1)) as e from whole),
+sums as (select path[1:e] as path, e as d, count(*) filter (k = 0) as leaves, sum(saved) as saved from anc group by all)
+select w.conv_id, w.d::bigint as depth, p.conv_id as parent_conv_id, w.n::bigint as n_convs, w.k::bigint as n_children, s.leaves::bigint as n_leaves, s.saved::bigint as saved_tokens,
+  sha256(coalesce(w.ids, '')) as ends_sha256
+from whole w join sums s on s.path = w.path and s.d = w.d left join nodes p on p.path = w.path[1:w.d - 1] and p.d = w.d - 1
+"""
