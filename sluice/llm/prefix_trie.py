@@ -69,6 +69,7 @@ def with_shared_heads(turns: DataFrame, every: int = 5, most: int = 8) -> tuple[
     Conversation c begins with the first h turns of c - c % ``every`` (all, if it has fewer; none, if it is absent) and
     goes on with its own turns from its h-th on; h is crc32 of the decimal c, modulo ``most`` + 1.
     """
+    turns = stored(turns, "trie-turns")
     sizes = stored(turns.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")), "trie-sizes")
     head = F.crc32(F.col("conv_id").cast("string").cast("binary")) % (most + 1)
     members = sizes.select("conv_id", (F.col("conv_id") - F.col("conv_id") % every).alias("base"), head.alias("head"))
