@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontaminate, languages, pieces, prefix_trie, quality_rules, repeats, simhash, site_tree, token_records, toxicity
+from sluice.llm import chat, decontaminate, languages, licences, pieces, prefix_trie, quality_rules, repeats, simhash, site_tree, token_records, toxicity
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_tree.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@registered
+def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licences.scan(documents(spark, sf_dir))
+    base = F.filter("notices", lambda x: x["base"])
+    joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    places = F.transform(base, lambda x: x["word"])
+    return found.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(places).alias("first_word"), F.array_max(places).alias("last_word"),
+        joined(F.transform(base, lambda x: x["label"])).alias("base_labels"),
+        joined(F.concat(F.col("notices.label"), F.flatten(F.col("tags.labels")))).alias("labels"), "score", "obligation", F.size("tags").cast("long").alias("n_tags"))
+
+
 @registered
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.turn_ids(prefix_trie.placed_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet")))

@@ -1,0 +1,151 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+
+from sluice.llm import licences as L
+from sluice.llm import queries
+from tests.llm.cases import awkward, frame, plain, prose
+
+
+def slow_words(text: str | None) -> list[str]:
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+
+
+def slow_places(words: list[str], phrase: str) -> list[int]:
+    p = phrase.split()
+    return [i for i in range(len(words)) if words[i : i + len(p)] == p]
+
+
+def slow_value(expr: str) -> tuple[int, frozenset]:
+    """Recursive descent over OR, AND, WITH and parentheses."""
+    tokens = re.findall(r"[()]|[^\s()]+", expr.lower())
+
+    def either():
+        parts = [both()]
+        while tokens and tokens[0] == "or":
+            tokens.pop(0)
+            parts.append(both())
+        best = parts[0]
+        for p in parts[1:]:
+            best = min(best, p, key=lambda g: (g[0], len(g[1]), sorted(g[1])))
+        return best
+
+    def both():
+        parts = [atom()]
+        while tokens and tokens[0] == "and":
+            tokens.pop(0)
+            parts.append(atom())
+        return max(p[0] for p in parts), frozenset().union(*(p[1] for p in parts))
+
+    def atom():
+        token = tokens.pop(0)
+        if token == "(":
+            inner = either()
+            tokens.pop(0)
+            return inner
+        label = L.IDS[token.rstrip("+")]
+        rank = L.CLASSES.index(L.LABEL_CLASSES.get(label, "permissive"))
+        if tokens and tokens[0] == "with":
+            tokens.pop(0)
+            return (max(rank - 1, 1) if rank > 1 else rank), frozenset([f"{label}-with-{tokens.pop(0)}"])
+        return rank, frozenset([label])
+
+    return either()
+
+
+def random_expression(r: random.Random, depth: int = 3) -> str:
+    if depth == 0 or r.random() < 0.3:
+        return r.choice(sorted(L.IDS)) + r.choice(["", "", "+"]) + (f" WITH {r.choice(L.EXCEPTIONS)}" if r.random() < 0.3 else "")
+    parts = [random_expression(r, depth - 1) for _ in range(r.randint(2, 3))]
+    expr = f" {r.choice(['AND', 'or', 'Or', 'and'])} ".join(parts)
+    return f"({expr})" if r.random() < 0.6 else expr
+
+
+def test_expressions_equal_recursive_descent():
+    r = random.Random(3)
+    for _ in range(500):
+        expr = random_expression(r)
+        got = L.evaluate(L.expression_tokens(expr.lower()))
+        assert (got.rank, got.labels) == slow_value(expr), expr
+
+
+@pytest.mark.parametrize("text, tokens", [
+    ("mit */", ["mit"]),
+    ("mit and", ["mit"]),
+    ("mit and you may", ["mit"]),
+    ("(mit or (apache-2.0", ["(", "mit", "or", "(", "apache-2.0", ")", ")"]),
+    ("mit) or isc", ["mit"]),
+    ("gpl-2.0 with classpath-exception-2.0 or mit", ["gpl-2.0", "with", "classpath-exception-2.0", "or", "mit"]),
+    ("gpl-2.0 with thanks", ["gpl-2.0"]),
+    ("(mit) with classpath-exception-2.0", ["(", "mit", ")"]),
+    ("gpl-2.0 with llvm-exception with llvm-exception", ["gpl-2.0", "with", "llvm-exception"]),
+    ("licenseref-mine or foo-1", ["licenseref-mine"]),
+    ("foo-1 or mit", ["foo-1", "or", "mit"]),
+    ("mit\nor isc", ["mit"]), ("and mit", []), ("((((", []), ("", []), ("() mit", []),
+])
+def test_where_expressions_end(text, tokens):
+    assert L.expression_tokens(text) == tokens
+
+
+def test_evaluation():
+    value = lambda e: L.evaluate(L.expression_tokens(e))
+    assert value("mit or gpl-3.0-only").labels == {"mit"}
+    assert value("mit and gpl-3.0-only") == L.Grant(L.CLASSES.index("copyleft"), frozenset({"mit", "gpl-3"}))
+    assert value("isc or mit and gpl-2.0").labels == {"isc"}
+    assert L.CLASSES[value("gpl-2.0 with classpath-exception-2.0").rank] == "weak-copyleft"
+    assert L.CLASSES[value("foo-1").rank] == "restricted"
+    assert L.mentioned(L.expression_tokens("mit or gpl-2.0+ with llvm-exception")) == ["mit", "gpl-2-with-llvm-exception"]
+
+
+def rows() -> list[tuple]:
+    r = random.Random(8)
+    made = awkward()
+    phrases = [*L.BASE_PHRASES, *L.NOTICE_PHRASES]
+    for i in range(100, 160):
+        parts = [prose(i, r.randint(0, 40))]
+        for _ in range(r.randint(0, 5)):
+            parts += [r.choice([" ", "-", "\n", "*"]).join(w.upper() if r.random() < 0.5 else w for w in r.choice(phrases).split()), prose(r.random(), r.randint(0, 3))]
+        if r.random() < 0.4:
+            parts.append(f"\n// SPDX-License-Identifier: {random_expression(r)}\n")
+        text = " ".join(parts)
+        made.append((i, text, "en", "a", len(text)))
+    made += [(200, "CC BY-NC cc by nc/CC-BY-NC 4.0", "en", "a", 0), (201, "under the MIT licensee, ünder the mit license", "en", "a", 0),
+             (202, "SPDX-License-Identifier: Foo\nspdx-license-identifier:\n", "en", "a", 0), (203, "under the mit license " * 30_000, "en", "a", 0)]
+    return made
+
+
+def test_the_query_equals_brute_force(spark, tmp_path):
+    frame(spark, rows(), clash=True).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["doc_id"], r["n_words"], r["n_base"]): r for r in queries.QUERIES["op12_license_scans"](spark, str(tmp_path)).collect()}
+    want = {}
+    for doc, text, *_ in rows():
+        words = slow_words(text)
+        base = [(i, label) for phrase, label in L.BASE_PHRASES.items() for i in slow_places(words, phrase)]
+        at = [i for i, _ in base]
+        labels = {label for _, label in base}
+        starts: dict[int, tuple[int, str]] = {}
+        for phrase, label in L.NOTICE_PHRASES.items() if len(words) < 10_000 else ():
+            for i in slow_places(words, phrase):
+                starts[i] = max(starts.get(i, (0, "")), (len(phrase), label))
+        tagged = [slow_value(e) for e in re.findall(r"SPDX-License-Identifier: ((?!Foo).+)", text or "")]
+        want[doc, len(words), len(base)] = (min(at, default=None), max(at, default=None), ",".join(sorted(labels)), labels | {x for _, x in starts.values()}, tagged)
+    assert set(got) == set(want) and len(got) > 70
+    for key, (first, last, base_labels, labels, tagged) in want.items():
+        r = got[key]
+        assert (r["first_word"], r["last_word"], r["base_labels"]) == (first, last, base_labels)
+        found = set(r["labels"].split(",")) - {""}
+        assert labels <= found and all(g[1] <= found for g in tagged) and r["labels"] == ",".join(sorted(found))
+        assert r["score"] == (1.0 if tagged else 0.5 if key[0] == 202 else 0.9 if labels else 0.0)
+        assert (r["obligation"] is None) == (not found)
+
+
+def test_tags_and_places(spark):
+    out = L.scan(frame(spark, [(1, "é SPDX-License-Identifier: MIT OR GPL-3.0-only", "en", "a", 0), (2, None, None, None, None)]))
+    (one, none) = sorted(out.collect(), key=lambda r: r["doc_id"])
+    assert one["tags"][0].asDict() == {"at": 3, "labels": ["mit", "gpl-3"], "granted": ["mit"], "obligation": "permissive", "known": True}
+    assert none["n_words"] == 0 and none["notices"] == [] and none["tags"] == [] and none["obligation"] is None and none["score"] == 0.0
+    assert plain(L.scan(frame(spark, []))) == []
