@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import chat, decontaminate, languages, licences, pieces, prefix_trie, quality_rules, repeats, simhash, site_tree, token_records, toxicity
+from sluice.llm import chat, decontaminate, languages, licences, pieces, prefix_trie, quality_rules, repeats, simhash, site_tree, token_records, toxicity, whitening
 from sluice.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,11 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_tree.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+@registered
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "vec_id")
+
+
 @registered
 def op12_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licences.scan(documents(spark, sf_dir))
