@@ -81,6 +81,17 @@ def sha256_hex(c: str | Column) -> Column:
     return F.sha2(col_of(c).cast("string"), 256)
 
 
+def row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
+    """SHA-256 (32 bytes) of the row's ``columns``, equal where ``DISTINCT`` sees copies: each value with its length,
+    NULL apart from any text, negative zero as zero."""
+    parts = []
+    for c in columns:
+        v = quoted(c)
+        text = (F.when(v == 0, F.lit(0.0)).otherwise(v) if is_floating(df, c) else v).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+    return F.unhex(F.sha2(F.concat(*parts), 256))
+
+
 def exact_sum(c: str | Column, scale: int = 2) -> Column:
     """Sum as DECIMAL so the total is exact and independent of partitioning
     and task order; returned as double."""

@@ -66,13 +66,12 @@ def dedup(df: DataFrame, keys: Sequence[str] | None = None,
     """Remove duplicate rows.
 
     Without ``keys``: full-row distinct over the business columns (lineage
-    stamps differ per run and must not make copies look distinct); a row that
-    had copies gets the smallest of each stamp, of text stamps the one of the
-    smallest hash.  With ``keys``: one arbitrary row per key.
+    stamps differ per run and must not make copies look distinct).  A row that
+    had copies gets all stamps of one of them: of the one that sorts first by
+    its stamps in column order, missing ones last - the one extracted first.
+    With ``keys``: one arbitrary row per key.
 
-    Text can't be kept in a hash aggregate's buffer, so text stamps travel as
-    hashes and are looked up afterwards in a scalar subquery that has their few
-    distinct values: stamped rows too take one hash aggregate and one exchange.
+    Either way it is one aggregate and one exchange; copies collapse before it.
     """
     if keys:
         return df.dropDuplicates(list(keys))
@@ -80,12 +79,10 @@ def dedup(df: DataFrame, keys: Sequence[str] | None = None,
     if len(cols) == len(df.columns) or not cols:
         return df.distinct()
     stamps = [c for c in df.columns if c not in set(cols)]
-    text = set(string_columns(df)) & set(stamps)
-    least = [F.min(F.xxhash64(quoted(c)) if c in text else quoted(c)).alias(c) for c in stamps]
-    once = df.groupBy(*[quoted(c) for c in cols]).agg(*least)
-    known = {c: df.select(quoted(c).alias("v"), F.xxhash64(quoted(c)).alias("h")).where("v is not null")
-             .agg(F.map_from_entries(F.collect_set(F.struct("h", "v")))).scalar() for c in text}
-    return once.select(*[F.try_element_at(known[c], quoted(c)).alias(c) if c in text else quoted(c) for c in df.columns])
+    ordered = [x for i, c in enumerate(stamps) for x in (quoted(c).isNull().alias(f"none{i}"), quoted(c).alias(f"stamp{i}"))]
+    once = df.groupBy(*[quoted(c) for c in cols]).agg(F.min(F.struct(*ordered)).alias("__stamps"))
+    kept = {c: F.col(f"__stamps.stamp{i}") for i, c in enumerate(stamps)}
+    return once.select(*[kept[c].alias(c) if c in kept else quoted(c) for c in df.columns])
 
 
 def fill_nulls(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -100,6 +97,23 @@ def fill_numeric(df: DataFrame, columns: Sequence[str] = ("value",), fill: float
     return fill_nulls(df, {c: fill for c in columns if c in numeric})
 
 
+def clean_rows(
+    df: DataFrame,
+    value_column: str = "value",
+    required_columns: Sequence[str] = (),
+    nan: str = "drop",
+    exclude: Iterable[str] = ("timestamp", *METADATA_COLUMNS),
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """What ``clean_records`` does to each row by itself: its steps 1 to 4.  No shuffle, also for streams."""
+    carried = set(carry)
+    out = drop_all_null(df, [c for c in business_columns(df) if c not in carried])
+    out = clean_strings(out, (*exclude, *carry))
+    if value_column in out.columns:
+        out = filter_positive(out, value_column, nan)
+    return filter_not_null(out, [c for c in required_columns if c in out.columns])
+
+
 def clean_records(
     df: DataFrame,
     value_column: str = "value",
@@ -123,13 +137,7 @@ def clean_records(
     out of the all-NULL test and the string clean-up but kept in the
     de-duplication, so copies are removed within each carried key only.
     """
-    carried = set(carry)
-    out = drop_all_null(df, [c for c in business_columns(df) if c not in carried])
-    out = clean_strings(out, (*exclude, *carry))
-    if value_column in out.columns:
-        out = filter_positive(out, value_column, nan)
-    out = filter_not_null(out, [c for c in required_columns if c in out.columns])
-    out = dedup(out)
+    out = dedup(clean_rows(df, value_column, required_columns, nan, exclude, carry))
     if fill:
         out = fill_nulls(out, fill)
     return out

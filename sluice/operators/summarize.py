@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.columns import exact_mean, quoted
 from sluice.operators.enrich import timestamp_value
@@ -46,3 +47,28 @@ def daily_summary(
     if with_timestamp:
         out = out.withColumn(SUMMARY_TS, timestamp_value(as_of))
     return out
+
+
+def partial_summary(df: DataFrame, keys: Sequence[str] = DAILY_KEYS, value: str = "value", exact_scale: int | None = None) -> DataFrame:
+    """What ``daily_summary`` needs of a part of the rows: counts, sum, minimum and maximum per group.
+
+    Partials of parts merge to the summary of the whole (``merge_summaries``), so a table's summary can be kept up to
+    date from its new parts alone.  With ``exact_scale`` the sums are DECIMAL and merging gives the very same averages.
+    """
+    v = quoted(value)
+    total = v.cast(T.DecimalType(18, exact_scale)) if exact_scale is not None else v.cast("double")
+    return df.groupBy(*[quoted(k) for k in keys]).agg(
+        F.count(F.lit(1)).cast("bigint").alias("record_count"), F.count(v).cast("bigint").alias("value_count"),
+        F.sum(total).alias("value_sum"), F.min(v).cast("double").alias("min_value"), F.max(v).cast("double").alias("max_value"),
+    )
+
+
+def merge_summaries(partials: DataFrame, keys: Sequence[str] = DAILY_KEYS, as_of: dt.datetime | str | None = None,
+                    with_timestamp: bool = True) -> DataFrame:
+    """The daily summary of all rows whose ``partials`` these are."""
+    out = partials.groupBy(*[quoted(k) for k in keys]).agg(
+        F.sum("record_count").cast("bigint").alias("record_count"),
+        F.try_divide(F.sum("value_sum").cast("double"), F.sum("value_count").cast("double")).alias("avg_value"),
+        F.min("min_value").alias("min_value"), F.max("max_value").alias("max_value"),
+    )
+    return out.withColumn(SUMMARY_TS, timestamp_value(as_of)) if with_timestamp else out

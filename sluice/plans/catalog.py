@@ -25,8 +25,9 @@ from sluice.operators.summarize import daily_summary
 from sluice.plans import flows
 from sluice.schemas import DAILY_SUMMARY_SCHEMA, PROCESSED_SCHEMA
 from sluice.session import scratch_dir
-from sluice.streaming.incremental import incremental_transform
+from sluice.streaming.incremental import incremental_transform, read_increments
 from sluice.sinks.files import write_csv, write_parquet, write_partitioned
+from sluice.sinks.snapshots import SnapshotTable
 from sluice.sources.derived import churn_frame, dirty_records, events_as_records, table
 from sluice.sources.files import (
     CSV_TIMESTAMP_FORMAT, CSV_TIMESTAMP_FORMAT_MICROS, read_csv, read_parquet, with_source_file,
@@ -227,6 +228,20 @@ def q_sink_partitioned(spark, d):
     return spark.read.parquet(path)
 
 
+@register("sink_partitioned_versions", f"""
+with one as (select * from ({SQL_ENRICH}) a), two as (select * from ({sql_enrich(sql_clean(SQL_RECORDS))}) b)
+select *, 1 as version from one
+union all select *, 2 from two
+union all select *, 2 from one where not exists (select 1 from two where two.year is not distinct from one.year and two.month is not distinct from one.month)
+""")
+def q_sink_partitioned_versions(spark, d):
+    # the second commit replaces the months it holds; the first version stays readable
+    months = SnapshotTable(spark, scratch_dir(spark, "sink_versions"), ("year", "month"))
+    months.commit(months.stage(enriched(spark, d)))
+    months.commit(months.stage(E.enrich_records(C.clean_records(records(spark, d)), as_of=AS_OF, with_hash=False)))
+    return months.read(1).withColumn("version", F.lit(1)).unionByName(months.read(2).withColumn("version", F.lit(2)))
+
+
 SQL_CONFORMED = f"""
 select cast(id as bigint) as id, name, cast(value as double) as value, "timestamp",
        cast(null as timestamp) as extraction_timestamp, cast(null as varchar) as source_system,
@@ -247,9 +262,8 @@ select 'r1' as run_id, count(*)::bigint as verified from ({SQL_CLEAN}) a
 union all select 'r2', count(*)::bigint from ({sql_clean(SQL_RECORDS)}) b
 """)
 def q_verify_count(spark, d):
-    # the count that verification takes of each run, compared with what the load reported
-    path = two_runs(spark, d, "verify")
-    return spark.createDataFrame([(r, flows.verify_load(spark, path, rid=r)) for r in ("r1", "r2")], "run_id string, verified bigint")
+    # counted in each run's files; the load of each run has been compared with what it reported
+    return flows.loaded_counts(spark, two_runs(spark, d, "verify"))
 
 
 @register("load_many", f"""
@@ -263,7 +277,7 @@ def q_load_many(spark, d):
                   f"{base}/processed/transformed_events")
     result = flows.load(spark, [f"{base}/processed/transformed_*"], f"{base}/warehouse", as_of=AS_OF, rid="r1")
     flows.verify_load(spark, f"{base}/warehouse", result.rows, rid="r1")
-    return Q.row_count(spark.read.parquet(f"{base}/warehouse")).select(F.col("total_rows").cast("bigint"))
+    return Q.row_count(flows.read_table(spark, f"{base}/warehouse")).select(F.col("total_rows").cast("bigint"))
 
 
 # ---------------------------------------------------------------- 2.3 projections / filters
@@ -379,14 +393,21 @@ def q_dedup(spark, d):
 
 
 @register("dedup_rows_stamped", f"""
-select id, name, value, "timestamp", min(stamp) as extraction_timestamp, 'events' as source_system
-from (select *, timestamp '{AS_OF}' as stamp from ({SQL_DIRTY}) a
-      union all select *, timestamp '2024-03-01 00:00:00' from ({SQL_RECORDS}) b) s
-group by id, name, value, "timestamp"
+select id, name, value, "timestamp", extraction_timestamp, source_system
+from (select *, row_number() over (partition by id, name, value, "timestamp"
+                                   order by extraction_timestamp nulls last, source_system nulls last) as place
+      from (select *, timestamp '{AS_OF}' as extraction_timestamp, 'events' as source_system from ({SQL_DIRTY}) a
+            union all select *, timestamp '2024-03-01 00:00:00', 'archive' from ({SQL_RECORDS}) b
+            union all select *, timestamp '{AS_OF}', 'crm' from ({SQL_RECORDS}) c
+            union all select *, null, 'aaa' from ({SQL_RECORDS}) e) s) t
+where place = 1
 """)
 def q_dedup_stamped(spark, d):
-    landed = flows.stamp_extraction(dirty(spark, d), "events", AS_OF)
-    return C.dedup(landed.unionByName(flows.stamp_extraction(records(spark, d), "events", "2024-03-01 00:00:00")))
+    # copies of one row with four stamps: all stamps of the result come from one of them
+    landed = [flows.stamp_extraction(dirty(spark, d), "events", AS_OF), flows.stamp_extraction(records(spark, d), "archive", "2024-03-01 00:00:00"),
+              flows.stamp_extraction(records(spark, d), "crm", AS_OF),
+              flows.stamp_extraction(records(spark, d), "aaa", AS_OF).withColumn("extraction_timestamp", F.lit(None).cast("timestamp_ntz"))]
+    return C.dedup(reduce(DataFrame.unionByName, landed))
 
 
 # ---------------------------------------------------------------- 2.6 aggregations
@@ -632,7 +653,7 @@ def q_stream_incremental(spark, d):
     write_parquet(first.repartition(2), f"{raw}/{flows.RAW_MARKER}_r3")
     incremental_transform(spark, raw, first.schema, out, checkpoint=ckpt, as_of=AS_OF, with_hash=False,
                           max_files_per_trigger=1)
-    return spark.read.parquet(out)
+    return read_increments(spark, out)
 
 
 @register("pipe_transform_sql", f"""
@@ -664,18 +685,76 @@ def two_runs(spark, d, label):
 
 @register("pipe_load", SQL_TWO_RUNS)
 def q_pipe_load(spark, d):
-    return spark.read.parquet(two_runs(spark, d, "load"))
+    return flows.read_table(spark, two_runs(spark, d, "load"))
+
+
+@register("pipe_load_versions", f"""
+with r1 as (select 'r1' as run_id, * from ({SQL_CONFORMED}) a),
+     r2 as (select 'r2' as run_id, * from ({SQL_CONFORMED.replace(SQL_DIRTY, SQL_RECORDS)}) b)
+select *, 1 as version from r1
+union all select *, 2 from r1 union all select *, 2 from r2
+union all select *, 3 from r1 where day <= 15 union all select *, 3 from r2
+union all select *, 4 from r2
+""")
+def q_pipe_load_versions(spark, d):
+    # two runs, the first one loaded again with fewer rows and then with none; a load that dies before its commit
+    path = f"{scratch_dir(spark, 'load_versions')}/processed_data"
+    first = enriched(spark, d)
+    second = E.enrich_records(C.clean_records(records(spark, d)), as_of=AS_OF, with_hash=False)
+    flows.load(spark, first, path, as_of=AS_OF, rid="r1")
+    flows.load(spark, second, path, as_of=AS_OF, rid="r2")
+    flows.load(spark, first.where("day <= 15"), path, as_of=AS_OF, rid="r1")
+    flows.load(spark, first.where("id < 0 and id > 0"), path, as_of=AS_OF, rid="r1")
+    flows.run_table(spark, path).stage(flows.read_table(spark, path))
+    read = [flows.read_table(spark, path, version=v).withColumn("version", F.lit(v)) for v in flows.run_table(spark, path).versions()]
+    return reduce(DataFrame.unionByName, read)
+
+
+@register("dedup_rows_across_runs", f"""
+with r1 as (select * from ({SQL_CONFORMED}) a), r2 as (select * from ({SQL_CONFORMED.replace(SQL_DIRTY, SQL_RECORDS)}) b)
+select *, 'r1' as run_id from r1
+union all select *, 'r2' from r2 where not exists (
+  select 1 from r1 where r1.id is not distinct from r2.id and r1.name is not distinct from r2.name
+    and r1.value is not distinct from r2.value and r1."timestamp" is not distinct from r2."timestamp")
+""")
+def q_dedup_across_runs(spark, d):
+    # the second run, loaded twice, leaves out the rows that the first one has
+    path = f"{scratch_dir(spark, 'dedup_runs')}/processed_data"
+    columns = records(spark, d).columns
+    flows.load(spark, enriched(spark, d), path, as_of=AS_OF, rid="r1", skip_loaded=columns)
+    for _ in range(2):
+        flows.load(spark, E.enrich_records(C.clean_records(records(spark, d)), as_of=AS_OF, with_hash=False), path,
+                   as_of=AS_OF, rid="r2", skip_loaded=columns)
+    return flows.read_table(spark, path)
+
+
+@register("agg_distinct_stored", f"""
+with t as (select 'r1' as run_id, * from ({SQL_CLEAN}) a union all select 'r2', * from ({sql_clean(SQL_RECORDS)}) b)
+select run_id, cast(count(*) as bigint) as exact, true as within from (select distinct * from t) x group by run_id
+union all select null, cast(count(*) as bigint), true from (select distinct id, name, value, "timestamp" from t) y
+""")
+def q_distinct_stored(spark, d):
+    # estimates from stored sketches, held against exact counts: within four standard errors of a sketch of 2 ** 14
+    path = two_runs(spark, d, "sketches")
+    flows.refresh_sketches(spark, path, f"{path}_sketches")
+    columns = records(spark, d).columns
+    rows = flows.read_table(spark, path).select("run_id", *columns)
+    exact = rows.distinct().groupBy("run_id").agg(F.count(F.lit(1)).alias("exact"))
+    exact = exact.unionByName(rows.select(*columns).distinct().agg(F.count(F.lit(1)).alias("exact")).withColumn("run_id", F.lit(None).cast("string")))
+    both = exact.alias("e").join(flows.stored_distinct(spark, f"{path}_sketches").alias("s"), F.col("e.run_id").eqNullSafe(F.col("s.run_id")))
+    near = F.abs(F.col("distinct_rows") - F.col("exact")) <= F.col("exact") * (4 * 1.04 / 2 ** 7) + 1
+    return both.select("e.run_id", "exact", near.alias("within"))
 
 
 @register("pipe_load_partitioned", f"""
-select *, 'r1' as run_id from ({SQL_CONFORMED.replace(SQL_ENRICH, sql_enrich(sql_clean(SQL_FINE)))}) s where year <= 1998
+select *, 'r1' as run_id from ({SQL_CONFORMED.replace(SQL_ENRICH, sql_enrich(sql_clean(SQL_FINE)))}) s
 """)
 def q_pipe_load_partitioned(spark, d):
-    # many months and years; the condition prunes partitions
+    # many months and years
     base = scratch_dir(spark, "load_part")
     rows = E.enrich_records(C.clean_records(discounts(spark, d)), as_of=AS_OF, with_hash=False)
     flows.load(spark, rows, base, as_of=AS_OF, rid="r1")
-    return spark.read.parquet(base).where(F.col("year") <= 1998)
+    return flows.read_table(spark, base)
 
 
 @register("pipe_load_whole", f"""
@@ -686,7 +765,7 @@ def q_pipe_load_whole(spark, d):
     base = scratch_dir(spark, "load_whole")
     rows = E.enrich_records(C.clean_records(discounts(spark, d)), as_of=AS_OF, with_hash=False)
     flows.load(spark, rows, base, as_of=AS_OF, rid="r1")
-    return spark.read.parquet(base)
+    return flows.read_table(spark, base)
 
 
 @register("pipe_summary", sql_summary(SQL_TWO_RUNS))
@@ -696,6 +775,21 @@ def q_pipe_summary(spark, d):
     return spark.read.parquet(out)
 
 
+@register("pipe_summary_incremental", sql_summary(f"""
+select year, month, day, value_category, value from ({SQL_CONFORMED}) a where day <= 15
+union all select year, month, day, value_category, value from ({SQL_CONFORMED.replace(SQL_DIRTY, SQL_RECORDS)}) b
+"""))
+def q_summary_incremental(spark, d):
+    # summarised after each load; the first run is loaded again with fewer rows, and only its partials are replaced
+    path, out = f"{scratch_dir(spark, 'summary_runs')}/processed_data", scratch_dir(spark, "summary_out")
+    first = enriched(spark, d)
+    second = E.enrich_records(C.clean_records(records(spark, d)), as_of=AS_OF, with_hash=False)
+    for rid, rows in (("r1", first), ("r2", second), ("r1", first.where("day <= 15"))):
+        flows.load(spark, rows, path, as_of=AS_OF, rid=rid)
+        flows.summarize(spark, path, out, as_of=AS_OF, exact_scale=2, partials_path=f"{path}_partials")
+    return spark.read.parquet(out)
+
+
 def two_days(spark, d, label, **books):
     """The whole chain for two runs of one work folder; the last run's result."""
     work = scratch_dir(spark, label)

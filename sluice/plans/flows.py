@@ -26,13 +26,15 @@ from sluice.operators.conform import conform_to_schema
 from sluice.operators.enrich import enrich_records, timestamp_value
 from sluice.operators.modeling import validate_churn
 from sluice.operators.quality import quality_report_by, quality_summary
-from sluice.operators.summarize import daily_summary
+from sluice.operators.seen import distinct_of_sketches, distinct_sketches, drop_seen, filter_words, merge_words
+from sluice.operators.summarize import DAILY_KEYS, daily_summary, merge_summaries, partial_summary
 from sluice.schemas import (
     CHURN_COLUMNS, CHURN_LABEL, CHURN_NUMERIC, EXTRACTION_TS, LOAD_TS, PROCESSED_SCHEMA, RECORD_SCHEMA, SOURCE_SYSTEM,
 )
 from sluice.sinks.files import run_id as new_run_id
-from sluice.sinks.files import observed, write_csv, write_parquet, write_partitioned
+from sluice.sinks.files import write_csv, write_parquet, write_partitioned
 from sluice.sinks.jdbc import append_through_stage, create_table_jdbc, write_jdbc
+from sluice.sinks.snapshots import SnapshotTable, refresh, slot_values
 from sluice.plans.metrics import RunMetrics, append_by_run, audit_frame, completed_runs
 from sluice.sources.files import (
     CSV_TIMESTAMP_FORMAT_MICROS, discover_datasets, glob_exists, path_exists, qualified_depth,
@@ -295,6 +297,21 @@ def transform_sql(raw: DataFrame, as_of: dt.datetime | str | None = None, with_h
 RUN_COLUMN = "run_id"
 
 
+def run_table(spark: SparkSession, target_path: str) -> SnapshotTable:
+    """The loaded table at a path: one slot a run."""
+    return SnapshotTable(spark, target_path, (RUN_COLUMN,))
+
+
+def read_table(spark: SparkSession, target_path: str, version: int | None = None, rid: str | None = None) -> DataFrame:
+    """The loaded table, all runs or one, as its last version (or ``version``) has it."""
+    table = run_table(spark, target_path)
+    return table.read(version, None if rid is None else _slots_of(table, rid, version))
+
+
+def _slots_of(table: SnapshotTable, rid: str, version: int | None = None) -> list[str]:
+    return [s for s in table.manifest(version).slots if slot_values(s)[RUN_COLUMN] == rid]
+
+
 def load(
     spark: SparkSession,
     source: DataFrame | Sequence[str],
@@ -304,13 +321,19 @@ def load(
     partition_by: Sequence[str] = ("year", "month"),
     merge_schema: bool = False,
     rid: str | None = None,
+    skip_loaded: Sequence[str] | None = None,
 ) -> StepResult:
     """Add processed rows to the target table, conformed to its columns.
 
-    The table is partitioned by run, then by ``partition_by``
-    (``run_id=<rid>/year=/month=``).  A run adds to whatever other runs have
-    loaded, also of the same month; loading it again replaces its own rows
-    and nothing else.
+    The table keeps runs apart, and each run by ``partition_by``.  A run adds
+    to whatever other runs have loaded, also of the same month; loading it
+    again replaces its own rows and nothing else.  Either happens in one step
+    when all files are written: readers (``read_table``) see the table as it
+    was or as it is, and a load that dies changes nothing.
+
+    ``skip_loaded`` names columns by which rows that another run has loaded
+    already are left out.  Only rows that may be among them, by the Bloom
+    filters kept of each run, are compared with the table.
 
     Processed datasets share one schema, so footers are not merged by default
     (merging reads every file footer - a full job on a large lake); pass
@@ -322,24 +345,40 @@ def load(
             log.warning("nothing to load: no processed data at %s", list(source))
             return StepResult(0, target_path, {"skipped": True, "run_id": rid})
         source = read_parquet(spark, paths, merge_schema=merge_schema)
-    df = source.drop(DATASET_COLUMN)
-    stamped = df.withColumn(LOAD_TS, timestamp_value(as_of))
-    out, obs = observed(conform_to_schema(stamped, schema).hint("rebalance", *partition_by))
-    own = f"{target_path.rstrip('/')}/{RUN_COLUMN}={rid}"
-    # the run's folder is its own, so replacing it whole leaves no month of an earlier attempt behind
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(own))
-    return StepResult(int(obs.get.get("rows", 0)), target_path, {"skipped": False, "run_id": rid, "run_path": own})
+    table = run_table(spark, target_path)
+    stamped = source.drop(DATASET_COLUMN).withColumn(LOAD_TS, timestamp_value(as_of))
+    rows = conform_to_schema(stamped, schema)
+    if skip_loaded:
+        rows = without_loaded(table, rows, rid, skip_loaded)
+    staged = table.stage(rows.withColumn(RUN_COLUMN, F.lit(rid)), partition_by)
+    version = table.commit(staged, drop=lambda slot: slot_values(slot)[RUN_COLUMN] == rid)
+    return StepResult(staged.rows, target_path, {"skipped": False, "run_id": rid, "version": version})
+
+
+def without_loaded(table: SnapshotTable, rows: DataFrame, rid: str, columns: Sequence[str]) -> DataFrame:
+    """``rows`` without those whose ``columns`` another run than ``rid`` has loaded (NULL equals NULL)."""
+    filters = SnapshotTable(table.spark, f"{table.path}_filters", table.keys)
+    refresh(table, filters, lambda df: filter_words(df, columns, by=table.keys))
+    others = [s for s in table.manifest().slots if slot_values(s)[RUN_COLUMN] != rid]
+    if not others:
+        return rows
+    return drop_seen(rows, table.read(slots=others), merge_words(filters.read(slots=others)), columns)
 
 
 def verify_load(spark: SparkSession, target_path: str, expected_rows: int | None = None, rid: str | None = None) -> int:
     """Count what the run ``rid`` (or else everyone) loaded; no rows, or another number than expected, is an error."""
-    path = f"{target_path.rstrip('/')}/{RUN_COLUMN}={rid}" if rid else target_path
-    n = spark.read.parquet(path).count()
+    slots = run_table(spark, target_path).manifest().slots
+    n = read_table(spark, target_path, rid=rid).count() if slots else 0
     if n == 0 or (expected_rows is not None and n != expected_rows):
-        raise ValueError(f"load verification failed: {n} rows in {path}, expected {expected_rows}")
+        raise ValueError(f"load verification failed: {n} rows in {target_path}, expected {expected_rows}")
     return n
 
 
+def loaded_counts(spark: SparkSession, target_path: str) -> DataFrame:
+    """(run_id, verified): the rows that each run has in the table, counted in its files."""
+    return read_table(spark, target_path).groupBy(RUN_COLUMN).agg(F.count(F.lit(1)).alias("verified"))
+
+
 def load_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = None,
               as_of: dt.datetime | str | None = None, schema: T.StructType = PROCESSED_SCHEMA,
               num_partitions: int = 4, rid: str | None = None, audit_path: str | None = None) -> StepResult:
@@ -390,11 +429,36 @@ def summarize_jdbc(spark: SparkSession, url: str, source_table: str, summary_tab
     return StepResult(rows, summary_table)
 
 
-def summarize(spark: SparkSession, table_path: str, out_path: str,
-              as_of: dt.datetime | str | None = None, exact_scale: int | None = None) -> StepResult:
-    """Daily summary of the loaded table (all runs), overwriting the summary output."""
-    summary = daily_summary(spark.read.parquet(table_path), as_of=as_of, exact_scale=exact_scale)
-    return StepResult(write_parquet(summary, out_path), out_path)
+def refresh_summary(spark: SparkSession, table_path: str, partials_path: str, exact_scale: int | None = None) -> list[str]:
+    """Keep the runs' partial summaries up to date: only runs loaded since the last time are read.  Returns these."""
+    keys = (RUN_COLUMN, *DAILY_KEYS)
+    table, partials = run_table(spark, table_path), SnapshotTable(spark, partials_path, (RUN_COLUMN,))
+    return refresh(table, partials, lambda df: partial_summary(df, keys, exact_scale=exact_scale))
+
+
+def summarize(spark: SparkSession, table_path: str, out_path: str, as_of: dt.datetime | str | None = None,
+              exact_scale: int | None = None, partials_path: str | None = None) -> StepResult:
+    """Daily summary of the loaded table (all runs), overwriting the summary output.
+
+    With ``partials_path`` the summary is merged from the runs' partial summaries kept there, so that it costs
+    what the runs loaded since cost, not what the table does.
+    """
+    if partials_path is None:
+        return StepResult(write_parquet(daily_summary(read_table(spark, table_path), as_of=as_of, exact_scale=exact_scale), out_path), out_path)
+    read = refresh_summary(spark, table_path, partials_path, exact_scale)
+    merged = merge_summaries(SnapshotTable(spark, partials_path, (RUN_COLUMN,)).read(), as_of=as_of)
+    return StepResult(write_parquet(merged, out_path), out_path, {"read": read})
+
+
+def refresh_sketches(spark: SparkSession, table_path: str, sketches_path: str, columns: Sequence[str] = RECORD_SCHEMA.fieldNames()) -> list[str]:
+    """Keep a distinct-count sketch of each run's ``columns``; only runs loaded since the last time are read."""
+    table, sketches = run_table(spark, table_path), SnapshotTable(spark, sketches_path, (RUN_COLUMN,))
+    return refresh(table, sketches, lambda df: distinct_sketches(df, columns, by=(RUN_COLUMN,)))
+
+
+def stored_distinct(spark: SparkSession, sketches_path: str) -> DataFrame:
+    """(run_id, distinct_rows): estimates for each run, and over all of them (run_id NULL), from the sketches alone."""
+    return distinct_of_sketches(SnapshotTable(spark, sketches_path, (RUN_COLUMN,)).read(), by=(RUN_COLUMN,))
 
 
 def _require_rows(rows: int, label: str) -> None:
@@ -417,8 +481,9 @@ def end_to_end(
     """extract -> validate -> transform -> quality check -> load -> verify -> summary.
 
     Only what this run has landed is transformed and loaded, so a day costs
-    what its own rows cost; the summary covers the table.  ``exact_scale`` as
-    in ``daily_summary``.
+    what its own rows cost; the summary covers the table, from partial
+    summaries of which only this run's is new.  ``exact_scale`` as in
+    ``daily_summary``.
 
     With ``metrics_path`` one row per stage (rows in/out, rejected, error
     rate, seconds) is written for the run; with ``audit_path`` the load is
@@ -450,7 +515,8 @@ def end_to_end(
         verified = verify_load(spark, loaded.path, loaded.rows, rid=rid)
         st.rows_out = loaded.rows
     with run.stage("summary", rows_in=loaded.rows) as st:
-        summary = summarize(spark, loaded.path, f"{base}/warehouse/daily_summary", as_of=as_of, exact_scale=exact_scale)
+        summary = summarize(spark, loaded.path, f"{base}/warehouse/daily_summary", as_of=as_of, exact_scale=exact_scale,
+                            partials_path=f"{base}/warehouse/daily_summary_partials")
         st.rows_out = summary.rows
     if metrics_path:
         append_by_run(run.to_frame(spark), metrics_path)

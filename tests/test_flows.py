@@ -16,7 +16,7 @@ from sluice.schemas import RECORD_SCHEMA
 from sluice.sinks.files import write_csv, write_parquet
 from sluice.sources.derived import dirty_records, events_as_records
 from sluice.sources.files import CSV_TIMESTAMP_FORMAT_MICROS
-from sluice.streaming.incremental import incremental_transform
+from sluice.streaming.incremental import incremental_transform, read_increments
 from tests.conftest import FAULTY_ROWS, SF_SMALL
 
 AS_OF = "2024-02-01 00:00:00"
@@ -34,7 +34,7 @@ def test_end_to_end_on_dirty_rows(spark, tmp_dir):
     assert (rep["total_rows"], rep["duplicates"], rep["null_counts"]["name"]) == (5, 1, 1)
     summary = spark.read.parquet(out["summary_path"])
     assert summary.agg(F.sum("record_count")).first()[0] == 3
-    table = spark.read.parquet(out["table_path"])
+    table = flows.read_table(spark, out["table_path"])
     assert table.where("source_system = 'crm' and extraction_timestamp is not null").count() == 3
     assert [s[0] for s in out["stages"]] == ["extract", "transform", "load", "summary"]
 
@@ -105,7 +105,7 @@ def test_second_day_adds_to_the_month(spark, tmp_dir):
            for i, rid in enumerate(["r1", "r2", "r1"])]
     assert [o["loaded"] for o in out] == [3, 3, 3] and [o["reports"].keys() for o in out] == [
         {"extracted_data_crm_r1"}, {"extracted_data_crm_r2"}, {"extracted_data_crm_r1"}]
-    table = spark.read.parquet(out[0]["table_path"])
+    table = flows.read_table(spark, out[0]["table_path"])
     assert table.count() == 6 and {r["id"] for r in table.where("run_id = 'r1'").collect()} == {221, 223, 224}
     assert spark.read.parquet(out[0]["summary_path"]).agg(F.sum("record_count")).first()[0] == 6
 
@@ -117,7 +117,7 @@ def test_load_replaces_its_own_run_only(spark, tmp_dir):
     # the same run again, without the rows of most days: no partition of the first attempt stays
     again = flows.load(spark, recs.where("day = 3"), f"{tmp_dir}/t", as_of=AS_OF, rid="r1")
     assert first.rows > again.rows > 0
-    assert spark.read.parquet(f"{tmp_dir}/t").count() == again.rows + other.rows
+    assert flows.read_table(spark, f"{tmp_dir}/t").count() == again.rows + other.rows
     assert flows.verify_load(spark, f"{tmp_dir}/t", again.rows, rid="r1") == again.rows
     for wrong in (again.rows + 1, again.rows - 1):
         with pytest.raises(ValueError, match="verification failed"):
@@ -129,7 +129,7 @@ def test_large_ids_and_unknown_timestamps_load(spark, tmp_dir):
                                  "id bigint, name string, value double, timestamp timestamp_ntz")
     flows.load(spark, flows.transform_dataset(rows, AS_OF), f"{tmp_dir}/t", as_of=AS_OF, rid="r1")
     flows.load(spark, flows.transform_dataset(rows, AS_OF), f"{tmp_dir}/t", as_of=AS_OF, rid="r2")
-    back = spark.read.parquet(f"{tmp_dir}/t")
+    back = flows.read_table(spark, f"{tmp_dir}/t")
     assert back.count() == 4 and back.where("id = 3000000000 and timestamp is null").count() == 2
     flows.summarize(spark, f"{tmp_dir}/t", f"{tmp_dir}/s", as_of=AS_OF)
     assert {(r["avg_value"], r["min_value"]) for r in spark.read.parquet(f"{tmp_dir}/s").collect()} == {(0.004, 0.004)}
@@ -253,8 +253,8 @@ def test_incremental_transform_gives_the_batch_result(spark, tmp_dir, per_trigge
     assert first["rows"] == 6 and first["datasets"] == ["extracted_data_r1", "extracted_data_r2"]
     write_parquet(src.withColumn("id", F.col("id") + 20), f"{tmp_dir}/raw/extracted_data_r3")
     assert run()["datasets"] == ["extracted_data_r3"]
-    assert run() == {"batches": 0, "datasets": [], "rows": 0}
+    assert run() == {"batches": 0, "datasets": [], "rows": 0, "read": 0}
     batch = flows.transform_batched(spark, f"{tmp_dir}/raw", f"{tmp_dir}/whole", as_of=AS_OF)
-    a, b = spark.read.parquet(f"{tmp_dir}/out"), spark.read.parquet(f"{tmp_dir}/whole")
+    a, b = read_increments(spark, f"{tmp_dir}/out"), spark.read.parquet(f"{tmp_dir}/whole")
     assert batch.rows == a.count() == 9
     assert a.select(b.columns).exceptAll(b).count() == 0

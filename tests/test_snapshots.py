@@ -1,0 +1,265 @@
+"""Versions that appear whole, what is kept of each run beside them, and streams that commit to them."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+import random
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.operators import seen as S
+from sluice.operators.summarize import daily_summary
+from sluice.plans import flows
+from sluice.schemas import RECORD_SCHEMA
+from sluice.sinks.files import write_parquet
+from sluice.sinks.snapshots import SnapshotTable, refresh, slot_values
+from sluice.streaming.incremental import incremental_transform, read_increments
+from tests.conftest import FAULTY_ROWS, SAMPLE_ROWS
+
+AS_OF = dt.datetime(2024, 2, 1)
+SCHEMA = "run_id string, k int, v string"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def frame(spark, *data):
+    return spark.createDataFrame(list(data), SCHEMA)
+
+
+def test_a_write_without_commit_changes_nothing(spark, tmp_dir):
+    t = SnapshotTable(spark, f"{tmp_dir}/t", ("run_id",))
+    assert t.versions() == [] and rows(t.read(schema=frame(spark).schema)) == []
+    assert t.commit(t.stage(frame(spark, ("r1", 1, "a"), ("r1", 2, None)))) == 1
+    t.stage(frame(spark, ("r1", 9, "lost"), ("r2", 9, "lost")))  # its writer dies here
+    assert rows(t.read()) == [("r1", 1, "a"), ("r1", 2, None)] and t.versions() == [1]
+    assert t.commit(t.stage(frame(spark, ("r1", 3, "b")))) == 2
+    assert rows(t.read()) == [("r1", 3, "b")] and rows(t.read(1)) == [("r1", 1, "a"), ("r1", 2, None)]
+    with pytest.raises(ValueError, match="no version 7"):
+        t.read(7)
+    # a manifest that was being written when its writer died is no version
+    open(f"{tmp_dir}/t/_log/.half", "w").write("{")
+    assert t.versions() == [1, 2]
+
+
+def test_a_reader_keeps_its_version_while_another_commits(spark, tmp_dir):
+    t = SnapshotTable(spark, f"{tmp_dir}/t", ("run_id",))
+    t.commit(t.stage(frame(spark, ("r1", 1, "a"))))
+    before = t.read()
+    t.commit(t.stage(frame(spark, ("r1", 2, "b"), ("r2", 3, "c"))))
+    assert rows(before) == [("r1", 1, "a")] and rows(t.read()) == [("r1", 2, "b"), ("r2", 3, "c")]
+
+
+def test_commits_that_race_all_count(spark, tmp_dir, monkeypatch):
+    t = SnapshotTable(spark, f"{tmp_dir}/t", ("run_id",))
+    a, b = t.stage(frame(spark, ("r1", 1, "a"))), t.stage(frame(spark, ("r2", 2, "b")))
+    stale, real, reads = t.manifest(), SnapshotTable.manifest, []
+    t.commit(a)
+    # the second writer has looked before the first one committed: it loses version 1 and takes the next
+    monkeypatch.setattr(SnapshotTable, "manifest", lambda self, version=None: stale if not reads.append(1) and len(reads) == 1 else real(self, version))
+    assert t.commit(b) == 2 and len(reads) == 2
+    monkeypatch.undo()
+    assert rows(t.read()) == [("r1", 1, "a"), ("r2", 2, "b")]
+    staged = [t.stage(frame(spark, (f"t{i}", i, None))) for i in range(12)]
+    with ThreadPoolExecutor(6) as pool:
+        versions = list(pool.map(t.commit, staged))
+    assert sorted(versions) == list(range(3, 15))
+    assert len(t.manifest().slots) == 14 and t.read().count() == 14
+
+
+def test_slots_with_odd_names_nulls_and_new_columns(spark, tmp_dir):
+    t = SnapshotTable(spark, f"{tmp_dir}/t", ("run_id",))
+    names = ["a/b=c", "x y%z", "{1,2}*[q]?", "20240101", "é", None]
+    t.commit(t.stage(frame(spark, *[(n, i, "v") for i, n in enumerate(names)])))
+    assert {r[0] for r in rows(t.read())} == set(names)
+    assert {slot_values(s)["run_id"] for s in t.manifest().slots} >= {n for n in names if n}
+    t.commit(t.stage(frame(spark, ("new", 1, "v")).withColumn("more", F.lit(1.5))))
+    found = t.read()
+    assert found.columns == ["run_id", "k", "v", "more"] and found.where("more is null").count() == len(names)
+    with pytest.raises(ValueError, match="column k is int"):
+        t.commit(t.stage(frame(spark, ("new", 1, "v")).withColumn("k", F.lit("x"))))
+    with pytest.raises(ValueError, match="is keyed by"):
+        SnapshotTable(spark, f"{tmp_dir}/t", ("k",)).manifest()
+
+
+def test_versions_by_time_and_expiry(spark, tmp_dir):
+    t = SnapshotTable(spark, f"{tmp_dir}/t", ("run_id",))
+    start = dt.datetime.now(dt.timezone.utc)
+    for i in range(4):
+        t.commit(t.stage(frame(spark, ("r1", i, "v"), (f"only{i}", i, "v"))), drop=lambda s: s.startswith("run_id=only"))
+    assert t.version_at(start) == 0 and t.version_at(dt.datetime.now(dt.timezone.utc)) == 4
+    t.stage(frame(spark, ("r9", 1, "unfinished")))
+    assert t.expire(keep=2) == []  # all young: a writer may still commit them
+    assert t.versions() == [3, 4]
+    assert len(t.expire(keep=2, grace=dt.timedelta(0))) == 3
+    assert rows(t.read(3)) == [("only2", 2, "v"), ("r1", 2, "v")] and len(os.listdir(f"{tmp_dir}/t/data")) == 2
+
+
+def loaded(spark, tmp_dir, rid, data, **more):
+    recs = flows.transform_dataset(spark.createDataFrame(data, RECORD_SCHEMA), AS_OF)
+    return flows.load(spark, recs, f"{tmp_dir}/t", as_of=AS_OF, rid=rid, **more)
+
+
+def test_a_load_that_dies_leaves_the_table_as_it_was(spark, tmp_dir, monkeypatch):
+    loaded(spark, tmp_dir, "r1", SAMPLE_ROWS)
+    before = rows(flows.read_table(spark, f"{tmp_dir}/t"))
+
+    def die(*_, **__):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(SnapshotTable, "commit", die)
+    for rid in ("r1", "r2"):
+        with pytest.raises(KeyboardInterrupt):
+            loaded(spark, tmp_dir, rid, SAMPLE_ROWS[:2])
+    monkeypatch.undo()
+    assert rows(flows.read_table(spark, f"{tmp_dir}/t")) == before
+    assert loaded(spark, tmp_dir, "r1", SAMPLE_ROWS[:2]).details["version"] == 2
+    assert rows(flows.read_table(spark, f"{tmp_dir}/t", version=1)) == before
+    with pytest.raises(ValueError, match="verification failed"):
+        flows.verify_load(spark, f"{tmp_dir}/t", rid="r7")
+
+
+def files_of(df):
+    return {f.split("/run_id=")[1].split("/")[0] for f in df.inputFiles()}
+
+
+def test_the_summary_is_kept_up_to_date_from_new_runs(spark, tmp_dir):
+    t, out, partials = f"{tmp_dir}/t", f"{tmp_dir}/s", f"{tmp_dir}/p"
+    r = random.Random(1)
+    data = lambda n: [(i, "n", r.randint(1, 300), dt.datetime(2024, 1, r.randint(1, 3)) if r.random() < 0.9 else None) for i in range(n)]
+
+    def check():
+        got = flows.summarize(spark, t, out, as_of=AS_OF, exact_scale=2, partials_path=partials)
+        whole = daily_summary(flows.read_table(spark, t), as_of=AS_OF, exact_scale=2)
+        assert rows(spark.read.parquet(out).select(whole.columns)) == rows(whole)
+        return got.details["read"]
+
+    loaded(spark, tmp_dir, "r1", data(200))
+    assert check() == ["run_id=r1"]
+    loaded(spark, tmp_dir, "r2", data(50))
+    loaded(spark, tmp_dir, "r3", data(50))
+    assert check() == ["run_id=r2", "run_id=r3"] and check() == []
+    loaded(spark, tmp_dir, "r1", data(30))
+    assert check() == ["run_id=r1"]
+    loaded(spark, tmp_dir, "r2", [])  # the run goes
+    assert check() == [] and check() == []
+    assert {slot_values(s)["run_id"] for s in SnapshotTable(spark, partials, ("run_id",)).manifest().slots} == {"r1", "r3"}
+
+
+def test_only_new_runs_are_read(spark, tmp_dir):
+    for rid in ("r1", "r2"):
+        loaded(spark, tmp_dir, rid, SAMPLE_ROWS)
+    table, seen = flows.run_table(spark, f"{tmp_dir}/t"), []
+    derived = SnapshotTable(spark, f"{tmp_dir}/d", ("run_id",))
+
+    def build(df):
+        seen.append(files_of(df))
+        return df.groupBy("run_id").count().where("run_id <> 'empty'")
+
+    refresh(table, derived, build)
+    loaded(spark, tmp_dir, "r2", SAMPLE_ROWS[:1])
+    loaded(spark, tmp_dir, "empty", SAMPLE_ROWS[:1])
+    refresh(table, derived, build)
+    assert refresh(table, derived, build) == []  # a run of which nothing is kept isn't read again
+    assert seen == [{"r1", "r2"}, {"empty", "r2"}]
+    assert rows(derived.read().select("run_id", "count")) == [("r1", 5), ("r2", 1)]
+
+
+def test_rows_of_other_runs_are_left_out(spark, tmp_dir):
+    columns = RECORD_SCHEMA.fieldNames()
+    unknown = [(None, None, 5, None), (30, None, 6, None)]
+    first = SAMPLE_ROWS[:3] + unknown[:1] + FAULTY_ROWS
+    assert loaded(spark, tmp_dir, "r1", first, skip_loaded=columns).rows == 7
+    again = loaded(spark, tmp_dir, "r2", SAMPLE_ROWS + unknown, skip_loaded=columns)
+    assert again.rows == 3  # two of the sample, one unknown
+    assert loaded(spark, tmp_dir, "r2", SAMPLE_ROWS + unknown, skip_loaded=columns).rows == 3  # its own rows don't count
+    assert loaded(spark, tmp_dir, "r3", SAMPLE_ROWS + unknown, skip_loaded=columns).rows == 0
+    # the first run is loaded again without them: then they are new
+    assert loaded(spark, tmp_dir, "r1", SAMPLE_ROWS[:1]).rows == 1
+    assert loaded(spark, tmp_dir, "r2", SAMPLE_ROWS + unknown, skip_loaded=columns).rows == 6
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 12, 1 << 20])
+def test_filters_never_lose_a_row(spark, bits):
+    data = spark.range(3000).select("id", F.when(F.col("id") % 5 > 0, F.col("id") * 0.5 - 20).alias("v"), F.lit("x").alias("other"))
+    seen_, new = data.where("id % 3 = 0"), data.where("id % 2 = 0").unionByName(data.where("id = 4"))
+    words = S.filter_words(seen_.withColumn("part", F.col("id") % 4), ["id", "v"], by=["part"], bits=bits)
+    merged = S.merge_words(words)
+    assert rows(merged) == rows(S.filter_words(seen_, ["id", "v"], bits=bits).select("word", "mask"))
+    assert seen_.where(~S.may_hold(merged, ["id", "v"], bits)).count() == 0
+    passed = data.where("id % 3 <> 0").where(S.may_hold(merged, ["id", "v"], bits)).count()
+    assert passed == 2000 if bits == 64 else passed < 60 if bits == 1 << 20 else passed > 0
+    got = S.drop_seen(new, seen_, merged, ["id", "v"], bits)
+    assert rows(got) == rows(new.where("id % 3 <> 0"))
+
+
+def test_the_filter_stands_before_the_exchange(spark):
+    data = spark.range(5000).withColumnRenamed("id", "k")
+    words = S.merge_words(S.filter_words(data, ["k"], bits=1 << 12))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        query = S.drop_seen(data, data, words, ["k"], bits=1 << 12)._jdf.queryExecution()
+        text = spark._jvm.PythonSQLUtils.explainString(query, "formatted")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    tree = text.split("== Physical Plan ==")[1].strip().split("\n\n")[0].splitlines()
+    below = [tree[i + 1 :] for i, line in enumerate(tree) if "Exchange" in line]
+    assert len(below) == 2 and any("SortMergeJoin LeftAnti" in line for line in tree)
+    assert all(next(x for x in lines if "Filter" in x or "Range" in x or "Scan" in x).count("Filter") for lines in below)
+    assert "Subquery" in text
+
+
+def test_stored_sketches_count_the_union(spark, tmp_dir):
+    t, kept = f"{tmp_dir}/t", f"{tmp_dir}/k"
+    data = [(i, "n", 1 + i % 50, dt.datetime(2024, 1, 1)) for i in range(4000)]
+    for rid, part in (("r1", data[:3000]), ("r2", data[1000:])):
+        loaded(spark, tmp_dir, rid, part)
+    assert flows.refresh_sketches(spark, t, kept) == ["run_id=r1", "run_id=r2"] and flows.refresh_sketches(spark, t, kept) == []
+    got = {r["run_id"]: r["distinct_rows"] for r in flows.stored_distinct(spark, kept).collect()}
+    assert all(abs(got[k] - n) < 0.04 * n for k, n in (("r1", 3000), ("r2", 3000), (None, 4000)))
+    assert "Exchange hashpartitioning(id" not in flows.stored_distinct(spark, kept)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_stream_reads_new_files_only_and_each_row_comes_once(spark, tmp_dir):
+    raw, out = f"{tmp_dir}/raw/extracted_data_r1", f"{tmp_dir}/out"
+    run = lambda ckpt="c", n=None: incremental_transform(spark, f"{tmp_dir}/raw", RECORD_SCHEMA, out, checkpoint=f"{tmp_dir}/{ckpt}", as_of=AS_OF, max_files_per_trigger=n)
+    many = [(i, " Ab " if i % 2 else "ab", 7, None) for i in range(500)]
+    write_parquet(spark.createDataFrame(many, RECORD_SCHEMA), raw)
+    assert run()["read"] == 500
+    # later files of the same dataset: rows it has, in other spelling too, twice, and new ones
+    more = [(i, "AB", 7, None) for i in range(495, 505)] * 2 + [(None, None, None, None), (1, "ab", -7, None)]
+    write_parquet(spark.createDataFrame(more, RECORD_SCHEMA).repartition(4), raw, mode="append")
+    second = run(n=1)
+    assert (second["read"], second["rows"], second["batches"]) == (22, 5, 4)
+    batch = flows.transform_batched(spark, f"{tmp_dir}/raw", f"{tmp_dir}/whole", as_of=AS_OF)
+    whole = spark.read.parquet(f"{tmp_dir}/whole")
+    got = read_increments(spark, out).select(whole.columns)
+    assert batch.rows == 505 and rows(got) == rows(whole)
+    # the same batch again replaces what it wrote; a new checkpoint has batches of its own
+    table = SnapshotTable(spark, out, ("dataset", "batch"))
+    assert len(table.manifest().slots) == 1 + sum(1 for s in table.manifest().slots if not s.endswith("-0"))
+
+
+def test_a_batch_that_is_run_again_changes_nothing(spark, tmp_dir, monkeypatch):
+    out = f"{tmp_dir}/out"
+    write_parquet(spark.createDataFrame(SAMPLE_ROWS, RECORD_SCHEMA), f"{tmp_dir}/raw/extracted_data_r1")
+    run = lambda: incremental_transform(spark, f"{tmp_dir}/raw", RECORD_SCHEMA, out, checkpoint=f"{tmp_dir}/c", as_of=AS_OF)
+    real = SnapshotTable.commit
+
+    def die_after(self, *args, **more):
+        real(self, *args, **more)
+        raise RuntimeError("lost after the commit")
+
+    monkeypatch.setattr(SnapshotTable, "commit", die_after)
+    with pytest.raises(Exception, match="lost after the commit"):
+        run()
+    monkeypatch.undo()
+    assert read_increments(spark, out).count() == 5
+    run()
+    assert read_increments(spark, out).count() == 5
+    assert len(SnapshotTable(spark, out, ("dataset", "batch")).manifest().slots) == 1
