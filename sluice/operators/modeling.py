@@ -189,7 +189,7 @@ def validate_churn(df: DataFrame, expected: Sequence[str], label: str | None, nu
     return result
 
 
-def file_fingerprints(spark: SparkSession, path: str, content: bool = True, fmt: str = "parquet") -> DataFrame:
+def file_fingerprints(spark: SparkSession, path: str | Sequence[str], content: bool = True, fmt: str = "parquet") -> DataFrame:
     """``(path, length, modification_time, rows, digest)`` per file of a table.
 
     The digest is the sum of a 60-bit hash of every row: it does not depend on

@@ -27,8 +27,10 @@ from sluice.schemas import DAILY_SUMMARY_SCHEMA, PROCESSED_SCHEMA
 from sluice.session import scratch_dir
 from sluice.streaming.incremental import incremental_transform, read_increments
 from sluice.sinks.files import write_csv, write_parquet, write_partitioned
-from sluice.sinks.snapshots import SnapshotTable
+from sluice.sinks.snapshots import SnapshotTable, compact, file_sizes
+from sluice.sources import changes
 from sluice.sources.derived import churn_frame, dirty_records, events_as_records, table
+from sluice.sources.infer import infer_types, read_reconciled
 from sluice.sources.files import (
     CSV_TIMESTAMP_FORMAT, CSV_TIMESTAMP_FORMAT_MICROS, read_csv, read_parquet, with_source_file,
 )
@@ -194,6 +196,64 @@ def q_scan_csv_tsformat(spark, d):
     return read_csv(spark, path, schema=recs.schema, timestamp_format=CSV_TIMESTAMP_FORMAT)
 
 
+# One column of each kind of text, some with values that don't fit the others.
+FAULTY_TEXTS = {
+    "whole": ("cast(event_id as string)", "cast(event_id as varchar)"),
+    "big": ("cast(event_id * 4000000007 as string)", "cast(event_id * 4000000007 as varchar)"),
+    "fraction": ("case when event_id % 7 = 0 then null when event_id % 5 = 0 then '.5e-3' else concat('-', cast(event_id as string), '.25') end",
+                 "case when event_id % 7 = 0 then null when event_id % 5 = 0 then '.5e-3' else concat('-', cast(event_id as varchar), '.25') end"),
+    "moment": ("case when event_id % 3 = 0 then '2024-02-29' else date_format(ts, 'yyyy-MM-dd HH:mm:ss') end",
+               "case when event_id % 3 = 0 then '2024-02-29' else strftime(ts, '%Y-%m-%d %H:%M:%S') end"),
+    "day": ("date_format(ts, 'yyyy-MM-dd')", "strftime(ts, '%Y-%m-%d')"),
+    "flag": ("case when event_id % 2 = 0 then 'True' else 'false' end", "case when event_id % 2 = 0 then 'True' else 'false' end"),
+    "faulty": ("case when event_id % 100 = 0 then 'n/a' when event_id % 100 = 1 then '2023-02-30' else cast(event_id as string) end",
+               "case when event_id % 100 = 0 then 'n/a' when event_id % 100 = 1 then '2023-02-30' else cast(event_id as varchar) end"),
+    "nothing": ("cast(null as string)", "cast(null as varchar)"),
+}
+
+
+def _sql_types(column: str) -> str:
+    digits = f"regexp_full_match({column}, '[+-]?[0-9]{{1,38}}')"
+    tests = {
+        "boolean": f"lower({column}) in ('true', 'false')",
+        "int": f"{digits} and try_cast({column} as int) is not null", "bigint": f"{digits} and try_cast({column} as bigint) is not null",
+        "double": f"regexp_full_match({column}, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')",
+        "date": f"regexp_full_match({column}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') and try_cast({column} as date) is not null",
+        "timestamp_ntz": f"regexp_full_match({column}, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}([ T][0-9]{{2}}:[0-9]{{2}}:[0-9]{{2}}([.][0-9]{{1,6}})?)?') and try_cast({column} as timestamp) is not null",
+    }
+    counts = ", ".join(f"cast(count_if({column} is not null and not coalesce({t}, false)) as bigint) as not_{k}" for k, t in tests.items())
+    choice = " ".join(f"when not_{k} = 0 then '{k}'" for k in tests)
+    return (f"select '{column}' as column_name, case when \"values\" = 0 then 'string' {choice} else 'string' end as type, * "
+            f"from (select cast(count({column}) as bigint) as \"values\", cast(count_if({column} is null) as bigint) as nulls, {counts} from t) x")
+
+
+@register("scan_csv_inferred", "with t as (select " + ", ".join(f"{sql} as {c}" for c, (_, sql) in FAULTY_TEXTS.items()) + " from events)\n"
+          + "\nunion all\n".join(_sql_types(c) for c in FAULTY_TEXTS))
+def q_scan_csv_inferred(spark, d):
+    # the types of a CSV export of texts, by one pass over all its rows
+    path = scratch_dir(spark, "scan_inferred") + "/texts.csv"
+    write_csv(table(spark, d, "events").selectExpr(*(f"{sql} as {c}" for c, (sql, _) in FAULTY_TEXTS.items())), path)
+    return infer_types(spark, path)
+
+
+@register("scan_parquet_reconciled", """
+select event_id as id, cast(value as double) as value, ts as at, event_type as name, null as more, 'a' as shape from events where event_id % 3 = 0
+union all select event_id, cast(event_id % 7 as double), cast(cast(ts as date) as timestamp), null, 'x', 'b' from events where event_id % 3 = 1
+union all select event_id, null, ts, cast(event_id as varchar), null, 'c' from events where event_id % 3 = 2
+""")
+def q_scan_reconciled(spark, d):
+    # three shapes of one table: other order, narrower types, missing and additional columns, a number where others have text
+    base, events = scratch_dir(spark, "shapes"), table(spark, d, "events")
+    shapes = {
+        "a": ["cast(event_id as int) as id", "event_type as name", "value", "ts as at", "'a' as shape"],
+        "b": ["to_date(ts) as at", "event_id as id", "cast(event_id % 7 as int) as value", "'x' as more", "'b' as shape"],
+        "c": ["'c' as shape", "event_id as id", "event_id as name", "ts as at"],
+    }
+    for i, (shape, columns) in enumerate(shapes.items()):
+        write_parquet(events.where(F.col("event_id") % 3 == i).selectExpr(*columns), f"{base}/{shape}")
+    return read_reconciled(spark, [f"{base}/{shape}" for shape in shapes])
+
+
 @register("scan_parquet_multi", """
 select event_id as id, event_type as name, value, ts as "timestamp", strftime(ts, '%Y%m%d') as run_id from events
 """)
@@ -556,6 +616,29 @@ def q_frames_equal(spark, d):
     return Q.frames_diff(dirty(spark, d), cleaned(spark, d))
 
 
+SQL_EDITED = """select doc_id, case when doc_id % 499 = 3 then null else lang end as lang, text, source, n_chars
+from (select *, unnest(case when doc_id % 501 = 5 then [1, 2] else [1] end) as copy from documents) d where doc_id % 503 <> 7"""
+
+
+@register("dq_frames_equal_ranges", f"""
+with l as (select doc_id, text, lang, source, n_chars, count(*) as n from documents group by all),
+     r as (select doc_id, text, lang, source, n_chars, count(*) as n from ({SQL_EDITED}) e group by all),
+     j as (select coalesce(l.doc_id, r.doc_id) as doc_id, coalesce(l.text, r.text) as text, coalesce(l.lang, r.lang) as lang,
+                  coalesce(l.source, r.source) as source, coalesce(l.n_chars, r.n_chars) as n_chars, coalesce(l.n, 0) - coalesce(r.n, 0) as more
+           from l full join r on l.doc_id is not distinct from r.doc_id and l.text is not distinct from r.text
+                and l.lang is not distinct from r.lang and l.source is not distinct from r.source and l.n_chars is not distinct from r.n_chars)
+select doc_id, text, lang, source, n_chars, case when more > 0 then 'left_only' else 'right_only' end as side,
+       cast(abs(more) as bigint) as copies
+from j where more <> 0
+""")
+def q_frames_equal_ranges(spark, d):
+    # a copy of the documents with few rows edited, dropped and repeated: only ranges that differ are exchanged
+    docs = table(spark, d, "documents")
+    copies = F.explode(F.when(F.col("doc_id") % 501 == 5, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    edited = docs.where("doc_id % 503 <> 7").withColumn("lang", F.when(F.col("doc_id") % 499 != 3, F.col("lang"))).select("*", copies.alias("copy"))
+    return Q.frames_diff_by_ranges(docs, edited.drop("copy"))
+
+
 @register("dq_profile_churn", f"""
 with c as ({SQL_CHURN})
 select 'label' as metric, Churn as "key", cast(count(*) as bigint) as n from c group by Churn
@@ -1046,3 +1129,47 @@ def q_fingerprint(spark, d):
     found = [M.file_fingerprints(spark, f"{d.rstrip('/')}/{t}.parquet") for t in FINGERPRINTED]
     file = F.element_at(F.split("path", "/"), -1)
     return reduce(DataFrame.unionByName, found).select(file.alias("file"), "rows", "digest")
+
+
+@register("doc_file_changes", """
+with n as (select doc_id % 4 as k, count(*) as rows from documents group by 1)
+select 'extracted_data_' || case k when 0 then 'cut_anew' when 1 then 'edited' when 2 then 'gone' else 'as_it_was' end as dataset,
+       case k when 1 then 'changed' when 2 then 'removed' else 'unchanged' end as change,
+       case when k = 2 then null else cast(rows as bigint) end as rows, cast(rows as bigint) as rows_before from n
+union all select 'extracted_data_late', 'new', cast(count(*) as bigint), null from documents
+""")
+def q_file_changes(spark, d):
+    # two looks at a folder: one dataset is written anew in other files, one has another text, one is gone, one is new
+    base, docs = scratch_dir(spark, "changes"), table(spark, d, "documents")
+    names = ["cut_anew", "edited", "gone", "as_it_was"]
+    parts = {n: docs.where(F.pmod("doc_id", F.lit(4)) == i) for i, n in enumerate(names)}
+    for n, rows in parts.items():
+        write_parquet(rows, f"{base}/one/{flows.RAW_MARKER}_{n}")
+    changes.look(spark, f"{base}/one", f"{base}/index", flows.RAW_MARKER)
+    text = F.when(F.col("doc_id") == F.lit(1), F.lit("another")).otherwise(F.col("text"))
+    later = {"cut_anew": parts["cut_anew"].repartition(5), "edited": parts["edited"].withColumn("text", text), "as_it_was": parts["as_it_was"], "late": docs}
+    for n, rows in later.items():
+        write_parquet(rows, f"{base}/two/{flows.RAW_MARKER}_{n}")
+    changes.look(spark, f"{base}/two", f"{base}/index", flows.RAW_MARKER)
+    return changes.changes(spark, f"{base}/index")
+
+
+@register("load_compacted", f"""
+select * exclude (run_id), run_id, true as compact from ({SQL_TWO_RUNS}) t
+""")
+def q_load_compacted(spark, d):
+    # two runs in many small files; compaction leaves the rows, and no folder more files than its bytes need
+    path = f"{scratch_dir(spark, 'compacted')}/processed_data"
+    loaded = flows.run_table(spark, path)
+    second = E.enrich_records(C.clean_records(records(spark, d)), as_of=AS_OF, with_hash=False)
+    for rid, rows in (("r1", enriched(spark, d)), ("r2", second)):
+        conformed = conform_to_schema(E.stamp_timestamps(rows, ["load_timestamp"], as_of=AS_OF), PROCESSED_SCHEMA)
+        loaded.commit(loaded.stage(conformed.withColumn("run_id", F.lit(rid)).repartition(6), ("year", "month"), rebalance=False))
+    target = 64 << 10
+    before = file_sizes(loaded).select(F.split_part("folder", F.lit("run_id="), F.lit(2)).alias("part"), F.ceil(F.col("bytes") / target).alias("bound"))
+    bounds = scratch_dir(spark, "bounds")
+    write_parquet(before, bounds)
+    compact(loaded, target, ("year", "month"))
+    after = file_sizes(loaded).select(F.split_part("folder", F.lit("run_id="), F.lit(2)).alias("part"), "files")
+    crowded = after.join(spark.read.parquet(bounds), "part", "left").agg(F.count_if((F.col("files") > F.col("bound")) | F.col("bound").isNull()).alias("n")).scalar()
+    return flows.read_table(spark, path).withColumn("compact", crowded == 0)

@@ -30,6 +30,7 @@ from urllib.parse import unquote
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.sinks.files import observed
@@ -128,11 +129,12 @@ class SnapshotTable:
         return [f.lstrip("/") for f in found]
 
     def commit(self, staged: Staged | None, drop: Callable[[str], bool] | None = None,
-               notes: Mapping[str, dict] | None = None, tries: int = 100) -> int:
+               notes: Mapping[str, dict] | None = None, tries: int = 100, only_if: Mapping[str, str] | None = None) -> int:
         """Publish what was staged on top of the last version, whichever that is by then; returns the new version.
 
         The staged slots replace those of the same name; ``drop`` tells which others go.  ``notes`` are
-        added to the entries of their slots, and give those without rows an entry too.
+        added to the entries of their slots, and give those without rows an entry too.  With ``only_if`` (slot:
+        attempt) a slot is left as it is if it holds another attempt by now.
         """
         for _ in range(tries):
             last = self.manifest()
@@ -140,6 +142,8 @@ class SnapshotTable:
             for slot, note in (notes or {}).items():
                 slots[slot] = {"attempt": None, **note}
             for slot in staged.slots if staged else ():
+                if only_if is not None and last.slots.get(slot, {}).get("attempt") != only_if.get(slot):
+                    continue
                 slots[slot] = {**(notes or {}).get(slot, {}), "attempt": staged.attempt}
             schema = _merged(last.schema, staged.schema) if staged else last.schema
             made = {"keys": list(self.keys), "slots": slots, "schema": json.loads(schema.json()) if schema else None,
@@ -173,8 +177,12 @@ class SnapshotTable:
 
     # ------------------------------------------------------------ reading
 
-    def read(self, version: int | None = None, slots: Iterable[str] | None = None, schema: T.StructType | None = None) -> DataFrame:
-        """The rows of a version (by default the last), of all its slots or of some.  ``schema`` serves a table without any."""
+    def read(self, version: int | None = None, slots: Iterable[str] | None = None, schema: T.StructType | None = None,
+             with_file: bool = False) -> DataFrame:
+        """The rows of a version (by default the last), of all its slots or of some.  ``schema`` serves a table without any.
+
+        ``with_file`` adds the columns __folder and __row: the folder of a row's file, and a number of its block of rows there.
+        """
         found = self.manifest(version)
         schema = found.schema or schema
         if schema is None:
@@ -187,7 +195,13 @@ class SnapshotTable:
         # a folder's name may hold characters that a glob would expand
         paths = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
         whole = T.StructType([*schema.fields, T.StructField(ATTEMPT, T.StringType())])
-        return self.spark.read.schema(whole).option("basePath", data).parquet(*paths).select(*(f"`{f.name}`" for f in schema.fields))
+        found = self.spark.read.schema(whole).option("basePath", data).parquet(*paths)
+        columns = [F.col(f"`{f.name}`") for f in schema.fields]
+        if with_file:
+            meta = F.col("_metadata")
+            block = F.xxhash64(meta["file_path"], F.floor(meta["row_index"] / 1000))
+            columns += [F.regexp_replace(meta["file_path"], "/[^/]*$", "").alias("__folder"), block.alias("__row")]
+        return found.select(*columns)
 
     # ------------------------------------------------------------ tidying up
 
@@ -230,3 +244,45 @@ def refresh(table: SnapshotTable, derived: SnapshotTable, build: Callable[[DataF
     staged = derived.stage(build(table.read(now.version, stale)), partition_by) if stale else None
     derived.commit(staged, drop=gone.__contains__, notes={s: {"source": now.slots[s]["attempt"]} for s in stale})
     return stale
+
+
+def file_sizes(table: SnapshotTable, slots: Iterable[str] | None = None) -> DataFrame:
+    """(slot, folder, files, bytes) of each folder of data files of the last version; listed by tasks, contents aren't read."""
+    found = table.manifest().slots
+    wanted = {s: found[s]["attempt"] for s in (found if slots is None else slots) if s in found and found[s]["attempt"]}
+    schema = "slot string, folder string, files bigint, bytes bigint"
+    if not wanted:
+        return table.spark.createDataFrame([], schema)
+    paths = [f"{table.path}/{DATA}/{ATTEMPT}={a}/{s}" for s, a in sorted(wanted.items())]
+    escaped = [re.sub(r"([\\{}\[\]*?])", r"\\\1", p) for p in paths]
+    files = table.spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(escaped)
+    files = files.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), "length")
+    below = F.split_part(F.col("folder"), F.lit(f"/{ATTEMPT}="), F.lit(-1))
+    slot = F.array_join(F.slice(F.split(below, "/"), 2, len(table.keys)), "/")
+    return files.groupBy(slot.alias("slot"), "folder").agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"))
+
+
+def compact(table: SnapshotTable, target_bytes: int = 256 << 20, partition_by: Sequence[str] = ()) -> list[str]:
+    """Rewrite slots that hold more files than their bytes need, in one commit; returns these.
+
+    A folder of b bytes comes to hold at most ceil(b / ``target_bytes``) files: its rows are dealt into so many
+    bins, blocks of a thousand by the hash of their place in the old files, and each bin is written by one task.
+    A slot that is loaded again meanwhile stays as loaded; readers of older versions keep their files.
+    """
+    sizes = file_sizes(table).withColumn("bins", F.ceil(F.col("bytes") / target_bytes))
+    # one row a slot comes to the driver, as slots do in the manifest
+    crowded = sizes.groupBy("slot").agg(F.sum("files").alias("files"), F.sum("bins").alias("bins")).where("files > bins")
+    slots = sorted(r["slot"] for r in crowded.collect())
+    if not slots:
+        return []
+    held = table.manifest()
+    # the listing has folders as they are named, the rows' metadata has them encoded as in a URL
+    bare = lambda folder: F.regexp_replace(folder, r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    bins = sizes.where(F.col("slot").isin(slots)).select(bare("folder").alias("__folder"), "bins")
+    rows = table.read(held.version, slots, with_file=True).withColumn("__folder", bare(F.url_decode(F.regexp_replace("__folder", "[+]", "%2B"))))
+    rows = rows.join(bins, "__folder", "left")
+    by = [*table.keys, *partition_by]
+    dealt = rows.repartition(*by, F.pmod("__row", F.coalesce("bins", F.lit(1)))).drop("__folder", "__row", "bins")
+    staged = table.stage(dealt, partition_by, rebalance=False)
+    table.commit(staged, only_if={s: held.slots[s]["attempt"] for s in slots})
+    return slots
