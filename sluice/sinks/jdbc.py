@@ -7,6 +7,8 @@ Each write partition opens its own connection and sends batches of
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +17,8 @@ from pyspark.sql import types as T
 from sluice.sinks.files import observed
 from sluice.sources.jdbc import DEFAULT_BATCH, DEFAULT_ISOLATION
 
+log = logging.getLogger("sluice")
+
 
 def write_jdbc(
     df: DataFrame,
@@ -76,17 +80,27 @@ def _run_sql(spark: SparkSession, url: str, properties: Mapping[str, str] | None
 def append_through_stage(df: DataFrame, url: str, table: str, properties: Mapping[str, str] | None = None,
                          num_partitions: int | None = None) -> int:
     """Append ``df`` to the existing ``table`` all or nothing: parallel writers
-    fill a staging table, one ``INSERT ... SELECT`` moves its rows.  A failed
-    load leaves the target as it was; its staging table is replaced by the next."""
+    fill a staging table of this load's own, one ``INSERT ... SELECT`` moves its
+    rows.  Loads of one table don't meet, and a failed one leaves the target as
+    it was; a staging table that its load couldn't drop is named in the log."""
     spark = df.sparkSession
-    stage = f"{table}_stage"
-    rows = write_jdbc(df, url, stage, properties, mode="overwrite", num_partitions=num_partitions, truncate=False)
+    stage = f"{table}_stage_{uuid.uuid4().hex[:12]}"
     columns = ", ".join(f'"{c}"' for c in df.columns)
-    _run_sql(spark, url, properties, f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {stage}", f"DROP TABLE {stage}")
+    try:
+        rows = write_jdbc(df, url, stage, properties, mode="overwrite", num_partitions=num_partitions, truncate=False)
+        _run_sql(spark, url, properties, f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {stage}", f"DROP TABLE {stage}")
+    except Exception:
+        try:
+            _run_sql(spark, url, properties, f"DROP TABLE {stage}")
+        except Exception as err:  # it may not have come to be; the load's own failure is what counts
+            log.warning("staging table %s not dropped: %s", stage, str(err).splitlines()[0])
+        raise
     return rows
 
 
 def table_exists_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None) -> bool:
+    """Whether ``table`` can be selected from; a database that can't be reached is an error, not an absent table."""
+    _run_sql(spark, url, properties)
     reader = spark.read.format("jdbc").option("url", url).option("query", f"SELECT * FROM {table} WHERE 1 = 0")
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
