@@ -6,8 +6,9 @@ verified word by word, and hit words can be cut or whole documents dropped.
 
 The broadcast is bounded: the benchmark's size is measured first, and one
 beyond ``SET_BYTES`` goes out in slices of that size, one pass over the
-documents each, after which the slice is released and the small per-document
-findings are merged.  So no executor ever holds more than one slice.
+documents each, after which the slice is destroyed and the small per-document
+findings are merged.  So no executor ever holds more than one slice.  A slice
+is a set of sorted arrays; README has its measured size.
 
 Null texts and texts without words have no windows and are never hit; items
 without words hit nothing; repeated items count as one id each, repeated rows
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import map_rows, ship, stored
 
 #: Most bytes of benchmark text in one broadcast.
-SET_BYTES = 32 << 20
+SET_BYTES = 16 << 20
 _SEPARATORS = [*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]
 #: Lower-cases A-Z and turns each separating byte into a blank.
 _TABLE = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if c in _SEPARATORS else c for c in range(256))
@@ -41,30 +42,79 @@ def item_words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_TABLE).split()
 
 
+#: Factors of a window's hash, one for each of its words.
+_FACTORS = np.random.default_rng(20).integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _hashes(ids: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of the ``size`` word numbers from each start on."""
+    out = np.zeros(len(starts), np.uint64)
+    for j in range(size):
+        out += ids[starts + j].astype(np.uint64) * _FACTORS[j % len(_FACTORS)] ^ np.uint64(j // len(_FACTORS))
+    return out ^ (out >> np.uint64(31))
+
+
+@dataclass
+class Windows:
+    """All windows of one length: hashes (ascending), where each begins in the text of all items, and whose it is."""
+
+    hashes: np.ndarray
+    starts: np.ndarray
+    owners: np.ndarray
+    firsts: np.ndarray  #: owners[firsts[i] : firsts[i + 1]] are the items of window i
+
+    @classmethod
+    def of(cls, text: np.ndarray, starts: np.ndarray, owners: np.ndarray, size: int) -> Windows:
+        hashes = _hashes(text, starts, size)
+        order = np.lexsort((owners, hashes))
+        hashes, starts, owners = hashes[order], starts[order], owners[order]
+        # neighbours with one hash are one window if all their words are the same
+        same = np.flatnonzero(hashes[1:] == hashes[:-1]) + 1
+        for j in range(size):
+            same = same[text[starts[same] + j] == text[starts[same - 1] + j]]
+        fresh = np.ones(len(hashes), bool)
+        fresh[same] = False
+        fresh_owner = fresh.copy()
+        fresh_owner[1:] |= owners[1:] != owners[:-1]
+        firsts = np.append(np.cumsum(fresh_owner)[fresh] - 1, fresh_owner.sum())
+        return cls(hashes[fresh], starts[fresh], owners[fresh_owner], firsts.astype(np.int32))
+
+
 @dataclass
 class WindowSet:
-    """Windows of the items by length: each maps the tuple of word numbers to the items that hold it."""
+    """Windows of the items by length, in sorted arrays: about 20 bytes a window, beside one entry a different word."""
 
     width: int
+    items: list = field(default_factory=list)
     words: dict[bytes, int] = field(default_factory=dict)
-    windows: dict[int, dict[tuple[int, ...], frozenset]] = field(default_factory=dict)
+    text: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+    windows: dict[int, Windows] = field(default_factory=dict)
 
     @classmethod
     def of(cls, items: list[tuple], width: int) -> WindowSet:
-        made, owners = cls(width), defaultdict(lambda: defaultdict(set))
+        made = cls(width, sorted({i for i, _ in items}, key=str))
+        number = {i: n for n, i in enumerate(made.items)}
+        texts, starts, upto = [], defaultdict(list), 0
         for item, text in items:
-            ids = [made.words.setdefault(w, len(made.words) + 1) for w in item_words(text)]
-            size = min(width, len(ids))
-            for i in range(len(ids) - size + 1 if ids else 0):
-                owners[size][tuple(ids[i : i + size])].add(item)
-        made.windows = {size: {w: frozenset(x) for w, x in found.items()} for size, found in owners.items()}
+            words = item_words(text)
+            if not words:
+                continue
+            texts.append(np.fromiter((made.words.setdefault(w, len(made.words) + 1) for w in words), np.int32, len(words)))
+            size = min(width, len(words))
+            here = np.arange(upto, upto + len(words) - size + 1, dtype=np.int32)
+            starts[size].append((here, np.full(len(here), number[item], np.int32)))
+            upto += len(words)
+        if texts:
+            made.text = np.concatenate(texts)
+        for size, parts in starts.items():
+            made.windows[size] = Windows.of(made.text, np.concatenate([s for s, _ in parts]), np.concatenate([o for _, o in parts]), size)
         return made
 
     def hits(self, words: list[bytes]) -> tuple[np.ndarray, set]:
         """Which words lie in an occurring window, and the items whose windows occur."""
         n, items = len(words), set()
         get = self.words.get
-        ids = np.fromiter((get(w, 0) for w in words), np.int64, n)
+        ids = np.fromiter((get(w, 0) for w in words), np.int32, n)
         edge = np.zeros(n + 1, np.int64)
         known = np.concatenate([[0], np.cumsum(ids > 0)])
         for size, windows in self.windows.items():
@@ -72,12 +122,21 @@ class WindowSet:
                 continue
             # only windows whose words all occur in the benchmark are looked up
             starts = np.flatnonzero(known[size:] - known[:-size] == size)
-            for s in starts.tolist():
-                owners = windows.get(tuple(ids[s : s + size].tolist()))
-                if owners:
-                    items |= owners
-                    edge[s] += 1
-                    edge[s + size] -= 1
+            hashes = _hashes(ids, starts, size)
+            at = np.searchsorted(windows.hashes, hashes)
+            while len(starts):
+                there = at < len(windows.hashes)
+                there[there] = windows.hashes[at[there]] == hashes[there]
+                starts, hashes, at = starts[there], hashes[there], at[there]
+                # a hash may be shared: each word is compared, and so is the next window of the same hash
+                equal = np.arange(len(starts))
+                for j in range(size):
+                    equal = equal[self.text[windows.starts[at[equal]] + j] == ids[starts[equal] + j]]
+                np.add.at(edge, starts[equal], 1)
+                np.add.at(edge, starts[equal] + size, -1)
+                for w in np.unique(at[equal]).tolist():
+                    items.update(self.items[o] for o in windows.owners[windows.firsts[w] : windows.firsts[w + 1]].tolist())
+                at = at + 1
         return np.cumsum(edge[:-1]) > 0, items
 
 
@@ -105,9 +164,7 @@ def findings(docs: DataFrame, benchmark: DataFrame, width: int = 10, limit: int
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     slices = list(range(parts := _parts(benchmark, limit)))
 
-    def one(p: int) -> DataFrame:
-        held = context.broadcast(WindowSet.of(_slice(benchmark, p, parts), width))
-
+    def one(held) -> DataFrame:
         def make(keys: list, texts: list, hashes: list) -> Iterator[tuple]:
             for key, text, h in zip(keys, texts, hashes, strict=True):
                 words = item_words(text)
@@ -117,8 +174,12 @@ def findings(docs: DataFrame, benchmark: DataFrame, width: int = 10, limit: int
         return map_rows(keyed, ["doc_id", "text", "h"], make, schema)
 
     if parts == 1:
-        return one(0)
-    passes = [stored(one(p), "decontaminate") for p in slices]
+        return one(context.broadcast(WindowSet.of(_slice(benchmark, 0, 1), width)))
+    passes = []
+    for p in slices:
+        held = context.broadcast(WindowSet.of(_slice(benchmark, p, parts), width))
+        passes.append(stored(one(held), "decontaminate"))
+        held.destroy()
     rest = reduce(DataFrame.unionByName, passes).select("doc_id", "h", "spans", "items").distinct()
     merged = rest.groupBy("doc_id", "h").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_set("items")).alias("items"))
     on = [F.col("r.doc_id").eqNullSafe(F.col("m.doc_id")), F.col("r.h") == F.col("m.h")]

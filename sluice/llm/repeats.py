@@ -1,8 +1,9 @@
 """Removal of repeated passages: every byte covered by a string of WIDTH bytes that starts anywhere else too.
 
-Repeated intervals are found by merging Burrows-Wheeler transforms through
-iterative interleave refinement (Holt and McMillan, 2014).  To keep that
-within bounded groups, the text is dealt out first:
+This doesn't merge Burrows-Wheeler transforms: no shard's transform is built, no
+interleave is kept, and no common prefixes are derived.  Windows are grouped by
+anchors, and equal ones are found by counting 64-bit hashes and, in bounded
+groups, by sorting wide symbols in rounds:
 
 1. Each window of WIDTH bytes has an anchor: its smallest gram of GRAM bytes by
    hash, the leftmost of equals.  Neighbouring windows with one anchor make a
@@ -11,22 +12,18 @@ within bounded groups, the text is dealt out first:
 2. Runs that are equal as a whole are repeated as a whole: decided by counting,
    first within each batch, so that a passage in a third of all documents
    gives one row a batch.
-3. Different runs that share an anchor are merged: each run is a shard with the
-   transform of its own text, and all shards of an anchor are interleaved.
-   Round after round, the interleave orders the suffixes by one more symbol: a
-   stable pass over the symbols that precede the suffixes, in the order so far.
-   Where a round separates neighbours, their common prefix ends; suffixes that
-   stay together through all rounds are the repeated intervals.  Suffixes that
-   stand alone leave at once, as longer ones stand alone too.  Symbols are
-   SYMBOL bytes wide, so WIDTH takes few rounds; any fixed order of symbols
-   serves, so they are numbered by hash.
+3. Different runs that share an anchor are put together.  Round after round,
+   the positions that are still tied are sorted by one more symbol of SYMBOL
+   bytes, numbered by its hash; positions that stand alone leave.  What stays
+   tied through all rounds is repeated.
 4. An anchor with more than HOT different runs would make a large group.  Its
    windows are dealt out one by one by hash and counted as in 2.
 
 Null texts count as empty; texts below WIDTH bytes have nothing removed.
 Repeated rows are copies of each other.  Documents are told apart by doc_id and
-a hash of the text, so a doc_id that comes twice does no harm, nor does a null
-one.  Empty tables give empty results.
+a 64-bit hash of the text, those without doc_id by two such hashes, so a doc_id
+that comes twice does no harm, nor does a null one.  Empty tables give empty
+results.
 """
 
 from __future__ import annotations
@@ -37,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import map_rows, ship, stored
@@ -154,9 +151,8 @@ def _spans(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edge > 0).tolist(), np.flatnonzero(edge < 0).tolist(), strict=True))
 
 
-ROWS = pa.schema([("anchor", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("h", pa.int32()), ("first", pa.int32()), ("n", pa.int32()), ("copies", pa.int32())])
-ROWS_SQL = "anchor bigint, run bigint, doc bigint, h int, first int, n int, copies int"
-NO_ID = -(1 << 63)
+ROWS = pa.schema([("anchor", pa.int64()), ("run", pa.int64()), ("doc", pa.int64()), ("h", pa.int64()), ("first", pa.int32()), ("n", pa.int32()), ("copies", pa.int32())])
+ROWS_SQL = "anchor bigint, run bigint, doc bigint, h bigint, first int, n int, copies int"
 
 
 def _batch_rows(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
@@ -182,7 +178,13 @@ def _batch_rows(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """Key columns doc and h, beside the text."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc"), F.hash("text").alias("h"), F.col("text"))
+    doc, h = _key()
+    return docs.select(doc.alias("doc"), h.alias("h"), F.col("text"))
+
+
+def _key() -> tuple[Column, Column]:
+    """What tells documents apart: doc_id and a 64-bit hash of the text; without doc_id, two such hashes."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), "text")), F.xxhash64("text")
 
 
 def _run_rows(docs: DataFrame, width: int) -> DataFrame:
@@ -270,7 +272,7 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
 
 def _merged(texts: DataFrame, width: int) -> DataFrame:
     """Spans (doc, h, first, n) of the contested runs ``texts`` (anchor, doc, h, first, copies, raw) that occur once."""
-    schema = pa.schema([("doc", pa.int64()), ("h", pa.int32()), ("first", pa.int32()), ("n", pa.int32())])
+    schema = pa.schema([("doc", pa.int64()), ("h", pa.int64()), ("first", pa.int32()), ("n", pa.int32())])
 
     def spans(table: pa.Table) -> pa.RecordBatch:
         raws = table.column("raw").to_pylist()
@@ -295,7 +297,7 @@ def _merged(texts: DataFrame, width: int) -> DataFrame:
             for part in _parts(table):
                 yield spans(part)
 
-    return texts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(make, "doc bigint, h int, first int, n int")
+    return texts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(make, "doc bigint, h bigint, first int, n int")
 
 
 def _parts(table: pa.Table) -> Iterator[pa.Table]:
@@ -326,7 +328,7 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataF
                 yield w["anchor"], doc, h, w["first"], w["copies"], w["large"], raw[w["first"] : w["first"] + w["n"] + width - 1]
 
     joined = keyed.join(wanted, ["doc", "h"])
-    pieces = stored(map_rows(joined, ["doc", "h", "text", "wanted"], cut, "anchor bigint, doc bigint, h int, first int, copies int, large boolean, raw binary"), "runs-texts")
+    pieces = stored(map_rows(joined, ["doc", "h", "text", "wanted"], cut, "anchor bigint, doc bigint, h bigint, first int, copies int, large boolean, raw binary"), "runs-texts")
     merged = _merged(pieces.where("not large").drop("large"), width)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -367,8 +369,8 @@ def covered(size: int, spans: list, width: int = WIDTH) -> np.ndarray:
 def _with_spans(docs: DataFrame, width: int, hot: int) -> DataFrame:
     """``docs`` with the column __spans; its own columns keep their names."""
     found = repeated_spans(docs, width, hot).select(F.col("doc").alias("__doc"), F.col("h").alias("__h"), F.col("spans").alias("__spans"))
-    key = (F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)) == F.col("__doc")) & (F.hash("text") == F.col("__h"))
-    return docs.join(found, key, "left").drop("__doc", "__h")
+    doc, h = _key()
+    return docs.join(found, (doc == F.col("__doc")) & (h == F.col("__h")), "left").drop("__doc", "__h")
 
 
 def removal_digests(docs: DataFrame, width: int = WIDTH, hot: int = HOT) -> DataFrame:

@@ -3,10 +3,13 @@
 A 64-bit fingerprint is cut into 32 segments of two bits, and embedded as the
 vector of the segments' bit counts.  The Manhattan distance of two vectors
 never exceeds the Hamming distance of the fingerprints, so a range join on the
-vectors misses no link.  The join works on a grid: with radius r, two vectors
-within distance r agree on all coordinates of at least one of r + 1 groups of
-segments, so each fingerprint goes to r + 1 cells, and cells are compared
-inside.  Candidates then pass the Manhattan bound, then the exact distance.
+vectors misses no link.  The join works on a grid: the segments are parted into
+radius // 2 + 1 groups, in one of which two vectors within distance ``radius``
+are at most 1 apart.  For each group a fingerprint lives in the cell of its
+counts there and visits the cells in which one count is greater by one; cells
+compare those who live there with each other and with their guests.  With
+radius 3 a cell has 16 counts, and no cell more than one in 65536 of random
+fingerprints.  Candidates pass the Manhattan bound, then the exact distance.
 
 Counts are kept in unary (0: 00, 1: 01, 2: 11), for which the Manhattan
 distance of two vectors is the bit count of their exclusive or.
@@ -80,11 +83,12 @@ def document_fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     return map_rows(docs, ["doc_id", "text"], make, "doc_id bigint, fp bigint")
 
 
-def linked_within(fps: np.ndarray, starts: np.ndarray, side: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def linked_within(fps: np.ndarray, starts: np.ndarray, side: np.ndarray, guest: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Links inside cells: places of pairs that make a spanning forest of each cell.
 
     ``fps`` is sorted by cell, ``starts`` has each row's first row of the cell.  Rows with ``side`` 1 and 2 are
-    the two blocks of a large cell and are compared across only; with 0, all rows of the cell are compared.
+    the two blocks of a large cell and are compared across only; with 0, all rows of the cell are compared.  Guests
+    aren't compared with each other.
     """
     unary = unary_counts(fps)
     tree = np.arange(len(fps))
@@ -94,6 +98,7 @@ def linked_within(fps: np.ndarray, starts: np.ndarray, side: np.ndarray, radius:
         other = rows + gap
         near = np.bitwise_count(unary[rows] ^ unary[other]) <= radius  # the Manhattan distance bounds from below
         near &= (side[rows] == 0) | (side[rows] != side[other])
+        near &= ~(guest[rows] & guest[other])
         near &= tree[rows] != tree[other]
         a, b = rows[near], other[near]
         exact = np.bitwise_count(fps[a] ^ fps[b]) <= radius
@@ -115,36 +120,47 @@ def linked_within(fps: np.ndarray, starts: np.ndarray, side: np.ndarray, radius:
     return pairs[:, 0], pairs[:, 1]
 
 
+def _cell_batch(group: int, cell: np.ndarray, fp: np.ndarray, guest: bool) -> pa.RecordBatch:
+    n = len(fp)
+    data = [pa.array(np.full(n, group, np.int32)), pa.array(cell.view(np.int64)), pa.array(fp.view(np.int64)), pa.array(np.full(n, guest))]
+    return pa.RecordBatch.from_arrays(data, names=["g", "cell", "fp", "guest"])
+
+
 def links(fps: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame:
     """Pairs (a, b) of different fingerprints that join all within ``radius`` bits, directly or over others.
 
     ``fps`` has the distinct fingerprints in column fp.
     """
     ship(fps.sparkSession)
-    groups = radius + 1
-    bits = 64 // groups // 2 * 2  # whole segments; the last group takes the rest
+    groups = radius // 2 + 1
+    reach = radius // groups  # within a group: 1, or 0 with radius 0
+    segments = [np.array_split(np.arange(32), groups)[g] for g in range(groups)]
 
     def to_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             unary = unary_counts(fp)
-            for g in range(groups):
-                cell = unary >> np.uint64(g * bits)
-                if g < groups - 1:
-                    cell = cell & np.uint64((1 << bits) - 1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), g, np.int32)), pa.array(cell.view(np.int64)), pa.array(fp.view(np.int64))], names=["g", "cell", "fp"])
-
-    cells = fps.select("fp").mapInArrow(to_cells, "g int, cell bigint, fp bigint")
+            for g, own in enumerate(segments):
+                home = unary & np.uint64(sum(3 << (2 * int(i)) for i in own))
+                yield _cell_batch(g, home, fp, False)
+                for i in own.tolist() if reach else ():
+                    # in unary one more is the next bit set: 00, 01, 11
+                    low, high = np.uint64(1 << (2 * i)), np.uint64(2 << (2 * i))
+                    may = (home & high) == 0
+                    there = home[may]
+                    yield _cell_batch(g, np.where(there & low, there | high, there | low), fp[may], True)
+
+    cells = fps.select("fp").mapInArrow(to_cells, "g int, cell bigint, fp bigint, guest boolean")
     # Large cells go out as pairs of blocks: (i, i) within a block, (i, j) across.
     large = cells.groupBy("g", "cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
-    large = large.select("g", "cell", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    large = stored(large.select("g", "cell", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "simhash-large")
     dealt = cells.join(large, ["g", "cell"], "left").withColumn("own", F.when(F.col("blocks").isNotNull(), F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")))
     others = F.sequence(F.lit(0), F.col("blocks") - 1)
     turn = F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
     turns = F.when(F.col("blocks").isNull(), F.array(turn)).otherwise(F.transform(others, lambda k: F.struct(
         F.least("own", k).alias("i"), F.greatest("own", k).alias("j"), F.when(k == F.col("own"), 0).when(F.col("own") < k, 1).otherwise(2).alias("side"),
     )))
-    dealt = dealt.select("g", "cell", "fp", F.explode(turns).alias("t")).select("g", "cell", "t.i", "t.j", "t.side", "fp")
+    dealt = dealt.select("g", "cell", "fp", "guest", F.explode(turns).alias("t")).select("g", "cell", "t.i", "t.j", "t.side", "fp", "guest")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by cell; a cell's rows are held until it ends, others go on at once."""
@@ -156,7 +172,7 @@ def links(fps: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame:
             fresh[1:] = (keys[:, 1:] != keys[:, :-1]).any(0)
             starts = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
             fp = table.column("fp").to_numpy().astype(np.int64)
-            a, b = linked_within(fp.view(np.uint64), starts, table.column("side").to_numpy(), radius)
+            a, b = linked_within(fp.view(np.uint64), starts, table.column("side").to_numpy(), table.column("guest").to_numpy(), radius)
             return pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["a", "b"])
 
         for batch in batches:

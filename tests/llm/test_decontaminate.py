@@ -90,3 +90,32 @@ def test_words_and_spans():
     assert D.item_words(text) == words(text)
     assert D.spans_of(np.array([1, 1, 0, 1], bool)) == [{"first": 0, "last": 2}, {"first": 3, "last": 4}]
     assert D.without_spans("a b, c d", np.array([0, 1, 1, 0], bool)) == "a  d"
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(D, "_hashes", lambda ids, starts, size: np.full(len(starts), 7, np.uint64))
+    items = [(1, "a b c d"), (2, "b c d e"), (3, "x"), (1, "a b c d"), (4, "c d e f a b c d")]
+    made = D.WindowSet.of(items, 3)
+    for text in ("a b c d e f", "z a b c z", "x y", "f a b", "", "c d"):
+        mask, found = made.hits(D.item_words(text))
+        w = D.item_words(text)
+        want, hit = set(), [False] * len(w)
+        for item, other in items:
+            o = D.item_words(other)
+            size = min(3, len(o))
+            for i in range(len(o) - size + 1):
+                for j in range(len(w) - size + 1):
+                    if w[j : j + size] == o[i : i + size]:
+                        want.add(item)
+                        hit[j : j + size] = [True] * size
+        assert (mask.tolist(), found) == (hit, want), text
+
+
+def test_a_window_takes_few_bytes():
+    import pickle
+
+    items = [(i, prose(500 + i, 2000)) for i in range(100)]
+    made = D.WindowSet.of(items, 10)
+    n = sum(len(w.hashes) for w in made.windows.values())
+    arrays = made.text.nbytes + sum(a.nbytes for w in made.windows.values() for a in (w.hashes, w.starts, w.owners, w.firsts))
+    assert n > 190_000 and arrays < 25 * n and len(pickle.dumps(made)) < 30 * n

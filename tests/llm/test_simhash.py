@@ -66,6 +66,29 @@ def test_the_embedding_bounds_the_distance():
     assert (manhattan <= np.bitwise_count(a ^ b)).all()
 
 
+@pytest.mark.parametrize("radius", [0, 1, 2, 4, 6])
+def test_links_of_other_radii(spark, radius):
+    r = random.Random(radius)
+    fps = {r.getrandbits(64) for _ in range(25)}
+    for fp in list(fps):
+        for _ in range(4):
+            for _ in range(r.randint(1, radius + 2)):
+                fp ^= 1 << r.randrange(64)
+            fps.add(fp)
+    signed = sorted(S.signed(f) for f in fps)
+    got = dict(tuple(x) for x in components(S.links(spark.createDataFrame([(f,) for f in signed], "fp long"), radius)).collect())
+    assert {f: got.get(f, f) for f in signed} == slow_components(signed, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= radius)
+
+
+def test_comparisons_of_a_random_fingerprint_stay_few():
+    # pairs that share a cell of the grid, from 10 ** 5 to 10 ** 6 random fingerprints
+    rng = np.random.default_rng(6)
+    for n in (100_000, 1_000_000):
+        unary = S.unary_counts(rng.integers(0, 1 << 64, n, dtype=np.uint64))
+        sizes = np.unique(unary & np.uint64(0xFFFFFFFF), return_counts=True)[1].astype(float)
+        assert (sizes * (sizes - 1)).sum() / n < 1 and sizes.max() < 60
+
+
 def test_near_duplicates_of_awkward_rows(spark):
     rows = plain(S.near_duplicates(frame(spark)))
     assert rows == plain(S.near_duplicates(frame(spark, clash=True)))
