@@ -16,7 +16,7 @@ the alphabet; repeated rows get equal results; empty tables give empty results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -181,17 +181,25 @@ def predict_languages(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
     return identify(docs, model).withColumn("held_out", held_out())
 
 
-def keep_identified(docs: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """``docs`` with its columns, without the rows whose language can't be told: null texts and texts without a letter."""
+def keep_identified(docs: DataFrame, most: int = SAMPLE, least: float = 0.4, allowed: Collection[str] | None = None) -> DataFrame:
+    """``docs`` with its columns, the rows whose language is told: one of ``allowed`` (None: any), with a proportion of ``least``.
+
+    Null texts and texts without a letter have no language.  A text of a few letters, or one of several languages none
+    of which leads, has proportions near those of no evidence at all and goes, too.
+    """
     import pyarrow as pa
 
     ship(docs.sparkSession)
     at = docs.columns.index("text")
     held = docs.sparkSession.sparkContext.broadcast(fit_languages(docs.where(~held_out()), most))
 
+    def told(text: str | None) -> bool:
+        language, share, _ = language_of(held.value, text)
+        return language != UNKNOWN and share >= least and (allowed is None or language in allowed)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [language_of(held.value, text)[0] != UNKNOWN for text in batch.column(at).to_pylist()]
+            keep = [told(text) for text in batch.column(at).to_pylist()]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
