@@ -89,7 +89,7 @@ class Page:
     """A page's blocks and elements, in order.
 
     ``blocks`` has (text, node, characters but white space, those in links, nodes with a name or tag against the
-    block, whether inside an article); ``nodes`` by node its line from the root and the sequences of its children.
+    block, whether inside an article, whether the first such text in its node); ``nodes`` by node its line from the root and the sequences of its children.
     A name says nothing against an outermost article or main element, or one without such a name, nor against what
     contains it: comments and teasers are articles, too.
     """
@@ -123,11 +123,14 @@ class Page:
             ids.append(node)
             lines.append((*lines[parent], node))
             self.nodes.setdefault(node, (lines[-1], set()))[1].add(" ".join(tags))
-        self.blocks: list[tuple[str, int, int, int, list[int], bool]] = []
+        self.blocks: list[tuple[str, int, int, int, list[int], bool, bool]] = []
+        shown: set[tuple[int, str]] = set()
         for text, element, size, linked, under, inside in self._found:
             counting = [k for k in under if self._names[k] is not None]
             if self._comments.isdisjoint(counting):
-                self.blocks.append((text, ids[element], size, linked, [ids[self._names[k]] for k in counting], inside))
+                before = len(shown)
+                shown.add((ids[element], re.sub("[0-9]+", "#", text.lower())))
+                self.blocks.append((text, ids[element], size, linked, [ids[self._names[k]] for k in counting], inside, len(shown) > before))
 
     def _add(self, text: str) -> None:
         self._text.append(text)
@@ -209,12 +212,12 @@ def hash_of(text: str) -> int:
 
 
 ROOT = 0
-BLOCK = "struct<text: string, node: bigint, size: bigint, linked: bigint, names: array<bigint>, inside: boolean>"
+BLOCK = "struct<text: string, node: bigint, size: bigint, linked: bigint, names: array<bigint>, inside: boolean, first: boolean>"
 NODE = "struct<node: bigint, line: array<bigint>, shapes: array<bigint>>"
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Each row of ``pages`` as blocks and nodes, with hashes of its whole text and of its set of nodes; written once."""
+    """Each row of ``pages`` as blocks and nodes, with hashes of its whole text and of its set of nodes, numbered; written once."""
 
     def make(ids: list, urls: list, hosts: list, sources: list) -> Iterator[tuple]:
         for page_id, url, host, source in zip(ids, urls, hosts, sources, strict=True):
@@ -225,7 +228,8 @@ def parsed(pages: DataFrame) -> DataFrame:
 
     schema = f"page_id bigint, url string, host string, whole bigint, kind bigint, blocks array<{BLOCK}>, nodes array<{NODE}>"
     keyed = pages.select("page_id", "url", host_of("url").alias("host"), "html")
-    return stored(map_rows(keyed, ["page_id", "url", "host", "html"], make, schema), "site-pages")
+    rows = map_rows(keyed, ["page_id", "url", "host", "html"], make, schema)
+    return stored(rows.withColumn("row", F.monotonically_increasing_id()), "site-pages")
 
 
 def _by_host(left: DataFrame, right: DataFrame, salt: Column, how: str = "inner") -> DataFrame:
@@ -241,26 +245,26 @@ def _facts(seen: DataFrame) -> DataFrame:
     by c of the host's m pages (digits and case aside); ``plain`` the share of characters outside links; ``info`` the
     characters times both; ``style`` the entropy, to base m, of the sequences of its children.
     """
-    block = F.transform("blocks", lambda b: F.struct(
-        b["node"].alias("node"), F.lit(0).alias("what"), F.xxhash64(F.regexp_replace(F.lower(b["text"]), r"\d+", "#")).alias("feature"),
-        b["size"].alias("size"), F.when(b["inside"], F.lit(0)).otherwise(b["linked"]).cast("bigint").alias("linked"), F.lit(None).cast("array<bigint>").alias("line")))
-    zero = F.lit(0).cast("bigint")
-    shape = F.flatten(F.transform("nodes", lambda n: F.transform(n["shapes"], lambda s: F.struct(
-        n["node"].alias("node"), F.lit(1).alias("what"), s.alias("feature"), zero.alias("size"), zero.alias("linked"), F.lit(None).cast("array<bigint>").alias("line")))))
-    there = F.transform("nodes", lambda n: F.struct(
-        n["node"].alias("node"), F.lit(2).alias("what"), zero.alias("feature"), zero.alias("size"), zero.alias("linked"), n["line"].alias("line")))
-    rows = seen.select("host", "whole", F.inline(F.concat(block, shape, there)))
+    def entry(node: Column, what: int, feature: Column, size: Column, linked: Column) -> Column:
+        return F.struct(node.alias("node"), F.lit(what).alias("what"), feature.alias("feature"), size.cast("bigint").alias("size"), linked.cast("bigint").alias("linked"))
+
+    block = F.transform(F.filter("blocks", lambda b: b["first"]), lambda b: entry(b["node"], 0, F.xxhash64(F.regexp_replace(F.lower(b["text"]), "[0-9]+", "#")), b["size"], F.when(b["inside"], F.lit(0)).otherwise(b["linked"])))
+    # a node's first shape on a page counts the page, as its size
+    shape = F.flatten(F.transform("nodes", lambda n: F.transform(n["shapes"], lambda s, i: entry(n["node"], 1, s, (i == 0).cast("int"), F.lit(0)))))
     # a page that repeats another one's text gives no further rows
-    once = rows.groupBy("host", "whole", "node", "what", "feature").agg(F.max("size").alias("size"), F.max("linked").alias("linked"), F.first("line").alias("line"))
-    counts = once.groupBy("host", "node", "what", "feature").agg(F.count(F.lit(1)).alias("c"), F.sum("size").alias("size"), F.sum("linked").alias("linked"), F.first("line").alias("line"))
+    first = seen.groupBy("host", "whole").agg(F.min("row").alias("row")).select("row")
+    rows = seen.select("row", "host", F.concat(block, shape).alias("all")).join(first, "row", "left_semi").select("host", F.inline("all"))
+    counts = rows.groupBy("host", "node", "what", "feature").agg(F.count(F.lit(1)).alias("c"), F.sum("size").alias("size"), F.sum("linked").alias("linked"))
 
     def of(what: int, value: Column) -> Column:
         return F.sum(F.when(F.col("what") == what, value))
 
-    summed = stored(counts.groupBy("host", "node").agg(
-        of(2, F.col("c")).alias("n"), F.first("line", ignorenulls=True).alias("line"),
-        of(0, F.log("c")).alias("logs"), of(0, F.lit(1)).alias("texts"), of(0, F.col("size")).alias("size"), of(0, F.col("linked")).alias("linked"),
-        of(1, F.col("c")).alias("s"), of(1, F.col("c") * F.log("c")).alias("slogs")), "site-counts")
+    lines = seen.select("host", F.inline("nodes")).groupBy("host", "node").agg(F.first("line").alias("line"))
+    summed = counts.groupBy("host", "node").agg(
+        of(1, F.col("size")).alias("n"), of(0, F.log("c")).alias("logs"), of(0, F.lit(1)).alias("texts"),
+        of(0, F.col("size")).alias("size"), of(0, F.col("linked")).alias("linked"),
+        of(1, F.col("c")).alias("s"), of(1, F.col("c") * F.log("c")).alias("slogs"))
+    summed = stored(summed.join(lines, ["host", "node"]), "site-counts")
     pages = summed.where(F.col("node") == ROOT).select("host", F.col("n").alias("m"))
     logm = F.when(F.col("m") > 1, F.log("m"))
     facts = _by_host(summed, pages, F.col("node")).select(

@@ -25,11 +25,14 @@ def weigh(sources: list) -> tuple[dict, list]:
             n[node] += 1
             for shape in seen:
                 shapes[node][shape] += 1
-        for key in {(b[1], re.sub(r"\d+", "#", b[0].lower())) for b in page.blocks}:
-            same = [b for b in page.blocks if (b[1], re.sub(r"\d+", "#", b[0].lower())) == key]
-            texts[key[0]][key[1]] += 1
-            size[key[0]] += max(b[2] for b in same)
-            linked[key[0]] += max(0 if b[5] else b[3] for b in same)
+        shown = set()
+        for text, node, chars, in_links, _, inside, _ in page.blocks:
+            key = node, re.sub("[0-9]+", "#", text.lower())
+            if key not in shown:
+                texts[node][key[1]] += 1
+                size[node] += chars
+                linked[node] += 0 if inside else in_links
+            shown.add(key)
     base = math.log(m) if m > 1 else None
     unique = {v: 1 - (sum(math.log(c) for c in texts[v].values()) / len(texts[v]) / base if base and texts[v] else 0) for v in n}
     alone = {v: max(0.0, 1 - linked[v] / size[v]) if size[v] else 1.0 for v in n}
