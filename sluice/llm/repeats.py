@@ -1,9 +1,9 @@
 """Removal of repeated passages: every byte covered by a string of WIDTH bytes that starts anywhere else too.
 
-This doesn't merge Burrows-Wheeler transforms: no shard's transform is built, no
-interleave is kept, and no common prefixes are derived.  Windows are grouped by
-anchors, and equal ones are found by counting 64-bit hashes and, in bounded
-groups, by sorting wide symbols in rounds:
+Texts are grouped so that equal strings meet, and within a group the transforms
+of two shards are merged.  Only the merge tells different runs apart; what is
+equal as a whole is settled by counting before.  Bytes are compared as 64-bit
+hashes throughout.
 
 1. Each window of WIDTH bytes has an anchor: its smallest gram of GRAM bytes by
    hash, the leftmost of equals.  Neighbouring windows with one anchor make a
@@ -12,10 +12,11 @@ groups, by sorting wide symbols in rounds:
 2. Runs that are equal as a whole are repeated as a whole: decided by counting,
    first within each batch, so that a passage in a third of all documents
    gives one row a batch.
-3. Different runs that share an anchor are put together.  Round after round,
-   the positions that are still tied are sorted by one more symbol of SYMBOL
-   bytes, numbered by its hash; positions that stand alone leave.  What stays
-   tied through all rounds is repeated.
+3. Different runs that share an anchor are put together and make two shards.
+   Each shard's Burrows-Wheeler transform is built over symbols of SYMBOL
+   bytes, numbered by hash; the two are merged by refining their interleave
+   (``merged_transforms``), which gives common prefixes, and with these the
+   intervals of places that share WIDTH bytes.
 4. An anchor with more than HOT different runs would make a large group.  Its
    windows are dealt out one by one by hash and counted as in 2.
 
@@ -108,41 +109,93 @@ def runs(raw: bytes, width: int = WIDTH, gram: int = GRAM) -> tuple[np.ndarray,
     return np.concatenate(starts), np.concatenate(counts), np.concatenate(anchors)
 
 
+def _stable_order(keys: np.ndarray) -> np.ndarray:
+    """Stable order of 32-bit keys, by halves: numpy sorts 16-bit keys by counting."""
+    order = np.argsort(keys.astype(np.uint16), kind="stable")
+    return order[np.argsort((keys >> np.uint32(16)).astype(np.uint16)[order], kind="stable")]
+
+
+class Transform:
+    """The transform of a shard of texts, over symbols of ``symbol`` bytes that start at every byte.
+
+    A place's suffix is the symbols at it, at ``symbol`` bytes on, and so forth to the end of its text, where the
+    empty suffix (symbol 0) comes first in order.  ``places`` are all places by the first ``depth`` symbols of their
+    suffixes, and ``before`` the symbol that precedes each, or 0 at the start of a text.
+    """
+
+    def __init__(self, numbers: np.ndarray, room: np.ndarray, since: np.ndarray, symbol: int, depth: int) -> None:
+        ends = room < symbol
+        symbols = np.where(ends, np.uint32(0), numbers)
+        order = np.arange(len(symbols))
+        for step in range(depth - 1, -1, -1):
+            at = order + step * symbol
+            inside = room[order] >= (step + 1) * symbol
+            order = order[_stable_order(np.where(inside, symbols[np.minimum(at, len(symbols) - 1)], np.uint32(0)))]
+        self.places = order
+        self.before = np.where(since[order] >= symbol, symbols[np.maximum(order - symbol, 0)], np.uint32(0))
+        self.empty = int(ends.sum())
+
+
+def merged_transforms(one: Transform, two: Transform, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The merge of two transforms: the places' shards in merged order (bits), and each one's common prefix with the last.
+
+    Holt and McMillan (2014): starting from all of the first shard before all of the second, a round reads both
+    transforms in the order of the bits and deals the bits out by the symbols read, which orders them by one more
+    symbol.  No suffix is compared or sorted again.  The round in which two neighbours come apart gives their common
+    prefix, in symbols.  It ends at the fixed point or after ``depth`` rounds; prefixes of ``depth`` are that or more.
+    """
+    bits = np.concatenate([np.zeros(len(one.places), bool), np.ones(len(two.places), bool)])
+    block = np.zeros(len(bits), np.uint32)
+    common = np.full(len(bits), depth, np.int8)
+    common[:1] = 0
+    empty = np.concatenate([np.zeros(one.empty, bool), np.ones(two.empty, bool)])
+    blocks = 1
+    for done in range(depth):
+        read = np.empty(len(bits), np.uint32)
+        read[~bits], read[bits] = one.before, two.before
+        kept = np.flatnonzero(read)  # what starts a text precedes nothing
+        order = kept[_stable_order(read[kept])]
+        symbols, old = read[order], block[order]
+        bits = np.concatenate([empty, bits[order]])
+        apart = np.ones(len(bits), bool)
+        apart[1 : len(empty)] = False
+        apart[len(empty) + 1 :] = (symbols[1:] != symbols[:-1]) | (old[1:] != old[:-1])
+        common[apart & (common == depth)] = done
+        block = np.cumsum(apart, dtype=np.uint32)
+        if block[-1:].sum() == blocks:
+            break
+        blocks = block[-1:].sum()
+    return bits, common
+
+
 def repeated_starts(texts: list[bytes], width: int = WIDTH, symbol: int = SYMBOL) -> list[np.ndarray]:
     """Of each text, which windows of ``width`` bytes start anywhere else in ``texts`` too.
 
-    Merges the texts' transforms by interleave refinement, ``symbol`` bytes a round; ``symbol`` divides ``width``.
+    The first and the second half of the texts are two shards, whose transforms are merged; intervals of the merged
+    order with common prefixes of ``width`` bytes are repeated.  ``symbol`` divides ``width``.
     """
-    sizes = np.array([len(t) for t in texts])
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)  # the empty suffix at the end of a text is a place, too
     ends = np.cumsum(sizes)
-    raw = np.frombuffer(b"".join(texts), np.uint8)
+    raw = np.frombuffer(b"".join(t + b"\0" for t in texts), np.uint8)
     flags = np.zeros(len(raw), bool)
-    if len(raw) >= width:
-        left = np.repeat(ends, sizes) - np.arange(len(raw))  # bytes up to the end of the own text
-        hashes = gram_hashes(raw, symbol)
-        _, numbers = np.unique(hashes, return_inverse=True)
-        numbers = numbers.astype(np.uint32)
-        before = np.arange(len(raw)) - np.repeat(ends - sizes, sizes)  # bytes since its start
-        # The interleave: text positions, ordered by the symbols that follow; block numbers tell those that agree so far.
-        order = np.flatnonzero(left >= symbol)
-        block = np.zeros(len(order), np.int64)
-        for depth in range(width // symbol):
-            if depth:
-                room = before[order] >= symbol  # the preceding symbol lies in the same text
-                order, block = order[room] - symbol, block[room]
-            if not len(order):
-                break
-            preceding = numbers[order]
-            stable = np.argsort(preceding.astype(np.uint16), kind="stable")
-            stable = stable[np.argsort((preceding >> np.uint32(16)).astype(np.uint16)[stable], kind="stable")]
-            order, block, preceding = order[stable], block[stable], preceding[stable]
-            apart = np.ones(len(order) + 1, bool)
-            apart[1:-1] = (preceding[1:] != preceding[:-1]) | (block[1:] != block[:-1])
-            together = ~(apart[:-1] & apart[1:])
-            order, block = order[together], np.cumsum(apart[:-1])[together]
-        else:
-            flags[order] = True
-    return [flags[e - n : max(e - n, e - width + 1)] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
+    if len(raw) > width:
+        room = np.repeat(ends, sizes) - np.arange(len(raw)) - 1  # bytes up to the end of the own text
+        since = np.arange(len(raw)) - np.repeat(ends - sizes, sizes)
+        numbers = np.zeros(len(raw), np.uint32)
+        found = np.unique(gram_hashes(raw, symbol), return_inverse=True)[1]
+        numbers[: len(found)] = found + 1
+        half = int(ends[np.searchsorted(ends, len(raw) // 2)])  # after a text
+        depth = width // symbol
+        shards = [Transform(numbers[part], room[part], since[part], symbol, depth) for part in (slice(0, half), slice(half, None))]
+        bits, common = merged_transforms(*shards, depth)
+        places = np.empty(len(bits), np.int64)
+        places[~bits], places[bits] = shards[0].places, shards[1].places + half
+        long = room[places] >= width
+        same = (common >= depth) & long  # with the one before
+        repeated = same.copy()
+        repeated[:-1] |= same[1:] & long[:-1]
+        flags[places[repeated]] = True
+    return [flags[e - n : max(e - n, e - width)] for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)]
 
 
 def _spans(flags: np.ndarray) -> list[tuple[int, int]]:

@@ -47,6 +47,30 @@ def test_merged_transforms_find_the_repeated_windows(seed):
     assert [len(f) for f in R.repeated_starts([b"", b"a" * 199], 200)] == [0, 0]
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_merge_gives_the_order_and_common_prefixes_of_all_suffixes(seed):
+    r = random.Random(seed)
+    texts = [[r.randint(1, 3) for _ in range(r.randint(0, 12))] for _ in range(9)]
+    depth, cut = 4, 5
+
+    def shard(some: list) -> tuple[R.Transform, list]:
+        numbers = np.array([x for t in some for x in (*t, 0)], np.uint32)
+        room = np.array([len(t) - i for t in some for i in range(len(t) + 1)])
+        since = np.array([i for t in some for i in range(len(t) + 1)])
+        return R.Transform(numbers, room, since, 1, depth), [tuple(t[i : i + depth]) for t in some for i in range(len(t) + 1)]
+
+    (one, first), (two, second) = shard(texts[:cut]), shard(texts[cut:])
+    assert [first[i] for i in one.places] == sorted(first)
+    bits, common = R.merged_transforms(one, two, depth)
+    ranks, merged = [iter([first[i] for i in one.places]), iter([second[i] for i in two.places])], []
+    for bit in bits.astype(int):
+        merged.append(next(ranks[bit]))
+    assert merged == sorted(first + second)
+    for a, b, n in zip(merged, merged[1:], common[1:].tolist(), strict=False):
+        if len(a) == depth and len(b) == depth:  # ends are alike to the merge, and so on
+            assert n == next((k for k in range(depth) if a[k] != b[k]), depth)
+
+
 def test_runs_cover_all_windows_and_depend_on_content_alone(monkeypatch):
     text = prose(3, 800).encode()
     first, n, anchor = R.runs(text)
